@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchvault.functions.payload import METRIC
 from pitchvault.operators.reshape import unpivot_sides
 from pitchvault.operators.versions import latest
+from pitchvault.plans.models import Models
 
 # Region and segment stand for country and competition; the last slug has no other source.
 LEAGUES = {
@@ -30,10 +30,14 @@ class Tables:
     """Parquet tables of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._dir = spark, sf_dir
+        self.spark, self._dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        # Reading the footer takes a job: once per table will do.
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._read[name]
 
 
 def customer_places(t: Tables) -> DataFrame:
@@ -87,16 +91,6 @@ def match_frame(t: Tables) -> DataFrame:
     )
 
 
-def with_metrics(frame: DataFrame) -> DataFrame:
-    """Match frame as a satellite-shaped table: hash key and wide decimals."""
-    from pitchvault.functions.hashing import hash_key
-
-    return frame.withColumns({
-        "hub_match_hk": hash_key("match_id", source="understat"),
-        "home_xg": F.col("home_xg").cast(METRIC), "away_xg": F.col("away_xg").cast(METRIC),
-    })
-
-
 def understat_matches(t: Tables) -> DataFrame:
     frame = match_frame(t)
     payload = F.to_json(F.struct(
@@ -230,9 +224,15 @@ def understat_teams(t: Tables) -> DataFrame:
     )
 
 
-def stage_tables(t: Tables) -> dict[str, DataFrame]:
-    return {
-        "understat_matches": understat_matches(t), "understat_players": understat_players(t),
-        "understat_teams": understat_teams(t), "sb_matches": sb_matches(t),
-        "sb_competitions": sb_competitions(t),
-    }
+STAGE_TABLES = {
+    "understat_matches": understat_matches, "understat_players": understat_players,
+    "understat_teams": understat_teams, "sb_matches": sb_matches, "sb_competitions": sb_competitions,
+}
+
+
+def stage_builders(t: Tables) -> dict:
+    return {name: lambda _, f=fn: f(t) for name, fn in STAGE_TABLES.items()}
+
+
+def stage_tables(t: Tables) -> Models:
+    return Models(stage_builders(t))

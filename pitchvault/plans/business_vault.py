@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pitchvault.functions.hashing import link_key
 from pitchvault.operators.versions import latest
+from pitchvault.plans.models import Models
 
 
 def _newest(sat: DataFrame, keys: list[str], hashdiff: str) -> DataFrame:
@@ -105,12 +106,14 @@ def br_team_competition_season(pit_teams: DataFrame) -> DataFrame:
     )
 
 
-def business_vault(vault: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+BUILDERS = {
+    "pit_team_season": pit_team_season,
+    "pit_player_season": pit_player_season,
+    "br_player_team_season": lambda m: br_player_team_season(m, m["pit_player_season"]),
+    "br_team_competition_season": lambda m: br_team_competition_season(m["pit_team_season"]),
+}
+
+
+def business_vault(vault: Mapping[str, DataFrame]) -> Models:
     """All four tables over the raw vault."""
-    teams, players = pit_team_season(vault), pit_player_season(vault)
-    return {
-        "pit_team_season": teams,
-        "pit_player_season": players,
-        "br_player_team_season": br_player_team_season(vault, players),
-        "br_team_competition_season": br_team_competition_season(teams),
-    }
+    return Models(BUILDERS, vault)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -173,28 +171,13 @@ def mart_team_elo_current(history: DataFrame) -> DataFrame:
     return elo_current(history)
 
 
-def marts(
-    vault: Mapping[str, DataFrame],
-    business: Mapping[str, DataFrame],
-    stage: Mapping[str, DataFrame],
-    focus_team: str = FOCUS_TEAM,
-    focus_league: str = FOCUS_LEAGUE,
-) -> dict[str, DataFrame]:
-    """All marts but the two rating marts, which read the written match facts."""
-    return {
-        "mart_league_table": mart_league_table(business["pit_team_season"]),
-        "mart_top_scorers": mart_top_scorers(business["pit_player_season"], business["br_player_team_season"]),
-        "mart_match_facts": mart_match_facts(vault["sat_match_xg"]),
-        "mart_player_overperformers": mart_player_overperformers(business["pit_player_season"]),
-        "mart_team_xg_trend": mart_team_xg_trend(vault["sat_match_xg"]),
-        "mart_sb_la_liga_history": mart_team_history(stage["stg_sb_matches"], focus_team, focus_league),
-    }
-
-
-def elo_marts(match_facts: DataFrame) -> dict[str, DataFrame]:
-    """Both rating marts over one match-facts table."""
-    history = elo_history(match_facts)
+def builders(focus_team: str = FOCUS_TEAM, focus_league: str = FOCUS_LEAGUE) -> dict:
+    """Builders of all marts but the two rating marts."""
     return {
-        "mart_team_elo_current": mart_team_elo_current(history),
-        "mart_team_elo_history": mart_team_elo_history(history),
+        "mart_league_table": lambda m: mart_league_table(m["pit_team_season"]),
+        "mart_top_scorers": lambda m: mart_top_scorers(m["pit_player_season"], m["br_player_team_season"]),
+        "mart_match_facts": lambda m: mart_match_facts(m["sat_match_xg"]),
+        "mart_player_overperformers": lambda m: mart_player_overperformers(m["pit_player_season"]),
+        "mart_team_xg_trend": lambda m: mart_team_xg_trend(m["sat_match_xg"]),
+        "mart_sb_la_liga_history": lambda m: mart_team_history(m["stg_sb_matches"], focus_team, focus_league),
     }

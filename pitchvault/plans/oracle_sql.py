@@ -346,15 +346,12 @@ CTES = {
 _WORD = re.compile(r"\w+")
 
 
-def _needed(sql: str, found: list[str]) -> None:
+def _needed(sql: str, found: list[str], inside: str = "") -> None:
+    """Add the models ``sql`` names to ``found``, each behind the models it reads itself."""
     for word in dict.fromkeys(_WORD.findall(sql)):
-        if word in CTES and word not in found:
-            if f" {word} " in f" {CTES[word]} ".replace("\n", " ") and word == "elo_run":
-                _needed(CTES[word].replace("elo_run", ""), found)
-            else:
-                _needed(CTES[word], found)
-            if word not in found:
-                found.append(word)
+        if word in CTES and word not in found and word != inside:
+            _needed(CTES[word], found, word)
+            found.append(word)
 
 
 def with_models(sql: str) -> str:
@@ -367,7 +364,7 @@ def with_models(sql: str) -> str:
     return f"WITH RECURSIVE {parts}\n{sql}"
 
 
-def model_sql(name: str, decimals: tuple[str, ...] = (), order: str = "") -> str:
+def model_sql(name: str, decimals: tuple[str, ...] = ()) -> str:
     """All rows of a model, with the named decimal columns as doubles."""
     replace = f" REPLACE ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in decimals)})" if decimals else ""
-    return with_models(f"SELECT *{replace} FROM {name}{order}")
+    return f"SELECT *{replace} FROM {name}"

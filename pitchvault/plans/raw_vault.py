@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from pitchvault.operators.vault import load_hub, load_link, load_sat
+from pitchvault.plans.models import Models
 
 
 @dataclass(frozen=True)
@@ -109,9 +110,11 @@ def load(name: str, stage: Mapping[str, DataFrame], existing: DataFrame | None =
     )
 
 
-def raw_vault(
-    stage: Mapping[str, DataFrame], existing: Mapping[str, DataFrame] | None = None
-) -> dict[str, DataFrame]:
+def builders(existing: Mapping[str, DataFrame] | None = None) -> dict:
+    known = existing or {}
+    return {name: lambda m, n=name: load(n, m, known.get(n)) for name in TABLES}
+
+
+def raw_vault(stage: Mapping[str, DataFrame], existing: Mapping[str, DataFrame] | None = None) -> Models:
     """Rows to append to every raw-vault table."""
-    existing = existing or {}
-    return {name: load(name, stage, existing.get(name)) for name in TABLES}
+    return Models(builders(existing), stage)

@@ -24,6 +24,7 @@ from pitchvault.operators.lookup import map_slug
 from pitchvault.operators.matching import same_as
 from pitchvault.operators.reshape import explode_delimited, unpivot_sides
 from pitchvault.operators.vault import with_lineage
+from pitchvault.plans.models import Models
 
 # Source names inside keys, club prefixes, and the leagues served.
 SOURCE_A = "understat"
@@ -253,16 +254,20 @@ def stg_match_same_as(stg_matches_a: DataFrame, matches_b: DataFrame) -> DataFra
     )
 
 
-def stage_models(tables: Mapping[str, DataFrame], mapping: Mapping[tuple, str] = LEAGUES) -> dict[str, DataFrame]:
-    """All stage models over the five stage tables."""
-    matches_a = stg_understat_matches(tables["understat_matches"])
+def stage_builders(mapping: Mapping[tuple, str] = LEAGUES) -> dict:
+    """Builders of all stage models over the five stage tables."""
     return {
-        "stg_sb_competitions": stg_sb_competitions(tables["sb_competitions"], mapping),
-        "stg_sb_matches": stg_sb_matches(tables["sb_matches"]),
-        "stg_understat_matches": matches_a,
-        "stg_understat_players": stg_understat_players(tables["understat_players"]),
-        "stg_understat_teams": stg_understat_teams(tables["understat_teams"]),
-        "stg_understat_matches_teams": stg_understat_matches_teams(tables["understat_matches"]),
-        "stg_understat_player_team": stg_understat_player_team(tables["understat_players"]),
-        "stg_match_same_as": stg_match_same_as(matches_a, tables["sb_matches"]),
+        "stg_sb_competitions": lambda m: stg_sb_competitions(m["sb_competitions"], mapping),
+        "stg_sb_matches": lambda m: stg_sb_matches(m["sb_matches"]),
+        "stg_understat_matches": lambda m: stg_understat_matches(m["understat_matches"]),
+        "stg_understat_players": lambda m: stg_understat_players(m["understat_players"]),
+        "stg_understat_teams": lambda m: stg_understat_teams(m["understat_teams"]),
+        "stg_understat_matches_teams": lambda m: stg_understat_matches_teams(m["understat_matches"]),
+        "stg_understat_player_team": lambda m: stg_understat_player_team(m["understat_players"]),
+        "stg_match_same_as": lambda m: stg_match_same_as(m["stg_understat_matches"], m["sb_matches"]),
     }
+
+
+def stage_models(tables: Mapping[str, DataFrame], mapping: Mapping[tuple, str] = LEAGUES) -> Models:
+    """All stage models over the given stage tables."""
+    return Models(stage_builders(mapping), tables)

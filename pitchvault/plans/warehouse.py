@@ -14,6 +14,7 @@ from pitchvault.operators.quality import check_all
 from pitchvault.plans import business_vault as bv
 from pitchvault.plans import checks, marts, raw_vault, stage_models
 from pitchvault.plans.contracts import CONTRACTS
+from pitchvault.plans.models import Models
 from pitchvault.sources.tables import append_table, export_mart, publish_mart, read_table
 
 
@@ -42,18 +43,11 @@ class Warehouse:
         return added
 
     def build_business_vault(self) -> dict[str, int]:
-        vault = self.vault()
-        counts = {}
-
-        def build(name: str, df: DataFrame) -> DataFrame:
+        built, counts = bv.business_vault(self.vault()), {}
+        for name in checks.BUSINESS_VAULT:
             path = self.path("business_vault", name)
-            counts[name] = export_mart(df, path)
-            return self.spark.read.parquet(path)
-
-        teams = build("pit_team_season", bv.pit_team_season(vault))
-        players = build("pit_player_season", bv.pit_player_season(vault))
-        build("br_player_team_season", bv.br_player_team_season(vault, players))
-        build("br_team_competition_season", bv.br_team_competition_season(teams))
+            counts[name] = export_mart(built[name], path)
+            built[name] = self.spark.read.parquet(path)
         return counts
 
     def build_marts(
@@ -61,10 +55,10 @@ class Warehouse:
         focus_team: str = marts.FOCUS_TEAM, focus_league: str = marts.FOCUS_LEAGUE,
     ) -> dict[str, int]:
         """Rebuild every mart; the ratings come last and read the written match facts."""
-        business = {n: self.table("business_vault", n) for n in checks.BUSINESS_VAULT}
-        stage = {"stg_sb_matches": stage_models.stg_sb_matches(tables["sb_matches"])}
-        built = marts.marts(self.vault(), business, stage, focus_team, focus_league)
-        counts = {n: export_mart(df, self.path("marts", n)) for n, df in built.items()}
+        given = self.vault() | {n: self.table("business_vault", n) for n in checks.BUSINESS_VAULT}
+        given["stg_sb_matches"] = stage_models.stg_sb_matches(tables["sb_matches"])
+        built = Models(marts.builders(focus_team, focus_league), given)
+        counts = {n: export_mart(built[n], self.path("marts", n)) for n in checks.MARTS}
         rated = marts.elo_history(self.table("marts", "mart_match_facts"))
         path = self.path("work", "elo_history")
         export_mart(rated, path)

@@ -25,6 +25,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, **extra
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("pitchvault")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
     )

@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
+# Spark's default text form of timestamps stops at milliseconds.
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 
 def snapshot_path(
     source: str,
@@ -42,6 +45,7 @@ def write_snapshot(df: DataFrame, root: str, keys: Sequence[str]) -> None:
     """
     (
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .options(timestampNTZFormat=MICROSECONDS, timestampFormat=MICROSECONDS + "XXX")
         .option("ignoreNullFields", "false").partitionBy(*keys).json(root)
     )
 
