@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from pitchvault.operators.reshape import unpivot_sides
 from pitchvault.operators.versions import top_n
@@ -36,29 +37,37 @@ def margin_factor(margin: int) -> float:
     return 1.0 if margin < 2 else math.log(margin + 1)
 
 
-def _fold(k: float, advantage: float, start: float):
+def _fold(k: float, advantage: float, start: float, schema: pa.Schema):
     """Per-partition fold; memory holds the ratings of the pool at hand and one batch."""
+    rated = ("match_seq", "home_before", "home_after", "away_before", "away_after")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool, ratings, seq = None, {}, 0
         for batch in batches:
-            n = len(batch)
-            out = {c: [0.0] * n for c in ("home_before", "home_after", "away_before", "away_after")}
-            seqs = [0] * n
-            columns = (batch[c].tolist() for c in ("pool", "home", "away", "home_goals", "away_goals"))
-            for i, (p, home, away, gh, ga) in enumerate(zip(*columns)):
+            col = {name: batch.column(name).to_pylist() for name in batch.schema.names}
+            keep, out = [], {c: [] for c in rated}
+            sides = zip(col["pool"], col["home"], col["away"], col["home_goals"], col["away_goals"], col["seed"], col["seed_seq"])
+            for i, (p, home, away, gh, ga, seed, seed_seq) in enumerate(sides):
                 if p != pool:
                     pool, ratings, seq = p, {}, 0
+                if seed is not None:
+                    ratings[home], seq = seed, max(seq, seed_seq)
+                    continue
                 seq += 1
                 rh, ra = ratings.get(home, start), ratings.get(away, start)
                 eh = expected_home(rh, ra, advantage)
                 won = 1.0 if gh > ga else 0.0 if gh < ga else 0.5
                 weight = k * margin_factor(abs(gh - ga))
-                seqs[i] = seq
-                out["home_before"][i], out["away_before"][i] = rh, ra
-                ratings[home] = out["home_after"][i] = rh + weight * (won - eh)
-                ratings[away] = out["away_after"][i] = ra + weight * ((1.0 - won) - (1.0 - eh))
-            yield batch.assign(match_seq=seqs, **out)
+                ratings[home] = rh_new = rh + weight * (won - eh)
+                ratings[away] = ra_new = ra + weight * ((1.0 - won) - (1.0 - eh))
+                keep.append(i)
+                for c, v in zip(rated, (seq, rh, rh_new, ra, ra_new)):
+                    out[c].append(v)
+            matches = batch.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[f.name], f.type) if f.name in out else matches.column(f.name) for f in schema],
+                schema=schema,
+            )
 
     return run
 
@@ -70,6 +79,7 @@ def elo_history(
     home_advantage: float = HOME_ADVANTAGE,
     start: float = START_RATING,
     tie_break: Sequence[str] = ("match_hk",),
+    ratings: DataFrame | None = None,
 ) -> DataFrame:
     """Two rows per played match, with the rating of the side before and after it.
 
@@ -78,30 +88,39 @@ def elo_history(
     run in parallel. The stream is sorted outside the heap and never gathered: a task
     holds one batch and the ratings of one pool's teams.
 
-    ``match_seq`` numbers the matches of a pool.
+    ``match_seq`` numbers the matches of a pool. ``ratings`` (``ratings_after`` of an
+    earlier history) carries on from there, with matches that all lie after it; so a long
+    history can be rated in pieces, and a daily run rates the new matches only.
     """
     ordered = (
         played(matches)
         .select(
-            F.col(pool).alias("pool"), "season_year", "match_date",
+            F.col(pool).alias("pool"), F.col("season_year").cast("int"), F.col("match_date").cast("date"),
             F.col("home_team_title").alias("home"), F.col("away_team_title").alias("away"),
-            F.col("home_goals").cast("int"), F.col("away_goals").cast("int"), *tie_break,
+            F.col("home_goals").cast("int"), F.col("away_goals").cast("int"),
+            F.lit(None).cast("double").alias("seed"), F.lit(None).cast("long").alias("seed_seq"), *tie_break,
         )
     )
+    if ratings is not None:
+        seeds = ratings.select(
+            F.col(pool).alias("pool"), F.col("team_title").alias("home"),
+            F.col("rating").alias("seed"), F.col("match_seq").alias("seed_seq"),
+        )
+        ordered = ordered.unionByName(seeds, allowMissingColumns=True)
     # A fixed count: sized by bytes, the pools would be merged into few tasks, but the
     # cost here is the arithmetic per row.
     tasks = int(ordered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
         ordered.repartition(tasks, "pool")
-        .sortWithinPartitions("pool", "match_date", "home", *tie_break)
+        .sortWithinPartitions("pool", F.col("seed").isNull(), "match_date", "home", *tie_break)
         .drop(*tie_break)
     )
+    kept = [f for f in ordered.schema.fields if f.name not in ("seed", "seed_seq")]
     schema = T.StructType([
-        *ordered.schema.fields,
-        T.StructField("match_seq", T.LongType()),
+        *kept, T.StructField("match_seq", T.LongType()),
         *[T.StructField(c, T.DoubleType()) for c in ("home_before", "home_after", "away_before", "away_after")],
     ])
-    rated = ordered.mapInPandas(_fold(k, home_advantage, start), schema)
+    rated = ordered.mapInArrow(_fold(k, home_advantage, start, to_arrow_schema(schema)), schema)
 
     def side(me: str, other: str, is_home: int) -> dict:
         return {
@@ -117,6 +136,13 @@ def elo_history(
     ).withColumn("rating_delta", F.col("rating_after") - F.col("rating_before"))
 
 
+def ratings_after(history: DataFrame, pool: str = "league_id") -> DataFrame:
+    """Last rating per team, with the number of its match, to carry on from."""
+    return history.groupBy("team_title", pool).agg(
+        F.max_by("rating_after", "match_seq").alias("rating"), F.max("match_seq").alias("match_seq"),
+    )
+
+
 def elo_current(history: DataFrame, pool: str = "league_id") -> DataFrame:
     """Final and peak rating per team, with the first date of the peak."""
     return history.groupBy("team_title", pool).agg(

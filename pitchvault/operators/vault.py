@@ -20,13 +20,9 @@ def with_lineage(df: DataFrame, ldts: Column, rsrc: str) -> DataFrame:
     return df.withColumns({"ldts": ldts, "rsrc": F.lit(rsrc)})
 
 
-def _first_seen(rows: DataFrame, key: str, existing: DataFrame | None) -> DataFrame:
-    ties = [F.col(c).asc() for c in rows.columns if c not in (key, "ldts", "rsrc")]
-    once = latest(rows, [key], [F.col("ldts").asc(), F.col("rsrc").asc(), *ties])
-    if existing is None:
-        return once
+def _unknown(once: DataFrame, key: str, existing: DataFrame | None) -> DataFrame:
     # The rows arrive partitioned by the key, which the anti join uses as it is.
-    return once.join(existing.select(key), key, "left_anti")
+    return once if existing is None else once.join(existing.select(key), key, "left_anti")
 
 
 def load_hub(
@@ -35,12 +31,20 @@ def load_hub(
     business_keys: Sequence[str],
     existing: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per hash key over all sources, earliest load first; known keys are left out."""
+    """One row per hash key over all sources, earliest load first; known keys are left out.
+
+    A hub key repeats on most source rows. They collapse in a hash aggregate before the
+    shuffle (its only state is a timestamp); what is left per key is one row per spelling
+    and record source.
+    """
     cols = [key, *business_keys, "ldts", "rsrc"]
     rows = sources[0].select(*cols)
     for s in sources[1:]:
         rows = rows.unionByName(s.select(*cols))
-    return _first_seen(rows, key, existing)
+    spelled = rows.groupBy(key, *business_keys, "rsrc").agg(F.min("ldts").alias("ldts")).select(*cols)
+    ties = [F.col(c).asc() for c in business_keys]
+    once = latest(spelled, [key], [F.col("ldts").asc(), F.col("rsrc").asc(), *ties])
+    return _unknown(once, key, existing)
 
 
 def load_link(
@@ -50,9 +54,13 @@ def load_link(
     existing: DataFrame | None = None,
     attrs: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per link key with its hub keys and role attributes; known keys are left out."""
+    """One row per link key with its hub keys and role attributes; known keys are left out.
+
+    Links repeat little, so the earliest row per key is picked in one shuffle.
+    """
     rows = source.select(key, *hub_keys, *attrs, "ldts", "rsrc")
-    return _first_seen(rows, key, existing)
+    once = latest(rows, [key], [F.col("ldts").asc(), F.col("rsrc").asc()])
+    return _unknown(once, key, existing)
 
 
 def load_sat(

@@ -172,12 +172,15 @@ def mart_team_elo_current(history: DataFrame) -> DataFrame:
 
 
 def builders(focus_team: str = FOCUS_TEAM, focus_league: str = FOCUS_LEAGUE) -> dict:
-    """Builders of all marts but the two rating marts."""
+    """Builders of all marts. ``elo_history`` is the numbered history behind the rating marts."""
     return {
         "mart_league_table": lambda m: mart_league_table(m["pit_team_season"]),
         "mart_top_scorers": lambda m: mart_top_scorers(m["pit_player_season"], m["br_player_team_season"]),
         "mart_match_facts": lambda m: mart_match_facts(m["sat_match_xg"]),
         "mart_player_overperformers": lambda m: mart_player_overperformers(m["pit_player_season"]),
         "mart_team_xg_trend": lambda m: mart_team_xg_trend(m["sat_match_xg"]),
+        "elo_history": lambda m: elo_history(m["mart_match_facts"]),
+        "mart_team_elo_history": lambda m: mart_team_elo_history(m["elo_history"]),
+        "mart_team_elo_current": lambda m: mart_team_elo_current(m["elo_history"]),
         "mart_sb_la_liga_history": lambda m: mart_team_history(m["stg_sb_matches"], focus_team, focus_league),
     }

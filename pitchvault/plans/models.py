@@ -2,21 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame
 
+from pitchvault.sources.tables import export_mart
+
 
 class Models(dict):
     """Mapping of model names to DataFrames; an unread model costs no analysis.
 
-    A builder gets the mapping itself, so models can read each other by name.
+    A builder gets the mapping itself, so models can read each other by name. Models
+    named in ``write`` are written below ``root`` when built and read back: those that
+    several others read are then worked out once.
     """
 
-    def __init__(self, builders: Mapping[str, Callable[["Models"], DataFrame]], given: Mapping[str, DataFrame] | None = None):
+    def __init__(
+        self,
+        builders: Mapping[str, Callable[["Models"], DataFrame]],
+        given: Mapping[str, DataFrame] | None = None,
+        write: Collection[str] = (),
+        root: str | None = None,
+    ):
         super().__init__(given or {})
-        self._builders = builders
+        self._builders, self._write, self._root = builders, set(write), root
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = self._builders[name](self)
-        return self[name]
+        df = self._builders[name](self)
+        if name in self._write:
+            path = f"{self._root}/{name}"
+            export_mart(df, path)
+            df = df.sparkSession.read.parquet(path)
+        self[name] = df
+        return df

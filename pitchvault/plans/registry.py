@@ -93,22 +93,33 @@ MODEL_DECIMALS = {
 }
 
 
-def models(t: B.Tables) -> Models:
-    """Every football model over the derived stage tables."""
+# Read by several models above them.
+SHARED = ("understat_players", "understat_teams", "pit_player_season", "pit_team_season", "elo_history")
+
+
+def models(t: B.Tables, write: tuple[str, ...] = SHARED) -> Models:
+    """Every football model over the derived stage tables; shared ones are written once."""
     return Models(
-        {**B.stage_builders(t), **S.stage_builders(B.LEAGUES), **RV.builders(), **BV.BUILDERS, **M.builders(B.FOCUS_TEAM, B.FOCUS_LEAGUE)})
+        {**B.stage_builders(t), **S.stage_builders(B.LEAGUES), **RV.builders(), **BV.BUILDERS,
+         **M.builders(B.FOCUS_TEAM, B.FOCUS_LEAGUE)},
+        write=write, root=scratch(t.spark, "models"))
 
 
 def rated(t: B.Tables) -> DataFrame:
-    return E.elo_history(models(t)["mart_match_facts"])
+    return models(t)["elo_history"]
 
 
 def _register_models() -> None:
     def sql(name: str) -> str:
         return model_sql(name, MODEL_DECIMALS.get(name, ()))
 
-    for name in (*S.stage_builders(), *RV.TABLES, *BV.BUILDERS, *M.builders()):
-        query(name, sql(name))(lambda t, n=name: models(t)[n])
+    for name in (*S.stage_builders(), *RV.TABLES):
+        query(name, sql(name))(lambda t, n=name: models(t, ())[n])
+    for name in (*BV.BUILDERS, *M.builders()):
+        if "elo" not in name:
+            # The result itself need not be written.
+            shared = tuple(s for s in SHARED if s != name)
+            query(name, sql(name))(lambda t, n=name, w=shared: models(t, w)[n])
 
 
 _register_models()
@@ -119,14 +130,14 @@ ELO_ROUNDED = "round(rating_before, 6) AS rating_before, round(rating_after, 6)
 @query("mart_team_elo_history", f"""
     SELECT * REPLACE ({ELO_ROUNDED}, round(rating_delta, 6) AS rating_delta) FROM mart_team_elo_history""")
 def _(t):
-    return M.mart_team_elo_history(rated(t)).withColumns(
+    return models(t)["mart_team_elo_history"].withColumns(
         {c: F.round(c, 6) for c in ("rating_before", "rating_after", "rating_delta")})
 
 
 @query("mart_team_elo_current", """
     SELECT * REPLACE (round(current_rating, 6) AS current_rating, round(peak_rating, 6) AS peak_rating) FROM mart_team_elo_current""")
 def _(t):
-    return M.mart_team_elo_current(rated(t)).withColumns(
+    return models(t)["mart_team_elo_current"].withColumns(
         {c: F.round(c, 6) for c in ("current_rating", "peak_rating")})
 
 
@@ -190,7 +201,7 @@ query("dash_top_elo_all_leagues", _ELO_TOP.format(where="", n=20))(
 query("dash_elo_evolution", """
     SELECT league_id, team_title, match_date, round(rating_after, 6) AS rating_after
     FROM mart_team_elo_history WHERE is_top3_in_league = 1""")(
-    lambda t: D.elo_evolution(M.mart_team_elo_history(rated(t))).withColumn("rating_after", F.round("rating_after", 6)))
+    lambda t: D.elo_evolution(models(t)["mart_team_elo_history"]).withColumn("rating_after", F.round("rating_after", 6)))
 
 query("dash_focus_team_seasons", """
     SELECT * REPLACE (CAST(avg_goals_scored AS DOUBLE) AS avg_goals_scored, CAST(avg_goals_conceded AS DOUBLE) AS avg_goals_conceded)
@@ -645,12 +656,7 @@ SAT_CHECKS = {n: checks.RAW_VAULT[n] for n in RV.SATS}
 def _written_checks(layer: dict, parents: tuple[str, ...] = ()):
     """Write the tables once, then check them: every check would otherwise rebuild them."""
     def run(t: B.Tables) -> DataFrame:
-        built, found, root = models(t), {}, scratch(t.spark, "checks")
-        # Parents first: what is written is read, not rebuilt, by the tables that need it.
-        for n in dict.fromkeys((*parents, *layer)):
-            tables.export_mart(built[n], f"{root}/{n}")
-            found[n] = built[n] = t.spark.read.parquet(f"{root}/{n}")
-        return Q.check_all(layer, found)
+        return Q.check_all(layer, models(t, (*SHARED, *layer, *parents)))
 
     return run
 
@@ -661,7 +667,7 @@ query("checks_satellites", _layer_checks(SAT_CHECKS))(
     _written_checks(SAT_CHECKS, ("hub_team", "hub_player", "hub_match")))
 query("checks_business_vault", _layer_checks(checks.BUSINESS_VAULT))(
     _written_checks(checks.BUSINESS_VAULT, ("hub_team", "hub_player", "hub_competition", "hub_season")))
-query("checks_marts", _layer_checks(checks.MARTS))(_written_checks(checks.MARTS, ("sat_match_xg", "pit_player_season")))
+query("checks_marts", _layer_checks(checks.MARTS))(_written_checks(checks.MARTS, ("sat_match_xg",)))
 
 
 def _contract_sql(name: str) -> str:

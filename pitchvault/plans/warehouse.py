@@ -15,7 +15,7 @@ from pitchvault.plans import business_vault as bv
 from pitchvault.plans import checks, marts, raw_vault, stage_models
 from pitchvault.plans.contracts import CONTRACTS
 from pitchvault.plans.models import Models
-from pitchvault.sources.tables import append_table, export_mart, publish_mart, read_table
+from pitchvault.sources.tables import append_table, publish_mart, read_table
 
 
 class Warehouse:
@@ -43,32 +43,23 @@ class Warehouse:
         return added
 
     def build_business_vault(self) -> dict[str, int]:
-        built, counts = bv.business_vault(self.vault()), {}
-        for name in checks.BUSINESS_VAULT:
-            path = self.path("business_vault", name)
-            counts[name] = export_mart(built[name], path)
-            built[name] = self.spark.read.parquet(path)
-        return counts
+        root = self.path("business_vault", "").rstrip("/")
+        return self._built(Models(bv.BUILDERS, self.vault(), checks.BUSINESS_VAULT, root), checks.BUSINESS_VAULT)
+
+    @staticmethod
+    def _built(models: Models, names) -> dict[str, int]:
+        return {name: models[name].count() for name in names}
 
     def build_marts(
         self, tables: Mapping[str, DataFrame],
         focus_team: str = marts.FOCUS_TEAM, focus_league: str = marts.FOCUS_LEAGUE,
     ) -> dict[str, int]:
-        """Rebuild every mart; the ratings come last and read the written match facts."""
+        """Rebuild every mart; the ratings read the written match facts and history."""
         given = self.vault() | {n: self.table("business_vault", n) for n in checks.BUSINESS_VAULT}
         given["stg_sb_matches"] = stage_models.stg_sb_matches(tables["sb_matches"])
-        built = Models(marts.builders(focus_team, focus_league), given)
-        counts = {n: export_mart(built[n], self.path("marts", n)) for n in checks.MARTS}
-        rated = marts.elo_history(self.table("marts", "mart_match_facts"))
-        path = self.path("work", "elo_history")
-        export_mart(rated, path)
-        history = self.spark.read.parquet(path)
-        for name, df in (
-            ("mart_team_elo_current", marts.mart_team_elo_current(history)),
-            ("mart_team_elo_history", marts.mart_team_elo_history(history)),
-        ):
-            counts[name] = export_mart(df, self.path("marts", name))
-        return counts
+        builders = marts.builders(focus_team, focus_league)
+        root = self.path("marts", "").rstrip("/")
+        return self._built(Models(builders, given, builders, root), builders)
 
     def check(self) -> DataFrame:
         """Failures of all checks over the written tables."""
