@@ -6,8 +6,6 @@ operator to whole driver tables.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +33,7 @@ from pitchvault.plans.models import Models
 from pitchvault.plans.oracle_sql import md5_keys, md5_of, model_sql, with_models
 from pitchvault.session import configure
 from pitchvault.sources import snapshots, tables
+from pitchvault.sources.tables import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,13 +65,6 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """Fresh folder below the cluster's shared folder; a local one only where none is set."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pitchvault-"))
-    return f"{tables.scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 # ---------------------------------------------------------------- football models
 
 PLAYER_DECIMALS = ("xg", "xa", "npxg", "xg_chain", "xg_buildup")

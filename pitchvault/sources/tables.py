@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -70,8 +72,18 @@ def publish_mart(spark: SparkSession, exported: str, path: str, contract: Contra
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables, as the cluster names it."""
+    """Shared folder for intermediate tables, as the cluster names it.
+
+    Only a session on one machine may fall back to a folder of that machine.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
+    if root:
+        return root.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("spark.checkpoint.dir is not set")
-    return root
+    return tempfile.mkdtemp(prefix="pitchvault-")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder below ``scratch_root`` that nothing else uses."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
