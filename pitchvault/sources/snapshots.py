@@ -81,11 +81,8 @@ def read_snapshot(
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         log.warning("no snapshot below %s", base)
-        columns = {**levels, "source_file": "string"}
-        ddl = T.StructType([*schema.fields])
-        for name, t in columns.items():
-            ddl = ddl.add(name, t)
-        return spark.createDataFrame([], ddl)
+        added = {**levels, "source_file": "string"}
+        return spark.createDataFrame([], schema).withColumns({c: F.lit(None).cast(t) for c, t in added.items()})
 
     rows = with_source_file(raw)
     if "season" in raw.columns:
