@@ -28,10 +28,14 @@ def lookup(
     Dimension rows with a NULL key part are left out; of several rows for one key the
     first in ``order_by`` order counts. ``unresolved`` takes the number of misses as the
     metric ``unresolved`` of whatever action runs the result.
+
+    The join runs on one struct of the keys. Joined on the keys themselves, ``df`` would
+    be laid out like the dimension's own grouping and a key on many rows could not be
+    split; this way AQE may split it.
     """
     listed = dim.dropna(subset=list(on))
-    once = latest(listed, on, order_by).select(*on, value)
-    out = df.join(once, list(on), "left")
+    once = latest(listed, on, order_by).select(F.struct(*on).alias("__key"), value)
+    out = df.withColumn("__key", F.struct(*on)).join(once, "__key", "left").drop("__key")
     if unresolved is not None:
         out = out.observe(unresolved, F.count_if(F.col(value).isNull()).alias("unresolved"))
     return out

@@ -15,7 +15,7 @@ DEFAULT_SEASON = 2025
 def native_filter(df: DataFrame, league: str | None = None, season: int | None = None) -> DataFrame:
     """League and season filter; ``None`` lets everything through.
 
-    Both are partition columns of the ranking windows, so the filters reach the scan.
+    Marts are sorted by these columns, so on written marts the filters skip row groups.
     """
     if league is not None:
         df = df.filter(F.col("league_id") == league)
