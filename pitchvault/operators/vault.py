@@ -71,7 +71,7 @@ def load_sat(
     existing: DataFrame | None = None,
     context: Sequence[str] = (),
     split: Column | None = None,
-    copies: bool = True,
+    keyed: bool = False,
 ) -> DataFrame:
     """Append a version where the hashdiff differs from the version before it.
 
@@ -81,37 +81,31 @@ def load_sat(
     Versions are compared in order of ``ldts`` in runs of one key and one ``split`` value
     (default: the day of ``ldts``; any expression that grows with ``ldts`` will do). The
     first survivor of each run is then held against the end of the run before, so no task
-    ever sorts the whole history of a key. ``copies`` collapses equal versions before that
-    shuffle; turn it off for a source whose key rules copies out, and save one shuffle.
+    ever sorts the whole history of a key.
+
+    ``keyed`` says that the source has a primary key that leaves few rows per satellite
+    key, like a stage table with one row per key and load. Then one window per key will
+    do, in one shuffle instead of three.
     """
     ident = [key, *context]
     cols = list(dict.fromkeys([key, hashdiff, *context, *payload, "ldts", "rsrc"]))
-    rows = source.select(*cols)
-
-    if existing is not None:
-        stored = latest(
-            existing.select(*ident, hashdiff, "ldts"), ident,
-            [F.col("ldts").desc(), F.col(hashdiff).desc()],
-        ).select(
-            *[F.col(c).alias(f"__k{i}") for i, c in enumerate(ident)],
-            F.col(hashdiff).alias("__stored"), F.col("ldts").alias("__stored_ldts"),
-        )
-        same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(ident)]
-        rows = (
-            rows.join(stored, same, "left")
-            .filter(F.col("__stored_ldts").isNull() | (F.col("ldts") > F.col("__stored_ldts")))
-            .drop("__stored_ldts", *[f"__k{i}" for i in range(len(ident))])
-        )
-    else:
-        rows = rows.withColumn("__stored", F.lit(None).cast("string"))
-
+    rows = _with_stored(source.select(*cols), ident, hashdiff, existing)
     others = [F.col(c).asc() for c in cols if c not in (*ident, "ldts", hashdiff)]
-    if copies:
-        rows = latest(rows, [*ident, "ldts", hashdiff], others)
+    in_order = [F.col("ldts"), F.col(hashdiff), *others]
+
+    def differs(before: Column) -> Column:
+        return before.isNull() | (before != F.col(hashdiff))
 
+    if keyed:
+        per_key = W.partitionBy(*ident).orderBy(*in_order)
+        before = F.coalesce(F.lag(hashdiff).over(per_key), F.col("__stored"))
+        return rows.withColumn("__before", before).filter(differs(F.col("__before"))).select(*cols)
+
+    # Copies of a version collapse before the shuffle that lays out the runs.
+    rows = latest(rows, [*ident, "ldts", hashdiff], others)
     rows = rows.withColumn("__run", F.date_trunc("day", "ldts") if split is None else split)
     rows = rows.repartition(*ident, "__run")
-    run = W.partitionBy(*ident, "__run").orderBy(F.col("ldts"), F.col(hashdiff), *others)
+    run = W.partitionBy(*ident, "__run").orderBy(*in_order)
     whole_run = run.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     changes = (
         rows.withColumns({
@@ -128,7 +122,21 @@ def load_sat(
     before = F.coalesce(F.lag("__end").over(across), F.col("__stored"))
     return (
         changes.withColumn("__before", before)
-        .filter(~F.col("__first") | F.col("__before").isNull() | (F.col("__before") != F.col(hashdiff)))
+        .filter(~F.col("__first") | differs(F.col("__before")))
         .select(*cols)
     )
 
+
+def _with_stored(rows: DataFrame, ident: Sequence[str], hashdiff: str, existing: DataFrame | None) -> DataFrame:
+    """Rows newer than their key's stored version, with its hashdiff as ``__stored``."""
+    if existing is None:
+        return rows.withColumn("__stored", F.lit(None).cast("string"))
+    newest = [F.col("ldts").desc(), F.col(hashdiff).desc()]
+    stored = latest(existing.select(*ident, hashdiff, "ldts"), ident, newest).select(
+        # One struct: keys with a NULL context match too, and a hot key can be split.
+        F.struct(*ident).alias("__key"),
+        F.col(hashdiff).alias("__stored"), F.col("ldts").alias("__stored_ldts"),
+    )
+    joined = rows.withColumn("__key", F.struct(*ident)).join(stored, "__key", "left")
+    unseen = F.col("__stored_ldts").isNull() | (F.col("ldts") > F.col("__stored_ldts"))
+    return joined.filter(unseen).drop("__stored_ldts", "__key")

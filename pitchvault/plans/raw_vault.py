@@ -102,11 +102,11 @@ def load(name: str, stage: Mapping[str, DataFrame], existing: DataFrame | None =
         link = LINKS[name]
         return load_link(stage[link.source], link.key, link.hub_keys, existing, link.attrs)
     s = SATS[name]
-    # Team details come once per league and season of a team; the other stage tables are
-    # keyed by what their satellite versions, so they hold no copies.
+    # The stage tables hold one row per load for what these satellites version, except
+    # that a team comes once per league and season.
     return load_sat(
         stage[s.source], s.key, s.hashdiff, s.payload, existing, s.context,
-        copies=name == "sat_team_details",
+        keyed=name != "sat_team_details",
     )
 
 

@@ -77,8 +77,8 @@ def expected_versions(data, stored=()):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("seed,copies", [(1, True), (2, True), (3, False)])
-def test_satellite_against_a_plain_pass(frame, rows, seed, copies):
+@pytest.mark.parametrize("seed,keyed", [(1, False), (2, False), (3, True)])
+def test_satellite_against_a_plain_pass(frame, rows, seed, keyed):
     rnd = random.Random(seed)
     data = []
     for _ in range(1500):
@@ -86,18 +86,18 @@ def test_satellite_against_a_plain_pass(frame, rows, seed, copies):
         data.append((hk, rnd.choice("AB"), rnd.randrange(3), at(rnd.randrange(30), rnd.randrange(24)), "s"))
     cut = at(12)
     early, late = [r for r in data if r[3] < cut], data
-    first = load_sat(frame(SAT, *early), "hk", "hd", ["pay"], copies=copies)
+    first = load_sat(frame(SAT, *early), "hk", "hd", ["pay"], keyed=keyed)
     assert rows(first) == sorted(
         [(hk, hd, p, t, s) for hk, hd, p, t, s in expected_versions(early)], key=repr)
-    again = load_sat(frame(SAT, *late), "hk", "hd", ["pay"], existing=first, copies=copies)
+    again = load_sat(frame(SAT, *late), "hk", "hd", ["pay"], existing=first, keyed=keyed)
     assert rows(again) == expected_versions([r for r in data], expected_versions(early))
 
 
 def test_satellite_does_not_gather_a_key(frame):
     df = frame(SAT, ("k", "A", 1, at(0), "s"))
-    plan = load_sat(df, "hk", "hd", ["pay"])._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(hk" in plan and "__run" in plan
-    assert "WindowGroupLimit" in plan
+    plan = lambda **how: load_sat(df, "hk", "hd", ["pay"], **how)._jdf.queryExecution().executedPlan().toString()
+    assert "__run" in plan() and "WindowGroupLimit" in plan()
+    assert plan(keyed=True).count("Exchange") == 1
 
 
 def test_latest_and_top_n(frame, rows):
