@@ -7,6 +7,7 @@ operator to whole driver tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pitchvault.functions import payload as P
 from pitchvault.operators import elo as E
 from pitchvault.operators import load as L
 from pitchvault.operators import quality as Q
+from pitchvault.operators.elo_pieces import rate_in_pieces
 from pitchvault.operators.lookup import lookup, map_slug, semi_filter
 from pitchvault.operators.matching import same_as
 from pitchvault.operators.reshape import explode_delimited, unpivot_sides
@@ -34,6 +36,7 @@ from pitchvault.plans.oracle_sql import md5_keys, md5_of, model_sql, with_models
 from pitchvault.session import configure
 from pitchvault.sources import snapshots, tables
 from pitchvault.sources.tables import scratch
+from pitchvault.streaming.vault_stream import read_new_files, stream_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -139,6 +142,14 @@ def _(t):
         {c: F.round(c, 6) for c in ("rating_before", "rating_after")})
 
 
+@query("elo_history_in_pieces", f"SELECT * EXCLUDE (match_seq) REPLACE ({ELO_ROUNDED}) FROM elo_history")
+def _(t):
+    root = scratch(t.spark, "pieces")
+    facts = models(t, ("mart_match_facts",))["mart_match_facts"]
+    return rate_in_pieces(facts, [date(1997, 1, 1)], root).drop("rating_delta", "match_seq").withColumns(
+        {c: F.round(c, 6) for c in ("rating_before", "rating_after")})
+
+
 @query("elo_top_teams", "SELECT * FROM elo_top")
 def _(t):
     return E.top_teams(rated(t))
@@ -323,6 +334,20 @@ def _(t):
     return load_hub([_orders_stage(t)], "customer_hk", ["customer_bk"])
 
 
+@query("hub_customer_stream", _HUB_CUSTOMER)
+def _(t):
+    """The orders arrive as files; the hub is loaded by a query that stops when none is left."""
+    root = scratch(t.spark, "stream")
+    _orders_stage(t).select("customer_hk", "customer_bk", "ldts", "rsrc").write.parquet(f"{root}/arrived")
+    arriving = read_new_files(t.spark, f"{root}/arrived", t.spark.read.parquet(f"{root}/arrived").schema)
+
+    def load(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
+        return load_hub([batch], "customer_hk", ["customer_bk"], existing)
+
+    stream_load(arriving, load, f"{root}/hub", f"{root}/progress").awaitTermination()
+    return t.spark.read.parquet(f"{root}/hub")
+
+
 @query("hub_customer_increment", f"SELECT * FROM ({_HUB_CUSTOMER}) WHERE ldts >= TIMESTAMP '1996-01-01'")
 def _(t):
     orders = _orders_stage(t)

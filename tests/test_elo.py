@@ -108,3 +108,28 @@ def test_top_ties_go_to_the_team_seen_first(frame, rows):
 def test_formula():
     assert E.expected_home(1500, 1600) == 0.5
     assert [E.margin_factor(n) for n in (0, 1, 2, 5)] == [1.0, 1.0, math.log(3), math.log(6)]
+
+
+def test_rating_in_pieces_equals_the_whole(frame, tmp_path):
+    from pitchvault.operators.elo_pieces import rate_in_pieces
+
+    matches = season(6, n=200, pools=2)
+    # A pool in which two pairs of teams never meet the others.
+    matches += [(f"x{i}", "L9", 2024, date(2024, 1, 1 + i), *pair, i % 4, 1) for i in range(20) for pair in (("P", "Q"), ("R", "S"))]
+    df = frame(SCHEMA, *matches)
+    whole = E.elo_history(df)
+    pieces = rate_in_pieces(df, [date(2024, 1, 15), date(2024, 2, 10)], str(tmp_path))
+    cols = ["league_id", "team_title", "opponent_title", "match_date", "is_home", "goals_for", "rating_before", "rating_after"]
+    order = lambda x: sorted(tuple(r) for r in x.select(*cols).collect())
+    assert order(whole) == order(pieces)
+    final = lambda h: sorted(tuple(r) for r in E.elo_current(h).select("league_id", "team_title", "current_rating", "peak_rating", "peak_match_date").collect())
+    assert final(whole) == final(pieces)
+
+
+def test_connected_teams(frame, tmp_path):
+    from pitchvault.operators.elo_pieces import connected_teams
+
+    df = frame("league_id string, home_team_title string, away_team_title string",
+               ("L", "e", "d"), ("L", "d", "c"), ("L", "c", "b"), ("L", "b", "a"), ("L", "y", "z"), ("M", "a", "z"))
+    got = {(r.league_id, r.team_title): r.grp for r in connected_teams(df, "league_id", str(tmp_path)).collect()}
+    assert got == {**{("L", t): "a" for t in "abcde"}, ("L", "y"): "y", ("L", "z"): "y", ("M", "a"): "a", ("M", "z"): "a"}
