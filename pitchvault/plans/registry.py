@@ -30,6 +30,7 @@ from pitchvault.plans import checks, contracts
 from pitchvault.plans import dashboards as D
 from pitchvault.plans import marts as M
 from pitchvault.plans import raw_vault as RV
+from pitchvault.plans import stage_loads as SL
 from pitchvault.plans import stage_models as S
 from pitchvault.plans.models import Models
 from pitchvault.plans.oracle_sql import md5_keys, md5_of, model_sql, with_models
@@ -727,6 +728,22 @@ def _(t):
     return P.nan_to_null(read).withColumn("has_file", F.col("source_file").contains("dt=2024-02-01")).drop("source_file")
 
 
+@query("snapshot_stage_load_matches", """
+    SELECT * EXCLUDE (ldts) REPLACE (CAST(home_xg AS DOUBLE) AS home_xg, CAST(away_xg AS DOUBLE) AS away_xg) FROM stg_understat_matches""")
+def _(t):
+    """Match items written as a day's snapshot, loaded into the stage table and staged."""
+    root = scratch(t.spark, "lake")
+    items = B.understat_matches(t).select(
+        F.from_json("raw_payload", SL.MATCH).alias("item"), F.lit(S.SOURCE_A).alias("source"),
+        F.lit("matches").alias("endpoint"), "league_id", "season", F.lit("2024-02-01").alias("dt"))
+    levels = ["source", "endpoint", "league_id", "season", "dt"]
+    snapshots.write_snapshot(items.select("item.*", *levels), root, levels)
+    stage = SL.load_source_a(
+        t.spark, root, "matches", "2024-02-01", leagues=B.LEAGUES.values(),
+        loaded_at=F.lit("2024-02-01 04:00:00").cast("timestamp_ntz"), multiline=False)
+    return S.stg_understat_matches(stage).drop("ldts")
+
+
 @query("export_round_trip", """
     SELECT league_id, season_year, count(*) AS matches, CAST(sum(total_goals) AS BIGINT) AS goals, (SELECT count(*) FROM mart_match_facts) AS exported
     FROM mart_match_facts GROUP BY league_id, season_year""")
