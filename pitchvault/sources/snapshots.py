@@ -42,9 +42,11 @@ def write_snapshot(df: DataFrame, root: str, keys: Sequence[str]) -> None:
     """Write JSON partitioned by ``keys``; only the partitions in ``df`` are replaced.
 
     One JSON object per line: files split across tasks, which one array per file cannot.
+    Rows are gathered by partition first, large partitions over several tasks, so that
+    not every task writes a file into every partition.
     """
     (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        df.hint("rebalance", *[F.col(k) for k in keys]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .options(timestampNTZFormat=MICROSECONDS, timestampFormat=MICROSECONDS + "XXX")
         .option("ignoreNullFields", "false").partitionBy(*keys).json(root)
     )

@@ -38,8 +38,12 @@ def _counted_write(df: DataFrame, path: str, mode: str, partition_by: Sequence[s
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> int:
-    """Replace the partitions present in ``df``, also when ``df`` was read from ``path``."""
-    return _counted_write(df, path, "overwrite", partition_by)
+    """Replace the partitions present in ``df``, also when ``df`` was read from ``path``.
+
+    Rows are gathered by partition, large partitions over several tasks.
+    """
+    gathered = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    return _counted_write(gathered, path, "overwrite", partition_by)
 
 
 def export_mart(df: DataFrame, path: str) -> int:
