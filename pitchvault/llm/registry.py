@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pitchvault.llm import decontamination, jaccard_join, packing, secret_scan, token_counts, toxicity
+from pitchvault.llm import (
+    decontamination, jaccard_join, packing, pii, secret_scan, suffix_dedup, token_counts, topk, toxicity, url_filter,
+)
 from pitchvault.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +53,33 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer())
 
 
+@query()
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
+@query("""
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               CAST(list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2])) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+    ), ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""")
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(topk.quantised(read(spark, sf_dir, "embeddings")), F.col("vec_id") % 20 == 0)
+
+
+@query()
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.verdicts(read(spark, sf_dir, "pages"))
+
+
 @query()
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(read(spark, sf_dir, "documents"))
@@ -58,3 +88,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), tokenizer())
+
+
+@query()
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read(spark, sf_dir, "documents"))
