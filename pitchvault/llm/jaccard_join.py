@@ -95,7 +95,7 @@ def sketch(docs: DataFrame) -> np.ndarray:
             [pa.array([task] * len(parts), pa.int64()), pa.array(range(len(parts)), pa.int64()), pa.array([p.astype("<i8").tobytes() for p in parts])],
             names=["task", "part", "cells"])
 
-    def add(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         total = sum(fixed(c, "<i8") for c in rows["cells"])
         return pd.DataFrame({"task": [key[1]], "part": [key[0]], "cells": [total.astype("<i8").tobytes()]})
 

@@ -47,7 +47,7 @@ def luhn(m: str) -> str:
     """Whether the digits of ``m`` pass Luhn's check."""
     double = "(2 * CAST(d AS INT)) DIV 10 + (2 * CAST(d AS INT)) % 10"
     each = f"transform(split(reverse({_digits(m)}), ''), (d, i) -> CASE WHEN d = '' THEN 0 WHEN i % 2 = 1 THEN {double} ELSE CAST(d AS INT) END)"
-    return f"aggregate({each}, 0, (a, d) -> a + d) % 10 = 0"
+    return f"aggregate({each}, 0L, (a, d) -> a + d) % 10 = 0"
 
 
 def mod97(m: str) -> str:

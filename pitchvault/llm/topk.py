@@ -34,6 +34,7 @@ K = 20
 LEVELS = (4, 16)  # segments per vector, coarse to fine
 BLOCK = 4096
 CHUNK = 16_384
+_NONE = -(2**62)  # below any score
 _EXACT = 2.0**52  # sums of products below this are exact in double precision
 
 
@@ -62,13 +63,13 @@ def best(q_ids: np.ndarray, q: np.ndarray, x_ids: np.ndarray, x: np.ndarray, k:
     q_stats = [statistics(q.astype(float), s) for s in levels]
     x_stats = [statistics(x.astype(float), s) for s in levels]
     n = len(q)
-    top_score = np.full((n, k), np.iinfo(np.int64).min)
+    top_score = np.full((n, k), _NONE)
     top_id = np.full((n, k), np.iinfo(np.int64).max)
     have = np.zeros(n, np.int64)
     for at in range(0, len(x), step):
         ids, part = x_ids[at : at + step], x[at : at + step]
         alive = q_ids[:, None] != ids
-        bar = np.where(have >= k, top_score[:, -1], np.iinfo(np.int64).min).astype(float)
+        bar = np.where(have >= k, top_score[:, -1], -np.inf)
         for qs, xs in zip(q_stats, x_stats, strict=True):
             bound = qs @ xs[at : at + step].T
             alive &= bound + 1e-6 * (1 + np.abs(bound)) >= bar[:, None]
@@ -79,7 +80,7 @@ def best(q_ids: np.ndarray, q: np.ndarray, x_ids: np.ndarray, x: np.ndarray, k:
             continue
         scores = _scores(q[rows], part[cols])
         live = alive[np.ix_(rows, cols)]
-        all_scores = np.hstack([top_score[rows], np.where(live, scores, np.iinfo(np.int64).min)])
+        all_scores = np.hstack([top_score[rows], np.where(live, scores, _NONE)])
         all_ids = np.hstack([top_id[rows], np.where(live, ids[cols], np.iinfo(np.int64).max)])
         have[rows] += live.sum(axis=1)
         pick = _first(all_scores, all_ids, k)
@@ -112,7 +113,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, levels: Sequence[int
     spread = F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
     q = queries.select("d", spread.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(True).alias("asks"), "vec_id", "v")
     part = F.pmod(F.xxhash64("vec_id", "v"), F.lit(parts)).cast("int")
-    x = rows.select("d", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"), part.alias("part"), F.lit(False).alias("asks"), "vec_id", "v")
+    x = rows.select("d", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), part.alias("part"), F.lit(False).alias("asks"), "vec_id", "v")
 
     def cell(group: pd.DataFrame) -> pd.DataFrame:
         asks = group["asks"].to_numpy(bool)
