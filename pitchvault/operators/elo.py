@@ -144,21 +144,30 @@ def ratings_after(history: DataFrame, pool: str = "league_id") -> DataFrame:
 
 
 def elo_current(history: DataFrame, pool: str = "league_id") -> DataFrame:
-    """Final and peak rating per team, with the first date of the peak."""
-    return history.groupBy("team_title", pool).agg(
+    """Final and peak rating per team, with the first date of the peak.
+
+    Numbers only in both groupings, so that they hash instead of sorting the history.
+    """
+    keys = ["team_title", pool]
+    finals = history.groupBy(*keys).agg(
         F.max_by("rating_after", "match_seq").alias("current_rating"),
         F.max("rating_after").alias("peak_rating"),
-        F.min_by("match_date", F.struct(-F.col("rating_after"), "match_seq")).alias("peak_match_date"),
         F.count(F.lit(1)).cast("int").alias("matches_played"),
         F.max_by("match_date", "match_seq").alias("last_match_date"),
     )
+    # One struct: rows of a team that holds many of them may be split.
+    peaks = finals.select(F.struct(*keys, F.col("peak_rating").alias("rating")).alias("__peak"))
+    reached = history.withColumn("__peak", F.struct(*keys, F.col("rating_after").alias("rating"))).join(peaks, "__peak", "left_semi")
+    first = reached.groupBy(*keys).agg(F.min_by("match_date", "match_seq").alias("peak_match_date"))
+    return finals.join(first, keys).select(
+        *keys, "current_rating", "peak_rating", "peak_match_date", "matches_played", "last_match_date")
 
 
 def top_teams(history: DataFrame, n: int = 3, pool: str = "league_id") -> DataFrame:
     """The ``n`` best teams of each pool by final rating; ties go to the team seen first."""
     finals = history.groupBy("team_title", pool).agg(
         F.max_by("rating_after", "match_seq").alias("rating"),
-        F.min(F.struct("match_seq", (1 - F.col("is_home")).alias("away"))).alias("seen"),
+        F.min(2 * F.col("match_seq") + 1 - F.col("is_home")).alias("seen"),
     )
     return top_n(finals, [pool], [F.col("rating").desc(), F.col("seen").asc()], n).select("team_title", pool)
 

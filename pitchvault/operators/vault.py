@@ -76,35 +76,36 @@ def load_sat(
     """Append a version where the hashdiff differs from the version before it.
 
     ``context`` names further key columns of a satellite with several active rows per
-    parent. Rows not newer than the key's stored version are already loaded and drop out.
+    parent. Versions of a key are ordered by ``ldts``, those of one time by hashdiff; the
+    stored versions of the batch's keys take their places in that order. So a row that
+    arrives late is held against the version that was valid before it, rows of one time
+    and several hashdiffs are all versions, and what is stored already adds nothing.
 
-    Versions are compared in order of ``ldts`` in runs of one key and one ``split`` value
-    (default: the day of ``ldts``; any expression that grows with ``ldts`` will do). The
-    first survivor of each run is then held against the end of the run before, so no task
-    ever sorts the whole history of a key.
+    Versions are compared in runs of one key and one ``split`` value (default: the hour of
+    ``ldts``; any expression that grows with ``ldts`` will do). The first survivor of each
+    run is then held against the end of the run before, so no task ever sorts the whole
+    history of a key. Two shuffles in all.
 
     ``keyed`` says that the source has a primary key that leaves few rows per satellite
     key, like a stage table with one row per key and load. Then one window per key will
-    do, in one shuffle instead of three.
+    do, in one shuffle.
     """
     ident = [key, *context]
     cols = list(dict.fromkeys([key, hashdiff, *context, *payload, "ldts", "rsrc"]))
     rows = _with_stored(source.select(*cols), ident, hashdiff, existing)
     others = [F.col(c).asc() for c in cols if c not in (*ident, "ldts", hashdiff)]
-    in_order = [F.col("ldts"), F.col(hashdiff), *others]
+    # A stored version comes before its copies in the batch, which are then no change.
+    in_order = [F.col("ldts"), F.col(hashdiff), F.col("__new"), *others]
 
     def differs(before: Column) -> Column:
         return before.isNull() | (before != F.col(hashdiff))
 
     if keyed:
         per_key = W.partitionBy(*ident).orderBy(*in_order)
-        before = F.coalesce(F.lag(hashdiff).over(per_key), F.col("__stored"))
-        return rows.withColumn("__before", before).filter(differs(F.col("__before"))).select(*cols)
+        changed = rows.withColumn("__before", F.lag(hashdiff).over(per_key)).filter(differs(F.col("__before")))
+        return changed.filter("__new").select(*cols)
 
-    # Copies of a version collapse before the shuffle that lays out the runs.
-    rows = latest(rows, [*ident, "ldts", hashdiff], others)
-    rows = rows.withColumn("__run", F.date_trunc("day", "ldts") if split is None else split)
-    rows = rows.repartition(*ident, "__run")
+    rows = rows.withColumn("__run", F.date_trunc("hour", "ldts") if split is None else split)
     run = W.partitionBy(*ident, "__run").orderBy(*in_order)
     whole_run = run.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     changes = (
@@ -119,24 +120,19 @@ def load_sat(
     # Run heads of a key meet in one group; every other row sits in its own run's group.
     head = F.when(~F.col("__first"), F.col("__run"))
     across = W.partitionBy(*ident, head).orderBy(F.col("__run"), F.col("ldts"))
-    before = F.coalesce(F.lag("__end").over(across), F.col("__stored"))
     return (
-        changes.withColumn("__before", before)
+        changes.withColumn("__before", F.lag("__end").over(across))
         .filter(~F.col("__first") | differs(F.col("__before")))
-        .select(*cols)
+        .filter("__new").select(*cols)
     )
 
 
 def _with_stored(rows: DataFrame, ident: Sequence[str], hashdiff: str, existing: DataFrame | None) -> DataFrame:
-    """Rows newer than their key's stored version, with its hashdiff as ``__stored``."""
+    """The batch (``__new``) and the stored versions of its keys."""
+    batch = rows.withColumn("__new", F.lit(True))
     if existing is None:
-        return rows.withColumn("__stored", F.lit(None).cast("string"))
-    newest = [F.col("ldts").desc(), F.col(hashdiff).desc()]
-    stored = latest(existing.select(*ident, hashdiff, "ldts"), ident, newest).select(
-        # One struct: keys with a NULL context match too, and a hot key can be split.
-        F.struct(*ident).alias("__key"),
-        F.col(hashdiff).alias("__stored"), F.col("ldts").alias("__stored_ldts"),
-    )
-    joined = rows.withColumn("__key", F.struct(*ident)).join(stored, "__key", "left")
-    unseen = F.col("__stored_ldts").isNull() | (F.col("ldts") > F.col("__stored_ldts"))
-    return joined.filter(unseen).drop("__stored_ldts", "__key")
+        return batch
+    # One struct: keys with a NULL context match too.
+    touched = rows.select(F.struct(*ident).alias("__key")).distinct()
+    stored = existing.select(*ident, hashdiff, "ldts", F.struct(*ident).alias("__key")).join(touched, "__key", "left_semi")
+    return batch.unionByName(stored.drop("__key").withColumn("__new", F.lit(False)), allowMissingColumns=True)

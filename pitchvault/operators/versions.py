@@ -29,10 +29,15 @@ def coarse(c: Column | str, steps: int = 16) -> Column:
     """Order-keeping image of a number with few distinct values (log scale, ``steps`` per octave).
 
     Any set of numbers maps to at most some thousand values, so it can split a group for
-    ``prefix_sum``.
+    ``prefix_sum``. Infinite values and NaN, which sorts above all others, have steps of
+    their own.
     """
     v = (F.col(c) if isinstance(c, str) else c).cast("double")
-    return (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * steps)).cast("long")
+    step = F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * steps)
+    top = steps << 12
+    return (
+        F.when(F.isnan(v), 2 * top).when(F.abs(v) == float("inf"), F.signum(v) * top).otherwise(step).cast("long")
+    )
 
 
 def prefix_sum(

@@ -1,7 +1,7 @@
 """Football-shaped stage tables derived from a star schema of orders.
 
-One match per order, one player per customer, one team per nation; the figures grow with
-the order and lineitem tables.
+One match per order, one player per customer. Home teams are groups of customers, away
+teams suppliers, so that teams grow with the tables as well as matches and players.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ LEAGUES = {
     ("MIDDLE EAST", "BUILDING"): "middle east",
     ("EUROPE", "MACHINERY"): "cup",
 }
-FOCUS_TEAM = "NATION_3"
+FOCUS_TEAM = "NATION_18 3"
 FOCUS_LEAGUE = "europe"
 
 
@@ -44,14 +44,14 @@ def customer_places(t: Tables) -> DataFrame:
     """Customers with nation name and league (lower-case region)."""
     nations = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
     return t["customer"].join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", "c_name", "c_mktsegment", "c_nationkey",
-        F.col("n_name").alias("c_nation"), "r_name", F.lower("r_name").alias("league_id"),
+        "c_custkey", "c_name", "c_mktsegment", "c_nationkey", F.expr("c_custkey DIV 15").alias("home_id"),
+        F.col("n_name").alias("c_nation"), F.expr("concat(n_name, ' ', c_custkey DIV 15)").alias("home_team"), "r_name", F.lower("r_name").alias("league_id"),
     )
 
 
 def supplier_places(t: Tables) -> DataFrame:
     return t["supplier"].join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", F.col("n_name").alias("s_nation"), "s_nationkey",
+        "s_suppkey", F.col("n_name").alias("s_nation"), F.concat_ws(" ", "n_name", "s_suppkey").alias("away_team"),
     )
 
 
@@ -81,8 +81,8 @@ def match_frame(t: Tables) -> DataFrame:
         F.col("o_orderkey").alias("match_id"), "league_id",
         F.year("o_orderdate").alias("season_year"),
         F.col("o_orderdate").alias("match_datetime"),
-        F.col("c_nation").alias("home_team_title"), F.col("s_nation").alias("away_team_title"),
-        F.col("c_nationkey").alias("home_id"), F.col("s_nationkey").alias("away_id"),
+        F.col("home_team").alias("home_team_title"), F.col("away_team").alias("away_team_title"),
+        "home_id", F.col("s_suppkey").alias("away_id"),
         (F.col("l_quantity").cast("int") % 5).alias("home_goals"),
         (F.floor("l_extendedprice") % 4).cast("int").alias("away_goals"),
         fifths(hundredths("l_discount")).alias("home_xg"),
@@ -145,12 +145,12 @@ def sb_competitions(t: Tables) -> DataFrame:
 
 
 def understat_players(t: Tables) -> DataFrame:
-    """Season figures per customer; the teams are the supplier nations of the season."""
+    """Season figures per customer; the teams are the suppliers of the season."""
     lines = (
         t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier_places(t), F.col("l_suppkey") == F.col("s_suppkey"))
     )
-    per_team = lines.groupBy("o_custkey", F.year("o_orderdate").alias("season"), "s_nation").agg(
+    per_team = lines.groupBy("o_custkey", F.year("o_orderdate").alias("season"), "away_team").agg(
         F.count(F.lit(1)).alias("games"),
         F.sum(F.col("l_quantity").cast("int")).alias("quantity"),
         F.sum(F.col("l_quantity").cast("int") % 3).alias("goals"),
@@ -159,11 +159,11 @@ def understat_players(t: Tables) -> DataFrame:
         F.sum(hundredths("l_tax")).alias("tax"),
         F.max("l_shipdate").alias("loaded_at"),
     )
-    # One entry per nation: the number of nations bounds the list of a player.
+    # One entry per supplier that a customer ordered from in a season.
     summed = ("games", "quantity", "goals", "shots", "discount", "tax")
     per_season = per_team.groupBy("o_custkey", "season").agg(
         *[F.sum(c).alias(c) for c in summed], F.max("loaded_at").alias("loaded_at"),
-        F.array_join(F.array_sort(F.collect_list("s_nation")), ",").alias("team_title"),
+        F.array_join(F.array_sort(F.collect_list("away_team")), ",").alias("team_title"),
     )
 
     def tenths(c: str) -> Column:
@@ -186,7 +186,7 @@ def understat_players(t: Tables) -> DataFrame:
 
 
 def understat_teams(t: Tables) -> DataFrame:
-    """Season figures per nation and league, summed over the match frame."""
+    """Season figures per team and league, summed over the match frame."""
     def side(me: str, other: str) -> dict:
         return {
             "team_title": f"{me}_team_title", "gf": f"{me}_goals", "ga": f"{other}_goals",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pitchvault.operators.elo import elo_current, elo_history, flag_top
 from pitchvault.operators.reshape import unpivot_sides
-from pitchvault.operators.versions import latest, split_percent_rank, split_row_number
+from pitchvault.operators.versions import coarse, latest, split_percent_rank, split_row_number
 
 MIN_MINUTES = 450
 FOCUS_TEAM = "Barcelona"
@@ -28,24 +28,15 @@ def mart_league_table(pit_teams: DataFrame) -> DataFrame:
     best_first = [F.col(c).desc_nulls_first() for c in ("pts", "gd", "gf")]
     return split_row_number(
         base, ["league_id", "season_year"], [*best_first, F.col("team_bk").asc()],
-        split=[(F.col(c), "desc") for c in ("pts", "gd", "gf")], out="position",
+        split=[(coarse("pts"), "desc")], out="position",
     )
 
 
 def mart_top_scorers(pit_players: DataFrame, bridge: DataFrame) -> DataFrame:
     """Season figures per player with the names of the teams, in alphabetical order."""
     keys = ["hub_player_hk", "hub_competition_hk", "hub_season_hk"]
-    # Equal names collapse before the names of a player come together.
-    names = bridge.groupBy(*keys, "team_title").agg(F.count(F.lit(1)).alias("n"))
-    named = names.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.when(F.col("team_title").isNotNull(), F.struct("team_title", "n")))).alias("t"),
-        F.sum("n").alias("teams_count"),
-    )
-    repeated = F.flatten(F.transform("t", lambda x: F.array_repeat(x["team_title"], x["n"].cast("int"))))
-    teams = named.select(
-        *keys, "teams_count",
-        F.when(F.size("t") > 0, F.array_join(repeated, TEAM_ARROW)).alias("teams_concat"),
-    )
+    listed = F.expr(f"listagg(team_title, '{TEAM_ARROW}') WITHIN GROUP (ORDER BY team_title)")
+    teams = bridge.groupBy(*keys).agg(listed.alias("teams_concat"), F.count(F.lit(1)).alias("teams_count"))
     xg = F.col("xg")
     return pit_players.join(teams, keys, "left").select(
         "player_bk", "player_name",

@@ -53,12 +53,14 @@ TEAM_XG = ("xg_for, npxg_for, xg_against, npxg_against, npxg_diff, ppda, oppda,
            "league_id, season_year")
 SEASON = "league_id, season_year"
 
-# A name pair agrees if equal, or with one prefix off the right or off the left name.
+# Forms of a name: as it is, and with one club prefix off. Two names agree if one of them,
+# as it is, is a form of the other.
 STRIP = "regexp_replace({0}, '^(afc |fc |cf |ac |as )', '')"
 
 
 def agree(left: str, right: str) -> str:
-    return (f"({left} = {right} OR {left} = {STRIP.format(right)} OR {STRIP.format(left)} = {right})")
+    forms = [f"[{x}, {STRIP.format(x)}]" for x in (left, right)]
+    return f"(list_contains({forms[0]}, {right}) OR list_contains({forms[1]}, {left}))"
 
 
 CTES = {
@@ -70,8 +72,8 @@ CTES = {
         (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) = 1""",
     "match_frame": """
         SELECT o_orderkey AS match_id, league_id, CAST(year(o_orderdate) AS INTEGER) AS season_year,
-          o_orderdate AS match_datetime, c_nation AS home_team_title, n_name AS away_team_title,
-          c_nationkey AS home_id, n_nationkey AS away_id,
+          o_orderdate AS match_datetime, c_nation || ' ' || c_custkey // 15 AS home_team_title, n_name || ' ' || s_suppkey AS away_team_title,
+          c_custkey // 15 AS home_id, s_suppkey AS away_id,
           CAST(floor(l_quantity) AS INTEGER) % 5 AS home_goals,
           CAST(CAST(floor(l_extendedprice) AS BIGINT) % 4 AS INTEGER) AS away_goals,
           CAST(CAST(round(l_discount * 100) AS INTEGER) * CAST('0.2' AS DECIMAL(2,1)) AS DECIMAL(12,1)) AS home_xg,
@@ -89,7 +91,7 @@ CTES = {
           CASE o_orderstatus WHEN 'F' THEN 'available' WHEN 'O' THEN 'scheduled' ELSE 'processing' END AS match_status
         FROM match_frame""",
     "player_teams": """
-        SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS season, n_name AS s_nation, count(*) AS games,
+        SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS season, n_name || ' ' || s_suppkey AS team, count(*) AS games,
           sum(CAST(floor(l_quantity) AS INTEGER)) AS quantity, sum(CAST(floor(l_quantity) AS INTEGER) % 3) AS goals,
           sum(l_linenumber) AS shots, sum(CAST(round(l_discount * 100) AS INTEGER)) AS discount,
           sum(CAST(round(l_tax * 100) AS INTEGER)) AS tax, max(l_shipdate) AS loaded_at
@@ -99,7 +101,7 @@ CTES = {
         SELECT o_custkey, season, CAST(sum(games) AS INTEGER) AS games, CAST(sum(quantity) AS INTEGER) AS quantity,
           CAST(sum(goals) AS INTEGER) AS goals, CAST(sum(shots) AS INTEGER) AS shots,
           CAST(sum(discount) AS INTEGER) AS discount, CAST(sum(tax) AS INTEGER) AS tax,
-          max(loaded_at) AS loaded_at, string_agg(s_nation, ',' ORDER BY s_nation) AS team_title,
+          max(loaded_at) AS loaded_at, string_agg(team, ',' ORDER BY team) AS team_title,
           any_value(c_name) AS player_name, any_value(c_mktsegment) AS position, any_value(league_id) AS league_id
         FROM player_teams JOIN places ON o_custkey = c_custkey GROUP BY o_custkey, season""",
     "sides": """
@@ -155,8 +157,8 @@ CTES = {
     "stg_understat_player_team": f"""
         SELECT *, {md5_keys('hub_player_hk', 'hub_team_hk', 'hub_season_hk')} AS lnk_player_team_hk
         FROM (SELECT {md5_of('o_custkey', source='understat')} AS hub_player_hk,
-            {md5_of('lower(s_nation)', source='understat')} AS hub_team_hk, {md5_of('p.season')} AS hub_season_hk,
-            s_nation AS team_title, p.season AS season_year, f.loaded_at AS ldts, 'understat' AS rsrc
+            {md5_of('lower(team)', source='understat')} AS hub_team_hk, {md5_of('p.season')} AS hub_season_hk,
+            team AS team_title, p.season AS season_year, f.loaded_at AS ldts, 'understat' AS rsrc
           FROM player_teams p JOIN player_frame f USING (o_custkey, season))""",
     "stg_understat_teams": f"""
         SELECT *, {md5_keys('hub_team_hk', 'hub_competition_hk', 'hub_season_hk')} AS lnk_team_comp_season_hk
@@ -224,19 +226,13 @@ CTES = {
           games, minutes, position, x.ldts AS pit_ldts
         FROM newest_player_xg x JOIN hub_player p ON p.hub_player_hk = x.hub_player_hk
         JOIN hub_competition c ON c.league_id = x.league_id JOIN hub_season s ON s.season_year = x.season_year""",
+    # A player's season in a league, with each of the player's teams of that season in that league.
     "br_player_team_season": f"""
-        SELECT {md5_keys('l.hub_player_hk', 'l.hub_team_hk', 'm.hub_competition_hk', 'l.hub_season_hk')} AS br_hk,
-          l.hub_player_hk, l.hub_team_hk, m.hub_competition_hk, l.hub_season_hk, h.player_bk, q.player_name,
-          t.team_bk, d.team_title, c.league_id, s.season_year
-        FROM lnk_player_team l
-        JOIN lnk_team_competition_season m ON m.hub_team_hk = l.hub_team_hk AND m.hub_season_hk = l.hub_season_hk
-        JOIN hub_player h ON h.hub_player_hk = l.hub_player_hk JOIN hub_team t ON t.hub_team_hk = l.hub_team_hk
-        JOIN hub_competition c ON c.hub_competition_hk = m.hub_competition_hk
-        JOIN hub_season s ON s.hub_season_hk = l.hub_season_hk
-        LEFT JOIN newest_details d ON d.hub_team_hk = l.hub_team_hk
-        LEFT JOIN pit_player_season q ON q.hub_player_hk = l.hub_player_hk
-          AND q.hub_competition_hk = m.hub_competition_hk AND q.hub_season_hk = l.hub_season_hk
-        WHERE q.hub_player_hk IS NOT NULL""",
+        SELECT {md5_keys('hub_player_hk', 'hub_team_hk', 'hub_competition_hk', 'hub_season_hk')} AS br_hk,
+          hub_player_hk, hub_team_hk, hub_competition_hk, hub_season_hk, q.player_bk, q.player_name,
+          t.team_bk, t.team_title, q.league_id, q.season_year
+        FROM pit_player_season q JOIN lnk_player_team USING (hub_player_hk, hub_season_hk)
+        JOIN pit_team_season t USING (hub_team_hk, hub_competition_hk, hub_season_hk)""",
     "br_team_competition_season": """
         SELECT pit_team_season_hk AS br_hk, hub_team_hk, hub_competition_hk, hub_season_hk, team_bk, league_id,
           season_year, team_title FROM pit_team_season""",
@@ -284,10 +280,10 @@ CTES = {
         GROUP BY league_id, season_year, team_title""",
     "focus_matches": """
         SELECT CAST(year(match_ts) - CASE WHEN month(match_ts) >= 7 THEN 0 ELSE 1 END AS INTEGER) AS season_year,
-          CASE WHEN home_team = 'NATION_3' THEN home_goals ELSE away_goals END AS s,
-          CASE WHEN home_team = 'NATION_3' THEN away_goals ELSE home_goals END AS c
+          CASE WHEN home_team = 'NATION_18 3' THEN home_goals ELSE away_goals END AS s,
+          CASE WHEN home_team = 'NATION_18 3' THEN away_goals ELSE home_goals END AS c
         FROM stg_sb_matches WHERE league_id = 'europe' AND match_status = 'available' AND home_goals IS NOT NULL
-          AND away_goals IS NOT NULL AND match_ts IS NOT NULL AND (home_team = 'NATION_3' OR away_team = 'NATION_3')""",
+          AND away_goals IS NOT NULL AND match_ts IS NOT NULL AND (home_team = 'NATION_18 3' OR away_team = 'NATION_18 3')""",
     "mart_sb_la_liga_history": """
         SELECT season_year, CAST(count(*) AS INTEGER) AS matches_played, CAST(count(*) FILTER (s > c) AS INTEGER) AS wins,
           CAST(count(*) FILTER (s = c) AS INTEGER) AS draws, CAST(count(*) FILTER (s < c) AS INTEGER) AS losses,

@@ -33,6 +33,8 @@ class Sat:
     payload: tuple[str, ...]
     source: str
     context: tuple[str, ...] = ()
+    #: The stage table has one row per load for what is versioned.
+    keyed: bool = True
 
 
 HUBS = {
@@ -81,7 +83,8 @@ SATS = {
          "games", "minutes", "position", "player_name", "team_title", "league_id", "season_year"),
         "stg_understat_players", SEASON),
     "sat_team_details": Sat(
-        "hub_team_hk", "sat_team_details_hashdiff", ("team_title", "league_id"), "stg_understat_teams"),
+        "hub_team_hk", "sat_team_details_hashdiff", ("team_title", "league_id"), "stg_understat_teams",
+        keyed=False),  # a team comes once per league and season
     "sat_team_xg": Sat(
         "hub_team_hk", "sat_team_xg_hashdiff",
         ("xg_for", "npxg_for", "xg_against", "npxg_against", "npxg_diff", "ppda", "oppda",
@@ -102,12 +105,7 @@ def load(name: str, stage: Mapping[str, DataFrame], existing: DataFrame | None =
         link = LINKS[name]
         return load_link(stage[link.source], link.key, link.hub_keys, existing, link.attrs)
     s = SATS[name]
-    # The stage tables hold one row per load for what these satellites version, except
-    # that a team comes once per league and season.
-    return load_sat(
-        stage[s.source], s.key, s.hashdiff, s.payload, existing, s.context,
-        keyed=name != "sat_team_details",
-    )
+    return load_sat(stage[s.source], s.key, s.hashdiff, s.payload, existing, s.context, keyed=s.keyed)
 
 
 def builders(existing: Mapping[str, DataFrame] | None = None) -> dict:

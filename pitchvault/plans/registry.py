@@ -33,7 +33,7 @@ from pitchvault.plans import raw_vault as RV
 from pitchvault.plans import stage_loads as SL
 from pitchvault.plans import stage_models as S
 from pitchvault.plans.models import Models
-from pitchvault.plans.oracle_sql import md5_keys, md5_of, model_sql, with_models
+from pitchvault.plans.oracle_sql import agree, md5_keys, md5_of, model_sql, with_models
 from pitchvault.session import configure
 from pitchvault.sources import snapshots, tables
 from pitchvault.sources.tables import scratch
@@ -411,9 +411,11 @@ def _event_stage(t: B.Tables) -> DataFrame:
 
 
 _EVENT_COLS = "user_hk, type_hashdiff, event_type, event_id, ldts, rsrc"
+_EVENT_ROWS = f"""
+    SELECT {md5_of('user_id')} AS user_hk, {md5_of('event_type')} AS type_hashdiff, event_type, event_id,
+      ts AS ldts, 'events' AS rsrc FROM events"""
 _EVENT_SAT = f"""
-    SELECT {_EVENT_COLS} FROM (SELECT {md5_of('user_id')} AS user_hk, {md5_of('event_type')} AS type_hashdiff, event_type, event_id,
-      ts AS ldts, 'events' AS rsrc FROM events)
+    SELECT {_EVENT_COLS} FROM ({_EVENT_ROWS})
     QUALIFY lag(type_hashdiff) OVER (PARTITION BY user_hk ORDER BY ldts, type_hashdiff, event_id) IS DISTINCT FROM type_hashdiff"""
 
 
@@ -430,6 +432,28 @@ def _(t):
     return load_sat(events, *args, existing=before)
 
 
+@query("sat_event_late_batch", f"""
+    WITH event_rows AS (SELECT *, ldts >= TIMESTAMP '2024-01-16' AS early FROM ({_EVENT_ROWS})), versions AS (
+      SELECT * FROM event_rows WHERE early
+      QUALIFY lag(type_hashdiff) OVER (PARTITION BY user_hk ORDER BY ldts, type_hashdiff, event_id) IS DISTINCT FROM type_hashdiff
+    ), again AS (
+      SELECT * EXCLUDE (early), 0 AS added FROM versions
+      UNION ALL SELECT * EXCLUDE (early), 1 FROM event_rows WHERE NOT early
+      UNION ALL SELECT * EXCLUDE (early) REPLACE (type_hashdiff || 'x' AS type_hashdiff), 1 FROM event_rows WHERE early AND event_id % 7 = 0
+    ) SELECT * EXCLUDE (prior, added) FROM (
+      SELECT *, lag(type_hashdiff) OVER (PARTITION BY user_hk ORDER BY ldts, type_hashdiff, added, event_id) AS prior FROM again)
+    WHERE added = 1 AND prior IS DISTINCT FROM type_hashdiff""")
+def _(t):
+    """The newer half loaded first; then the older half, and other versions of stored times."""
+    events = _event_stage(t)
+    args = ("user_hk", "type_hashdiff", ["event_type", "event_id"])
+    newer = events.filter("ldts >= timestamp_ntz'2024-01-16'")
+    before = load_sat(newer, *args)
+    other = newer.filter("event_id % 7 = 0").withColumn("type_hashdiff", F.concat("type_hashdiff", F.lit("x")))
+    late = events.filter("ldts < timestamp_ntz'2024-01-16'").unionByName(other)
+    return load_sat(late, *args, existing=before)
+
+
 @query("sat_event_multi_active", f"""
     SELECT user_hk, k_hashdiff, event_type, k, ldts, rsrc FROM (SELECT {md5_of('user_id')} AS user_hk, event_type,
       CAST(json_extract_string(props, '$.k') AS INTEGER) // 50 AS k,
@@ -482,8 +506,7 @@ _TITLES = """
     JOIN (SELECT league_id, match_date, match_id, regexp_replace(lower(trim(home_team)), '^(afc |fc |cf |ac |as )', '') AS h,
       regexp_replace(lower(trim(away_team)), '^(afc |fc |cf |ac |as )', '') AS a FROM sb_frame) s
     ON u.league_id = s.league_id AND u.match_date = s.match_date
-    AND (u.h = s.h OR u.h = regexp_replace(s.h, '^(afc |fc |cf |ac |as )', '') OR regexp_replace(u.h, '^(afc |fc |cf |ac |as )', '') = s.h)
-    AND (u.a = s.a OR u.a = regexp_replace(s.a, '^(afc |fc |cf |ac |as )', '') OR regexp_replace(u.a, '^(afc |fc |cf |ac |as )', '') = s.a)""")
+    AND {agree('u.h', 's.h')} AND {agree('u.a', 's.a')}""")
 def _(t):
     frame = B.match_frame(t)
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
@@ -699,11 +722,30 @@ def _contract_sql(name: str) -> str:
     return " UNION ALL ".join(parts)
 
 
-@query("contract_violations_marts", " UNION ALL ".join(map(_contract_sql, ("mart_match_facts", "mart_league_table", "mart_team_xg_trend"))))
+def _built_marts(t: B.Tables) -> Models:
+    """All marts, written once."""
+    return models(t, (*SHARED, *contracts.CONTRACTS))
+
+
+@query("contract_violations_marts", " UNION ALL ".join(map(_contract_sql, contracts.CONTRACTS)))
 def _(t):
-    built, out = models(t), None
-    for name in ("mart_match_facts", "mart_league_table", "mart_team_xg_trend"):
-        part = Q.contract_violations(built[name], contracts.CONTRACTS[name]).withColumn("mart", F.lit(name))
+    built, out = _built_marts(t), None
+    for name, contract in contracts.CONTRACTS.items():
+        part = Q.contract_violations(built[name].select(*contract.columns), contract).withColumn("mart", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("store_failures_rows", " UNION ALL ".join(
+    f"SELECT table_name || '.' || check_name || '.' || target AS stored, failures AS n FROM ({_layer_checks({n: c})})"
+    for n, c in HUB_CHECKS.items()))
+def _(t):
+    """Failing rows of every hub check, written to its own folder and counted there."""
+    root, spark = scratch(t.spark, "failures"), t.spark
+    paths = Q.store_failures(HUB_CHECKS, models(t, (*SHARED, *RV.HUBS)), root)
+    out = None
+    for name, path in paths.items():
+        part = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stored"), "n")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -724,8 +766,8 @@ def _(t):
     schema = T.StructType([
         T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
         T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
-    read = snapshots.read_snapshot(spark, root, "driver", "events", schema, "2024-02-01", multiline=False)
-    return P.nan_to_null(read).withColumn("has_file", F.col("source_file").contains("dt=2024-02-01")).drop("source_file")
+    read = snapshots.read_snapshot(spark, root, "driver", "events", schema, "2024-02-01")
+    return P.nan_to_null(read).withColumn("has_file", F.col("source_file").contains("dt=2024-02-01")).drop("source_file", "position")
 
 
 @query("snapshot_stage_load_matches", """
@@ -740,16 +782,35 @@ def _(t):
     snapshots.write_snapshot(items.select("item.*", *levels), root, levels)
     stage = SL.load_source_a(
         t.spark, root, "matches", "2024-02-01", leagues=B.LEAGUES.values(),
-        loaded_at=F.lit("2024-02-01 04:00:00").cast("timestamp_ntz"), multiline=False)
+        loaded_at=F.lit("2024-02-01 04:00:00").cast("timestamp_ntz"))
     return S.stg_understat_matches(stage).drop("ldts")
 
 
-@query("export_round_trip", """
-    SELECT league_id, season_year, count(*) AS matches, CAST(sum(total_goals) AS BIGINT) AS goals, (SELECT count(*) FROM mart_match_facts) AS exported
-    FROM mart_match_facts GROUP BY league_id, season_year""")
+@query("export_round_trip", " UNION ALL ".join(
+    f"SELECT '{m}' AS mart, count(*) AS n, (SELECT {' + '.join(f'(SELECT count(*) FROM {x})' for x in contracts.CONTRACTS)}) AS exported FROM {m}"
+    for m in contracts.CONTRACTS))
 def _(t):
-    spark = t.spark
+    spark, built = t.spark, _built_marts(t)
     root = scratch(spark, "export")
-    exported = tables.export_marts({"mart_match_facts": models(t)["mart_match_facts"]}, root)
-    return spark.read.parquet(f"{root}/mart_match_facts").groupBy("league_id", "season_year").agg(
-        F.count(F.lit(1)).alias("matches"), F.sum("total_goals").alias("goals"), F.lit(exported).cast("long").alias("exported"))
+    exported = tables.export_marts({m: built[m] for m in contracts.CONTRACTS}, root)
+    out = None
+    for m in contracts.CONTRACTS:
+        part = spark.read.parquet(f"{root}/{m}").agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(m).alias("mart"), "n", F.lit(exported).cast("long").alias("exported"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("publish_round_trip", """
+    SELECT league_id, season_year, count(*) AS matches, CAST(sum(total_goals) AS BIGINT) AS goals,
+      (SELECT count(*) FROM mart_match_facts) AS published FROM mart_match_facts GROUP BY league_id, season_year""")
+def _(t):
+    """Match facts exported, published behind their contract twice, and read from the serving copy."""
+    spark = t.spark
+    root = scratch(spark, "publish")
+    contract = contracts.CONTRACTS["mart_match_facts"]
+    tables.export_mart(models(t)["mart_match_facts"].select(*contract.columns), f"{root}/marts")
+    for _ in range(2):  # the second replaces the first
+        n = tables.publish_mart(spark, f"{root}/marts", f"{root}/serving", contract)
+    return spark.read.parquet(f"{root}/serving").groupBy("league_id", "season_year").agg(
+        F.count(F.lit(1)).alias("matches"), F.sum("total_goals").alias("goals"), F.lit(n).cast("long").alias("published"))

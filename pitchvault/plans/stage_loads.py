@@ -67,7 +67,6 @@ def load_source_a(
     target: DataFrame | None = None,
     leagues: Collection[str] = SOURCE_A_LEAGUES,
     loaded_at: Column | None = None,
-    multiline: bool = True,
 ) -> DataFrame:
     """Stage table of one endpoint after the load of one day's snapshot.
 
@@ -75,23 +74,22 @@ def load_source_a(
     matches count.
     """
     schema, keys, columns = ENDPOINTS[endpoint]
-    items = read_snapshot(spark, root, SOURCE_A, endpoint, schema, dt, season, multiline)
+    items = read_snapshot(spark, root, SOURCE_A, endpoint, schema, dt, season)
     items = items.filter(F.col("league_id").isin(list(leagues)))
     if endpoint == "matches":
         items = is_true(items, "isResult")
     rows = items.select(
         *[F.col(field).alias(name) for name, field in columns.items()], "league_id", "season", "dt",
-        F.struct(*schema.fieldNames()).alias("raw_payload"), "source_file",
+        F.struct(*schema.fieldNames()).alias("raw_payload"), "source_file", "position",
     )
-    # A batch holds one file per league, so a key repeats within a file at most; its last
-    # version by content settles that.
-    order = [F.col("source_file").desc(), F.to_json("raw_payload").desc()]
-    return upsert(target, rows, keys, order, loaded_at if loaded_at is not None else _now()).drop("source_file")
+    # The last item of a batch wins, in the order of files and of the items in a file.
+    order = [F.col("source_file").desc(), F.col("position").desc()]
+    return upsert(target, rows, keys, order, loaded_at if loaded_at is not None else _now()).drop("source_file", "position")
 
 
-def read_competitions(spark: SparkSession, root: str, dt: str | date, multiline: bool = True) -> DataFrame:
+def read_competitions(spark: SparkSession, root: str, dt: str | date) -> DataFrame:
     """All competitions of the second source as told on one day."""
-    return read_snapshot(spark, root, LAKE_SOURCE_B, "competitions", COMPETITION, dt, multiline=multiline)
+    return read_snapshot(spark, root, LAKE_SOURCE_B, "competitions", COMPETITION, dt)
 
 
 def _league_frame(spark: SparkSession, leagues: Mapping[tuple, str]) -> DataFrame:
@@ -101,10 +99,10 @@ def _league_frame(spark: SparkSession, leagues: Mapping[tuple, str]) -> DataFram
 
 def load_competitions(
     spark: SparkSession, root: str, dt: str | date, leagues: Mapping[tuple, str] = LEAGUES,
-    loaded_at: Column | None = None, multiline: bool = True,
+    loaded_at: Column | None = None,
 ) -> DataFrame:
     """Stage table of the served competitions; empty where the snapshot is missing."""
-    items = read_competitions(spark, root, dt, multiline)
+    items = read_competitions(spark, root, dt)
     wanted = semi_filter(items, _league_frame(spark, leagues), ["country_name", "competition_name"])
     return wanted.select(
         "competition_id", "season_id", "dt", "country_name", "competition_name", "source_file",
@@ -115,21 +113,21 @@ def load_competitions(
 
 def load_matches_b(
     spark: SparkSession, root: str, dt: str | date, leagues: Mapping[tuple, str] = LEAGUES,
-    loaded_at: Column | None = None, unresolved: Observation | None = None, multiline: bool = True,
+    loaded_at: Column | None = None, unresolved: Observation | None = None,
 ) -> DataFrame:
     """Stage table of the second source's matches, all seasons with a snapshot of the day.
 
     The competition id comes from the competitions of the same day by country, name and
     season; where they do not list it, it is NULL and counted in ``unresolved``. Of several
-    ids for one key the highest counts.
+    ids for one key the last listed counts.
     """
-    items = nan_to_null(read_snapshot(spark, root, LAKE_SOURCE_B, "matches", MATCH_B, dt, multiline=multiline))
+    items = nan_to_null(read_snapshot(spark, root, LAKE_SOURCE_B, "matches", MATCH_B, dt))
     served = items.join(_league_frame(spark, leagues), F.col("league_id") == F.col("slug"))
     named = served.withColumnRenamed("season", "season_id")
     resolved = lookup(
-        named, read_competitions(spark, root, dt, multiline).select("country_name", "competition_name", "season_id", "competition_id"),
+        named, read_competitions(spark, root, dt).select("country_name", "competition_name", "season_id", "competition_id", "source_file", "position"),
         ["country_name", "competition_name", "season_id"], "competition_id",
-        [F.col("competition_id").desc_nulls_last()], unresolved,
+        [F.col("source_file").desc(), F.col("position").desc()], unresolved,
     )
     return with_placeholders(resolved, {"home_team_id": "bigint", "away_team_id": "bigint"}).select(
         "match_id", "dt", "league_id", "competition_id", "season_id",

@@ -52,6 +52,11 @@ def write_snapshot(df: DataFrame, root: str, keys: Sequence[str]) -> None:
     )
 
 
+# Files that Spark's JSON writer makes hold one object per line; others hold one array.
+LINES = "part-*"
+ARRAYS = "{[^p]*,p,p[^a]*,pa,pa[^r]*,par,par[^t]*,part,part[^-]*}"
+
+
 def read_snapshot(
     spark: SparkSession,
     root: str,
@@ -60,44 +65,50 @@ def read_snapshot(
     schema: T.StructType,
     dt: str | date,
     season: int | None = None,
-    multiline: bool = True,
 ) -> DataFrame:
     """Rows of one endpoint's snapshot for one day.
 
-    Adds ``league_id`` (NULL where the level is absent), ``season``, ``dt`` and
-    ``source_file``. Season directories whose value is no integer are left out. A missing
-    snapshot gives no rows and a warning. ``multiline`` reads files that hold one array;
-    turn it off for files with one object per line.
+    Adds ``league_id`` (NULL where the level is absent), ``season``, ``dt``,
+    ``source_file`` and ``position``, which orders the items of a file. Season directories
+    whose value is no integer are left out. A missing snapshot gives no rows and a
+    warning. A file's name tells its layout, so a folder may hold both.
 
-    The directory levels are partition columns, so the day and season filters prune the
-    file listing and the schema saves an inference pass.
+    The paths go down to the day: folders of other days are not listed.
     """
     base = f"{root}/{snapshot_path(source, endpoint)}"
+    day = f"dt={dt}"
+    levels = "*" if season is None else f"season={season}"
+    days = f"{base}/{{{day},{levels}/{day},*/{day},*/{levels}/{day}}}"
     levels = {"league_id": "string", "season": "int", "dt": "date"}
-    try:
+
+    def files(pattern: str, multiline: bool) -> DataFrame:
         raw = (
-            spark.read.option("multiLine", multiline).option("basePath", base)
-            .option("mode", "FAILFAST").schema(schema).json(base)
+            spark.read.option("multiLine", multiline).option("basePath", base).option("pathGlobFilter", pattern)
+            .option("mode", "FAILFAST").schema(schema).json(days)
         )
+        place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+        rows = with_source_file(raw).withColumn("position", place)
+        if "season" in raw.columns:
+            rows = rows.withColumn("season", F.expr("try_cast(season AS int)"))
+            rows = rows.filter(F.col("season").isNotNull())
+            if season is not None:
+                rows = rows.filter(F.col("season") == season)
+        for name, t in levels.items():
+            if name not in raw.columns:
+                given = str(dt) if name == "dt" else None
+                rows = rows.withColumn(name, F.lit(given).cast(t))
+        rows = rows.withColumn("dt", F.col("dt").cast("date"))
+        return rows.select(*schema.fieldNames(), *levels, "source_file", "position")
+
+    try:
+        return files(ARRAYS, True).unionByName(files(LINES, False))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        log.warning("no snapshot below %s", base)
-        added = {**levels, "source_file": "string"}
+        log.warning("no snapshot of %s below %s", dt, base)
+        added = {**levels, "source_file": "string", "position": "struct<block: bigint, row: bigint>"}
         return spark.createDataFrame([], schema).withColumns({c: F.lit(None).cast(t) for c, t in added.items()})
 
-    rows = with_source_file(raw)
-    if "season" in raw.columns:
-        rows = rows.withColumn("season", F.expr("try_cast(season AS int)"))
-        rows = rows.filter(F.col("season").isNotNull())
-        if season is not None:
-            rows = rows.filter(F.col("season") == season)
-    rows = rows.filter(F.col("dt") == F.lit(str(dt)).cast("date"))
-    for name, t in levels.items():
-        if name not in raw.columns:
-            rows = rows.withColumn(name, F.lit(None).cast(t))
-    return rows.select(*schema.fieldNames(), *levels, "source_file")
-
 
 def with_source_file(df: DataFrame) -> DataFrame:
     """Path of the file each row came from."""

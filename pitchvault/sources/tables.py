@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
@@ -61,7 +63,9 @@ def publish_mart(spark: SparkSession, exported: str, path: str, contract: Contra
 
     A missing or empty export, other columns than the contract's, NULLs in required
     columns or values outside their integer type are errors, raised before the old copy
-    is touched. Rows are sorted inside each file so that readers can skip row groups.
+    is touched. Rows are laid out in ranges of the sort key and sorted inside each file, so
+    that readers can skip files and row groups. The new copy is written beside the old one
+    and takes its place when it is complete.
     """
     df = read_table(spark, exported)
     if df is None:
@@ -72,22 +76,41 @@ def publish_mart(spark: SparkSession, exported: str, path: str, contract: Contra
     names = [r["column_name"] for r in broken.select("column_name").collect()]
     if names:
         raise ValueError(f"{exported}: contract violated by {names}")
-    return export_mart(df.sortWithinPartitions(*contract.sort_by), path)
+    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    n = export_mart(df.repartitionByRange(*contract.sort_by).sortWithinPartitions(*contract.sort_by), beside)
+    _switch(spark, beside, path)
+    return n
+
+
+def _switch(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    old, current, target = f"{new}-old", hadoop(path), hadoop(new)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(current) and not fs.rename(current, hadoop(old)):
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(target, current):
+        fs.rename(hadoop(old), current)
+        raise OSError(f"cannot move {new} to {path}")
+    fs.delete(hadoop(old), True)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables, as the cluster names it.
+    """Shared folder for intermediate tables, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a session on one machine may fall back to a folder of that machine.
+    Only a session on one machine may go without; it gets one folder, named in that setting
+    and removed when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("spark.checkpoint.dir is not set")
-    return tempfile.mkdtemp(prefix="pitchvault-")
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set")
+        root = tempfile.mkdtemp(prefix="pitchvault-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A folder below ``scratch_root`` that nothing else uses."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A folder of this session that nothing else uses: ``<root>/<application>/<name>-<id>``."""
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

@@ -9,8 +9,8 @@ from pitchvault.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session(8)
+def spark(tmp_path_factory):
+    return local_session(8, **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
 
 
 @pytest.fixture(scope="session")

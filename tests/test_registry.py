@@ -10,13 +10,15 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import __spark_entry__ as driver  # noqa: E402
 from compare import compare, duck  # noqa: E402
 
+from pitchvault.plans import registry as plans  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables are not here")
 
 # Those that build several layers run in tools/compare.py only.
 LAYERED = ("checks_", "contract_", "pit_", "br_", "mart_", "dash_", "elo_", "lnk_", "hub_competition", "hub_season")
 KEPT = {"mart_match_facts", "mart_team_xg_trend", "mart_team_elo_current", "pit_customer_orders", "dash_upsets"}
-NAMES = [n for n in driver.queries() if n in KEPT or not n.startswith(LAYERED)]
+NAMES = [n for n in plans.QUERIES if n in KEPT or not n.startswith(LAYERED)]
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +33,7 @@ def test_query_equals_its_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(plans.QUERIES) == set(plans.ORACLES)
 
 
 def test_entry(spark):

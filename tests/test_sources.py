@@ -55,7 +55,7 @@ def test_season_filter_prunes_files(spark, tmp_path):
 
 def test_missing_snapshot_gives_no_rows(spark, tmp_path):
     df = snapshots.read_snapshot(spark, str(tmp_path), "s", "none", ITEM, "2024-01-02")
-    assert df.count() == 0 and df.columns == ["id", "x", "league_id", "season", "dt", "source_file"]
+    assert df.count() == 0 and df.columns == ["id", "x", "league_id", "season", "dt", "source_file", "position"]
 
 
 def test_snapshot_rerun_replaces_its_partition(spark, frame, rows, tmp_path):
@@ -64,10 +64,34 @@ def test_snapshot_rerun_replaces_its_partition(spark, frame, rows, tmp_path):
     where = ("s", "e", "epl", 2024)
     snapshots.write_snapshot(frame(schema, ("1", 1.0, *where, "2024-01-01"), ("2", 2.0, *where, "2024-01-02")), root, keys)
     snapshots.write_snapshot(frame(schema, ("9", None, *where, "2024-01-02")), root, keys)
-    read = lambda dt: rows(snapshots.read_snapshot(spark, root, "s", "e", ITEM, dt, multiline=False), "id", "x")
+    read = lambda dt: rows(snapshots.read_snapshot(spark, root, "s", "e", ITEM, dt), "id", "x")
     assert read("2024-01-01") == [("1", 1.0)] and read("2024-01-02") == [("9", None)]
 
 
+def test_snapshot_layout_follows_the_file(spark, frame, rows, tmp_path):
+    """What the writer wrote and files that hold one array, read with no options, in one folder."""
+    root, keys = str(tmp_path / "lake"), ["source", "endpoint", "league_id", "season", "dt"]
+    schema = "id string, x double, source string, endpoint string, league_id string, season int, dt string"
+    written = [(str(i), float(i), "s", "e", "epl", 2024, "2024-01-01") for i in range(1000)]
+    snapshots.write_snapshot(frame(schema, *written), root, keys)
+    day = tmp_path / "lake/source=s/endpoint=e/league_id=epl/season=2024/dt=2024-01-01"
+    for i, name in enumerate(("players.json", "p", "a.json", "party.json")):
+        (day / name).write_text(f'[{{"id": "a{i}", "x": 1}}, {{"id": "b{i}", "x": 2}}]')
+    df = snapshots.read_snapshot(spark, root, "s", "e", ITEM, "2024-01-01")
+    assert len(rows(df, "id")) == 1008 and len(set(rows(df, "id"))) == 1008
+    first = df.filter("source_file LIKE '%/a.json'").orderBy("position").select("id").collect()
+    assert [r.id for r in first] == ["a2", "b2"]
+
+
+def test_snapshot_lists_one_day(spark, frame, tmp_path):
+    root, keys = str(tmp_path / "lake"), ["source", "endpoint", "league_id", "season", "dt"]
+    schema = "id string, x double, source string, endpoint string, league_id string, season int, dt string"
+    days = [("1", 1.0, "s", "e", "epl", 2024, f"2024-01-{d:02}") for d in range(1, 29)]
+    snapshots.write_snapshot(frame(schema, *days), root, keys)
+    df = snapshots.read_snapshot(spark, root, "s", "e", ITEM, "2024-01-03")
+    assert df.count() == 1 and len(df.inputFiles()) == 1
+
+
 def test_jdbc_options():
     o = jdbc.read_options("jdbc:x", " SELECT a FROM t WHERE b IS NOT NULL", {"user": "u"}, jdbc.Slices("a", 0, 100, 4))
     assert o == {
