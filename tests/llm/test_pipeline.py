@@ -1,0 +1,71 @@
+"""The pipeline's stages against plain restatements, over the smallest tables."""
+
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parents[2]
+sys.path[:0] = [str(Path(__file__).resolve().parent), str(ROOT), str(ROOT / "tools")]
+
+import brute  # noqa: E402
+import corpus_pipeline  # noqa: E402
+from compare import compare, duck  # noqa: E402
+
+import __spark_entry__ as driver  # noqa: E402
+from pitchvault.llm import registry  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver tables are not here")
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+def test_query_equals_its_sql(spark, name):
+    line = compare(spark, duck(SF), name, SF, registry.QUERIES, registry.ORACLES)
+    assert line.startswith("ok"), line
+
+
+def test_all_are_registered():
+    names = driver.queries()
+    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op")}
+    assert "pipeline" in names and driver.oracle_sql().keys() <= names.keys()
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "secrets", "packing"]
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = docs.columns
+    bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    rows = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+        docs = corpus_pipeline.stored(stage(spark, docs, SF), name)
+        if name != "packing":
+            assert docs.columns == columns
+            rows[name] = {r["doc_id"]: r for r in docs.collect()}
+            kept = set(rows[name])
+        if name == "toxicity":
+            bad = {d for d, t in before if {"idiot", "moron", "scum", "loser", "clown", "stupid", "trash", "worthless", "pathetic", "disgusting"} & set((t or "").lower().replace(".", " ").replace(",", " ").split())}
+            assert len({d for d, _ in before} - kept - bad) <= 10  # few clean ones go
+        if name == "near_duplicates":
+            assert kept == {c for _, _, c in brute.classes(before)}
+        if name == "decontamination":
+            assert kept == {x[0] for x in brute.contamination(before, bench) if not x[-1]}
+        if name == "secrets":
+            assert kept == {d for d, _ in before}
+            assert all(x[1:4] == (0, 0, 0) for x in brute.secrets([(d, r["text"]) for d, r in rows[name].items()]))
+            assert all(r["n_chars"] == len(r["text"]) for d, r in rows[name].items() if r["text"] != dict(before)[d])
+    assert {r["doc_id"] for r in docs.collect()} == kept
+
+
+def test_stages_on_empty_and_odd_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.stored(stage(spark, docs, SF), name)
+        assert docs.count() == 0
+    odd = spark.createDataFrame([(None, None, "en", "s", None, 1), (1, "", None, None, 0, 1), (2, "x y", "en", "s", 3, 1)],
+                                "doc_id long, text string, lang string, source string, n_chars long, spans int")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        odd = corpus_pipeline.stored(stage(spark, odd, SF), "odd")
+        assert odd.count() == 3 and odd.columns[-1] == "spans"
+    assert corpus_pipeline.STAGES[-1][1](spark, odd, SF).count() == 3
