@@ -90,7 +90,7 @@ def _pack(cols: dict[str, np.ndarray], bucket: np.ndarray) -> pa.RecordBatch:
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
-    ends = np.append(cuts[1:], len(bucket))
+    ends = np.append(cuts[1:], len(bucket))[: len(cuts)]
     out = [pa.array(bucket[cuts].astype(np.int64))]
     for c in cols.values():
         c = c[order]
