@@ -151,6 +151,18 @@ def _(t):
         {c: F.round(c, 6) for c in ("rating_before", "rating_after")})
 
 
+@query("elo_daily_increment", f"SELECT * REPLACE ({ELO_ROUNDED}) FROM elo_history")
+def _(t):
+    """The history up to a day, then the matches from it on, rated from the stored ratings."""
+    facts = models(t, ("mart_match_facts",))["mart_match_facts"]
+    root, day = scratch(t.spark, "elo-before"), F.lit(date(1997, 1, 1))
+    tables.export_mart(E.elo_history(facts.filter(F.col("match_date") < day)), root)
+    before = t.spark.read.parquet(root)
+    later = E.elo_history(facts.filter(F.col("match_date") >= day), ratings=E.ratings_after(before))
+    return before.unionByName(later.select(*before.columns)).drop("rating_delta").withColumns(
+        {c: F.round(c, 6) for c in ("rating_before", "rating_after")})
+
+
 @query("elo_top_teams", "SELECT * FROM elo_top")
 def _(t):
     return E.top_teams(rated(t))
@@ -767,23 +779,75 @@ def _(t):
         T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
         T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
     read = snapshots.read_snapshot(spark, root, "driver", "events", schema, "2024-02-01")
-    return P.nan_to_null(read).withColumn("has_file", F.col("source_file").contains("dt=2024-02-01")).drop("source_file", "position")
+    return P.nan_to_null(read).withColumn("has_file", F.col("source_file").contains("dt=2024-02-01")).drop("source_file", "item_no")
+
+
+_LEVELS_A = ["source", "endpoint", "league_id", "season", "dt"]
+_DAY = "2024-02-01"
+
 
+def _snapshot_items(t: B.Tables, name: str, schema: T.StructType, source: str, endpoint: str) -> DataFrame:
+    """Items of a stage table as a source would deliver them, with the levels of their snapshot."""
+    raw = B.STAGE_TABLES[name](t)
+    return raw.select(
+        F.from_json("raw_payload", schema).alias("item"), F.lit(source).alias("source"), F.lit(endpoint).alias("endpoint"),
+        "*", F.lit(_DAY).alias("__dt")).drop("dt", "raw_payload").withColumnRenamed("__dt", "dt")
 
-@query("snapshot_stage_load_matches", """
-    SELECT * EXCLUDE (ldts) REPLACE (CAST(home_xg AS DOUBLE) AS home_xg, CAST(away_xg AS DOUBLE) AS away_xg) FROM stg_understat_matches""")
+
+def _loaded_a(t: B.Tables, endpoint: str, name: str) -> DataFrame:
+    """A day's items written as a snapshot and loaded into the stage table of the first source."""
+    root, schema = scratch(t.spark, "lake"), SL.ENDPOINTS[endpoint][0]
+    items = _snapshot_items(t, name, schema, S.SOURCE_A, endpoint)
+    snapshots.write_snapshot(items.select("item.*", *_LEVELS_A), root, _LEVELS_A)
+    return SL.load_source_a(
+        t.spark, root, endpoint, _DAY, leagues=B.LEAGUES.values(),
+        loaded_at=F.lit("2024-02-01 04:00:00").cast("timestamp_ntz"))
+
+
+def _no_ldts(name: str) -> str:
+    """SQL of a stage model without its load time; numbers as the model's own query has them."""
+    decimals = MODEL_DECIMALS.get(name, ())
+    cast = f" REPLACE ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in decimals)})" if decimals else ""
+    return f"SELECT * EXCLUDE (ldts){cast} FROM {name}"
+
+
+@query("snapshot_stage_load_matches", _no_ldts("stg_understat_matches"))
 def _(t):
-    """Match items written as a day's snapshot, loaded into the stage table and staged."""
+    return S.stg_understat_matches(_loaded_a(t, "matches", "understat_matches")).drop("ldts")
+
+
+@query("snapshot_stage_load_players", _no_ldts("stg_understat_players"))
+def _(t):
+    return S.stg_understat_players(_loaded_a(t, "players", "understat_players")).drop("ldts")
+
+
+@query("snapshot_stage_load_teams", _no_ldts("stg_understat_teams"))
+def _(t):
+    return S.stg_understat_teams(_loaded_a(t, "teams", "understat_teams")).drop("ldts")
+
+
+def _second_source(t: B.Tables) -> str:
+    """Lake with one day's competitions and matches of the second source."""
     root = scratch(t.spark, "lake")
-    items = B.understat_matches(t).select(
-        F.from_json("raw_payload", SL.MATCH).alias("item"), F.lit(S.SOURCE_A).alias("source"),
-        F.lit("matches").alias("endpoint"), "league_id", "season", F.lit("2024-02-01").alias("dt"))
-    levels = ["source", "endpoint", "league_id", "season", "dt"]
-    snapshots.write_snapshot(items.select("item.*", *levels), root, levels)
-    stage = SL.load_source_a(
-        t.spark, root, "matches", "2024-02-01", leagues=B.LEAGUES.values(),
-        loaded_at=F.lit("2024-02-01 04:00:00").cast("timestamp_ntz"))
-    return S.stg_understat_matches(stage).drop("ldts")
+    competitions = B.sb_competitions(t).select(
+        *SL.COMPETITION.fieldNames(), F.lit(SL.LAKE_SOURCE_B).alias("source"), F.lit("competitions").alias("endpoint"), F.lit(_DAY).alias("dt"))
+    snapshots.write_snapshot(competitions, root, ["source", "endpoint", "dt"])
+    fields = [f for f in SL.MATCH_B.fieldNames() if f != "match_id"]
+    matches = _snapshot_items(t, "sb_matches", SL.MATCH_B, SL.LAKE_SOURCE_B, "matches").withColumn("season", F.year("match_date"))
+    snapshots.write_snapshot(matches.select("match_id", *[f"item.{f}" for f in fields], *_LEVELS_A), root, _LEVELS_A)
+    return root
+
+
+@query("snapshot_stage_load_competitions", _no_ldts("stg_sb_competitions"))
+def _(t):
+    loaded = SL.load_competitions(t.spark, _second_source(t), _DAY, B.LEAGUES, F.lit("2024-02-01 04:00:00").cast("timestamp_ntz"))
+    return S.stg_sb_competitions(loaded, B.LEAGUES).drop("ldts")
+
+
+@query("snapshot_stage_load_matches_b", _no_ldts("stg_sb_matches"))
+def _(t):
+    loaded = SL.load_matches_b(t.spark, _second_source(t), _DAY, B.LEAGUES, F.lit("2024-02-01 04:00:00").cast("timestamp_ntz"))
+    return S.stg_sb_matches(loaded).drop("ldts")
 
 
 @query("export_round_trip", " UNION ALL ".join(

@@ -80,11 +80,11 @@ def load_source_a(
         items = is_true(items, "isResult")
     rows = items.select(
         *[F.col(field).alias(name) for name, field in columns.items()], "league_id", "season", "dt",
-        F.struct(*schema.fieldNames()).alias("raw_payload"), "source_file", "position",
+        F.struct(*schema.fieldNames()).alias("raw_payload"), "source_file", "item_no",
     )
     # The last item of a batch wins, in the order of files and of the items in a file.
-    order = [F.col("source_file").desc(), F.col("position").desc()]
-    return upsert(target, rows, keys, order, loaded_at if loaded_at is not None else _now()).drop("source_file", "position")
+    order = [F.col("source_file").desc(), F.col("item_no").desc()]
+    return upsert(target, rows, keys, order, loaded_at if loaded_at is not None else _now()).drop("source_file", "item_no")
 
 
 def read_competitions(spark: SparkSession, root: str, dt: str | date) -> DataFrame:
@@ -125,9 +125,9 @@ def load_matches_b(
     served = items.join(_league_frame(spark, leagues), F.col("league_id") == F.col("slug"))
     named = served.withColumnRenamed("season", "season_id")
     resolved = lookup(
-        named, read_competitions(spark, root, dt).select("country_name", "competition_name", "season_id", "competition_id", "source_file", "position"),
+        named, read_competitions(spark, root, dt).select("country_name", "competition_name", "season_id", "competition_id", "source_file", "item_no"),
         ["country_name", "competition_name", "season_id"], "competition_id",
-        [F.col("source_file").desc(), F.col("position").desc()], unresolved,
+        [F.col("source_file").desc(), F.col("item_no").desc()], unresolved,
     )
     return with_placeholders(resolved, {"home_team_id": "bigint", "away_team_id": "bigint"}).select(
         "match_id", "dt", "league_id", "competition_id", "season_id",

@@ -7,15 +7,21 @@ back to the raw payload, and a lost run resumes from what is on storage.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pitchvault.operators.elo import elo_history, ratings_after
 from pitchvault.operators.quality import check_all
 from pitchvault.plans import business_vault as bv
-from pitchvault.plans import checks, marts, raw_vault, stage_models
+from pitchvault.plans import checks, marts, raw_vault, stage_loads, stage_models
 from pitchvault.plans.contracts import CONTRACTS
 from pitchvault.plans.models import Models
-from pitchvault.sources.tables import append_table, publish_mart, read_table
+from pitchvault.sources.tables import append_table, export_mart, publish_mart, read_table, replace_table, scratch
+
+# Endpoint of the first source to its stage table.
+STAGE_A = {"matches": "understat_matches", "players": "understat_players", "teams": "understat_teams"}
 
 
 class Warehouse:
@@ -33,9 +39,34 @@ class Warehouse:
     def vault(self) -> dict[str, DataFrame]:
         return {name: self.table("raw_vault", name) for name in raw_vault.TABLES}
 
+    def load_stage(
+        self, lake: str, dt: str | date, season: int | None = None, mapping=stage_models.LEAGUES,
+        leagues=stage_loads.SOURCE_A_LEAGUES, loaded_at: Column | None = None,
+    ) -> dict[str, int]:
+        """Load one day's snapshots into the stage tables; returns their row counts.
+
+        The first source is upserted, the second replaced. A table is written beside the
+        old one, which it may read, and takes its place when it is complete.
+        """
+        tables = {}
+        for endpoint, name in STAGE_A.items():
+            target = read_table(self.spark, self.path("stage", name))
+            tables[name] = stage_loads.load_source_a(self.spark, lake, endpoint, dt, season, target, leagues, loaded_at)
+        tables["sb_competitions"] = stage_loads.load_competitions(self.spark, lake, dt, mapping, loaded_at)
+        tables["sb_matches"] = stage_loads.load_matches_b(self.spark, lake, dt, mapping, loaded_at)
+        return {name: replace_table(df, self.path("stage", name)) for name, df in tables.items()}
+
+    def stage(self) -> dict[str, DataFrame]:
+        return {name: self.table("stage", name) for name in (*STAGE_A.values(), "sb_competitions", "sb_matches")}
+
     def load_raw_vault(self, tables: Mapping[str, DataFrame], mapping=stage_models.LEAGUES) -> dict[str, int]:
-        """Append what the stage tables add; returns new rows per table."""
-        stage = stage_models.stage_models(tables, mapping)
+        """Append what the stage tables add; returns new rows per table.
+
+        Payloads are parsed once: the typed stage models are written, and the tables of the
+        vault read those.
+        """
+        typed = stage_models.stage_builders(mapping)
+        stage = Models(typed, tables, typed, self.path("typed", "").rstrip("/"))
         added = {}
         for name in raw_vault.TABLES:
             path = self.path("raw_vault", name)
@@ -53,11 +84,22 @@ class Warehouse:
     def build_marts(
         self, tables: Mapping[str, DataFrame],
         focus_team: str = marts.FOCUS_TEAM, focus_league: str = marts.FOCUS_LEAGUE,
+        rate_from: date | None = None,
     ) -> dict[str, int]:
-        """Rebuild every mart; the ratings read the written match facts and history."""
+        """Rebuild every mart; the ratings read the written match facts and history.
+
+        With ``rate_from``, ratings before that day stay as they are stored, and only the
+        matches from it on are rated: the daily run.
+        """
         given = self.vault() | {n: self.table("business_vault", n) for n in checks.BUSINESS_VAULT}
         given["stg_sb_matches"] = stage_models.stg_sb_matches(tables["sb_matches"])
         builders = marts.builders(focus_team, focus_league)
+        stored = read_table(self.spark, self.path("marts", "elo_history"))
+        if rate_from is not None and stored is not None:
+            # A copy: the stored history is replaced by one that reads it.
+            before = scratch(self.spark, "elo-before")
+            export_mart(stored.filter(F.col("match_date") < F.lit(rate_from)), before)
+            builders["elo_history"] = lambda m: _rated_from(m["mart_match_facts"], self.spark.read.parquet(before), rate_from)
         root = self.path("marts", "").rstrip("/")
         return self._built(Models(builders, given, builders, root), builders)
 
@@ -74,3 +116,9 @@ class Warehouse:
             name: publish_mart(self.spark, self.path("marts", name), self.path("serving", name), c)
             for name, c in CONTRACTS.items()
         }
+
+
+def _rated_from(facts: DataFrame, before: DataFrame, day: date) -> DataFrame:
+    """The stored history before a day, and the ratings of the matches from that day on."""
+    later = elo_history(facts.filter(F.col("match_date") >= F.lit(day)), ratings=ratings_after(before))
+    return before.unionByName(later.select(*before.columns))

@@ -69,7 +69,7 @@ def read_snapshot(
     """Rows of one endpoint's snapshot for one day.
 
     Adds ``league_id`` (NULL where the level is absent), ``season``, ``dt``,
-    ``source_file`` and ``position``, which orders the items of a file. Season directories
+    ``source_file`` and ``item_no``, which orders the items of a file. Season directories
     whose value is no integer are left out. A missing snapshot gives no rows and a
     warning. A file's name tells its layout, so a folder may hold both.
 
@@ -77,8 +77,8 @@ def read_snapshot(
     """
     base = f"{root}/{snapshot_path(source, endpoint)}"
     day = f"dt={dt}"
-    levels = "*" if season is None else f"season={season}"
-    days = f"{base}/{{{day},{levels}/{day},*/{day},*/{levels}/{day}}}"
+    year = f"season={'*' if season is None else season}"
+    days = f"{base}/{{{day},{year}/{day},league_id=*/{day},league_id=*/{year}/{day}}}"
     levels = {"league_id": "string", "season": "int", "dt": "date"}
 
     def files(pattern: str, multiline: bool) -> DataFrame:
@@ -87,7 +87,7 @@ def read_snapshot(
             .option("mode", "FAILFAST").schema(schema).json(days)
         )
         place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-        rows = with_source_file(raw).withColumn("position", place)
+        rows = with_source_file(raw).withColumn("item_no", place)
         if "season" in raw.columns:
             rows = rows.withColumn("season", F.expr("try_cast(season AS int)"))
             rows = rows.filter(F.col("season").isNotNull())
@@ -98,7 +98,7 @@ def read_snapshot(
                 given = str(dt) if name == "dt" else None
                 rows = rows.withColumn(name, F.lit(given).cast(t))
         rows = rows.withColumn("dt", F.col("dt").cast("date"))
-        return rows.select(*schema.fieldNames(), *levels, "source_file", "position")
+        return rows.select(*schema.fieldNames(), *levels, "source_file", "item_no")
 
     try:
         return files(ARRAYS, True).unionByName(files(LINES, False))
@@ -106,7 +106,7 @@ def read_snapshot(
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         log.warning("no snapshot of %s below %s", dt, base)
-        added = {**levels, "source_file": "string", "position": "struct<block: bigint, row: bigint>"}
+        added = {**levels, "source_file": "string", "item_no": "struct<block: bigint, row: bigint>"}
         return spark.createDataFrame([], schema).withColumns({c: F.lit(None).cast(t) for c, t in added.items()})
 
 

@@ -76,9 +76,14 @@ def publish_mart(spark: SparkSession, exported: str, path: str, contract: Contra
     names = [r["column_name"] for r in broken.select("column_name").collect()]
     if names:
         raise ValueError(f"{exported}: contract violated by {names}")
+    return replace_table(df.repartitionByRange(*contract.sort_by).sortWithinPartitions(*contract.sort_by), path)
+
+
+def replace_table(df: DataFrame, path: str) -> int:
+    """Write ``df``, which may read the table at ``path``, beside it and then in its place."""
     beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
-    n = export_mart(df.repartitionByRange(*contract.sort_by).sortWithinPartitions(*contract.sort_by), beside)
-    _switch(spark, beside, path)
+    n = export_mart(df, beside)
+    _switch(df.sparkSession, beside, path)
     return n
 
 
@@ -87,6 +92,7 @@ def _switch(spark: SparkSession, new: str, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     old, current, target = f"{new}-old", hadoop(path), hadoop(new)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(current.getParent())
     if fs.exists(current) and not fs.rename(current, hadoop(old)):
         raise OSError(f"cannot move {path}")
     if not fs.rename(target, current):

@@ -173,3 +173,35 @@ def test_second_load_adds_only_changes(spark, stage, frame, rows, tmp_path):
     facts = mart_match_facts(w.vault()["sat_match_xg"])
     assert facts.count() == 5
     assert rows(facts.filter("away_team_title = 'Barcelona' and home_team_title = 'Getafe'"), "result") == [("away",)]
+
+
+def test_daily_ratings_equal_one_fold(spark, stage, rows, tmp_path):
+    from datetime import date
+
+    w = Warehouse(spark, str(tmp_path))
+    w.load_raw_vault(stage)
+    w.build_business_vault()
+    w.build_marts(stage)
+    cols = ("team_title", "league_id", "match_date", "rating_before", "rating_after")
+    whole = rows(w.table("marts", "mart_team_elo_history"), *cols)
+    w.build_marts(stage, rate_from=date(2023, 8, 20))
+    assert rows(w.table("marts", "mart_team_elo_history"), *cols) == whole
+
+
+def test_stage_load_writes_and_replaces(spark, tmp_path, rows):
+    import json
+
+    def day(dt, *items):
+        folder = tmp_path / f"lake/source=understat/endpoint=teams/league_id=epl/season=2024/dt={dt}"
+        folder.mkdir(parents=True)
+        (folder / "teams.json").write_text(json.dumps([{"Team": n, "M": m} for n, m in items]))
+
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    day("2024-01-01", ("A", "1"), ("B", "10"), ("B", "9"))
+    counts = w.load_stage(str(tmp_path / "lake"), "2024-01-01")
+    assert counts == {"understat_matches": 0, "understat_players": 0, "understat_teams": 2, "sb_competitions": 0, "sb_matches": 0}
+    # The last item of a batch wins, also where it is smaller as text.
+    assert rows(w.stage()["understat_teams"], "team_title", "raw_payload.M") == [("A", "1"), ("B", "9")]
+    day("2024-01-02", ("B", "11"), ("C", "1"))
+    w.load_stage(str(tmp_path / "lake"), "2024-01-02")
+    assert rows(w.stage()["understat_teams"], "team_title", "raw_payload.M") == [("A", "1"), ("B", "11"), ("C", "1")]

@@ -140,7 +140,8 @@ def test_split_row_number_against_window(frame, rows, seed):
     df = frame(NUMBERS, *numbers(seed))
     order = [F.col("v").desc_nulls_first(), F.col("k").asc()]
     split = split_row_number(df, ["g"], order, [(coarse("v"), "desc")], "n")
-    assert rows(split) == rows(df.withColumn("n", F.row_number().over(W.partitionBy("g").orderBy(*order))))
+    plain = df.withColumn("n", F.row_number().over(W.partitionBy("g").orderBy(*order)))
+    assert repr(rows(split)) == repr(rows(plain))  # NaN is not equal to itself
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -149,7 +150,7 @@ def test_split_percent_rank_against_window(frame, rows, seed):
 
     df = frame(NUMBERS, *numbers(seed), ("alone", 1.0, -1))
     plain = df.withColumn("r", F.percent_rank().over(W.partitionBy("g").orderBy(F.col("v").asc_nulls_last())))
-    assert rows(split_percent_rank(df, ["g"], F.col("v"), "r")) == rows(plain)
+    assert repr(rows(split_percent_rank(df, ["g"], F.col("v"), "r"))) == repr(rows(plain))
 
 
 def test_prefix_sum_with_total(frame, rows):
