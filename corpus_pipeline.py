@@ -34,8 +34,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth is benchmark passages."""
-    found = decontamination.decontaminate(docs, read(spark, sf_dir, "benchmark"))
-    return docs.join(found.filter("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return decontamination.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def blot_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

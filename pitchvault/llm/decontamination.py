@@ -195,13 +195,9 @@ def _unite(blocks: list[DataFrame]) -> DataFrame:
     return both.groupBy("__row").applyInPandas(run, schema)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
-    """Per document: n_words, n_hit, n_items, items_sha256 and ``contaminated``.
-
-    A document is contaminated if a word is hit and at least a twentieth of its words are.
-    """
+def blocks_of(docs: DataFrame, benchmark: DataFrame, window: int, block: int) -> list[Windows]:
+    """The benchmark's windows in blocks of about ``block``, each with its prefix tokens."""
     # Items are cut into windows block by block; a block of items has about `block` windows.
-    found: list[DataFrame] = []
     parts: list[Windows] = []
     pending: list[tuple[int, str | None]] = []
     size = 0
@@ -214,11 +210,46 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
             pending, size = [], 0
     if pending or not parts:
         parts.append(block_of(docs, windows_of(pending, window)))
+    return parts
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns.
+
+    With one block of windows, rows pass through a single scan; with more, the verdicts are
+    joined back by doc_id, and rows without doc_id stay.
+    """
+    parts = blocks_of(docs, benchmark, window, block)
+    if len(parts) > 1:
+        bad = decontaminate(docs, benchmark, window, block).filter("contaminated").select("doc_id").distinct()
+        return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    names, windows = docs.columns, parts[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, raw, offsets in chunks(batch, "__raw"):
+                keep = []
+                for n, got in find(windows, raw, offsets):
+                    hit = covered(sorted({(s, k) for s, k, _ in got}))
+                    keep.append(not (hit > 0 and 20 * hit >= n))
+                kept = batch.slice(start, len(keep)).select(names).filter(pa.array(keep, pa.bool_()))
+                yield kept
+
+    return docs.withColumn("__raw", F.expr("CAST(coalesce(text, '') AS BINARY)")).mapInArrow(run, docs.schema)
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
+    """Per document: n_words, n_hit, n_items, items_sha256 and ``contaminated``.
+
+    A document is contaminated if a word is hit and at least a twentieth of its words are.
+    """
+    parts = blocks_of(docs, benchmark, window, block)
     if len(parts) == 1:
         out = hits(docs, parts[0])
     else:
         named = stored(docs.select("doc_id", "text").withColumn("__row", F.monotonically_increasing_id()), "numbered")
         texts = named.select(F.col("__row").alias("doc_id"), "text")
+        found = []
         for p in parts:
             got = hits(texts, p, spans=True).withColumnRenamed("doc_id", "__row")
             found.append(stored(got.join(named.select("__row", "doc_id"), "__row"), "hits"))
