@@ -63,40 +63,28 @@ def best(q_ids: np.ndarray, q: np.ndarray, x_ids: np.ndarray, x: np.ndarray, k:
     q_stats = [statistics(q.astype(float), s) for s in levels]
     x_stats = [statistics(x.astype(float), s) for s in levels]
     n = len(q)
-    top_score = np.full((n, k), _NONE)
-    top_id = np.full((n, k), np.iinfo(np.int64).max)
-    have = np.zeros(n, np.int64)
+    top_score, top_id = np.full((n, k), _NONE), np.full((n, k), np.iinfo(np.int64).max)
     for at in range(0, len(x), step):
         ids, part = x_ids[at : at + step], x[at : at + step]
         alive = q_ids[:, None] != ids
-        bar = np.where(have >= k, top_score[:, -1], -np.inf)
         for qs, xs in zip(q_stats, x_stats, strict=True):
             bound = qs @ xs[at : at + step].T
-            alive &= bound + 1e-6 * (1 + np.abs(bound)) >= bar[:, None]
-            if not alive.any():
-                break
+            alive &= bound + 1e-6 * (1 + np.abs(bound)) >= top_score[:, -1:]
         rows, cols = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
         if not len(rows):
             continue
         scores = _scores(q[rows], part[cols])
-        live = alive[np.ix_(rows, cols)]
-        all_scores = np.hstack([top_score[rows], np.where(live, scores, _NONE)])
-        all_ids = np.hstack([top_id[rows], np.where(live, ids[cols], np.iinfo(np.int64).max)])
-        have[rows] += live.sum(axis=1)
-        pick = _first(all_scores, all_ids, k)
-        top_score[rows] = np.take_along_axis(all_scores, pick, 1)
-        top_id[rows] = np.take_along_axis(all_ids, pick, 1)
-    some = np.arange(k) < np.minimum(have, k)[:, None]
+        better = alive[np.ix_(rows, cols)] & (scores >= top_score[rows, -1:])
+        for r in np.flatnonzero(better.any(axis=1)).tolist():
+            found = np.flatnonzero(better[r])
+            all_scores = np.concatenate([top_score[rows[r]], scores[r, found]])
+            all_ids = np.concatenate([top_id[rows[r]], ids[cols[found]]])
+            first = np.lexsort((all_ids, -all_scores))[:k]
+            top_score[rows[r]], top_id[rows[r]] = all_scores[first], all_ids[first]
+    some = top_score > _NONE
     return pd.DataFrame({"query_id": np.repeat(q_ids, some.sum(axis=1)), "vec_id": top_id[some], "score": top_score[some]})
 
 
-def _first(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the ``k`` highest scores of each row, ties to the smaller id."""
-    by_id = np.argsort(ids, axis=1, kind="stable")
-    by_score = np.argsort(-np.take_along_axis(scores, by_id, 1), axis=1, kind="stable")
-    return np.take_along_axis(by_id, by_score, 1)[:, :k]
-
-
 def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
     """vec_id and ``v``: floor(scale * x) of the components, of the rows that take part."""
     whole = F.expr(f"transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT))")
