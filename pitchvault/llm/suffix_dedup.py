@@ -99,10 +99,11 @@ def _pack(cols: dict[str, np.ndarray], bucket: np.ndarray) -> pa.RecordBatch:
 
 
 def gram_table(docs: DataFrame, buckets: int) -> DataFrame:
-    """Grams of anchors by bucket of their hash: hashes, whose they are, and whether told apart.
+    """Grams of anchors by bucket of their hash, whose they are, and whether met twice already.
 
-    Within a batch of rows a gram is sent once. ``twice`` says that the batch itself holds it
-    at another place; bucket -1 has those places.
+    Within a batch of rows a gram is sent to its bucket once, however many of the rows hold
+    it. The other rows know by then that it is shared; they go to a bucket of the batch
+    below zero.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,12 +119,11 @@ def gram_table(docs: DataFrame, buckets: int) -> DataFrame:
             order = np.argsort(gram, kind="stable")
             owner, gram = owner[order], gram[order]
             new = np.concatenate([[True], gram[1:] != gram[:-1]]) if len(gram) else np.empty(0, bool)
-            alone = new & np.append(new[1:], True)
-            again = ~alone
-            yield _pack({"gram": gram[new], "owner": owner[new]}, (gram[new] % np.uint64(buckets)).astype(np.int64))
-            yield _pack({"gram": gram[again], "owner": owner[again]}, np.full(again.sum(), -1))
+            twice = (new & ~np.append(new[1:], True)).astype(np.uint8) if len(gram) else np.empty(0, np.uint8)
+            bucket = np.where(new, (gram % np.uint64(buckets)).astype(np.int64), -1 - int(ids[0]) % buckets)
+            yield _pack({"gram": gram, "owner": owner, "twice": twice}, bucket)
 
-    return docs.mapInArrow(run, "bucket long, gram binary, owner binary")
+    return docs.mapInArrow(run, "bucket long, gram binary, owner binary, twice binary")
 
 
 def _by_owner(gram: np.ndarray, owner: np.ndarray) -> pd.DataFrame:
@@ -139,25 +139,17 @@ def _by_owner(gram: np.ndarray, owner: np.ndarray) -> pd.DataFrame:
 
 def shared_grams(table: DataFrame) -> DataFrame:
     """(key, grams) of the grams that occur at several places, in pieces."""
-    def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        gram = np.concatenate([fixed(g, "<u8") for g in rows["gram"]])
-        owner = np.concatenate([fixed(o, "<i8") for o in rows["owner"]])
+    def meet(bucket: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        gram, owner, twice = (np.concatenate([fixed(x, t) for x in rows[c]]) for c, t in (("gram", "<u8"), ("owner", "<i8"), ("twice", "u1")))
+        if bucket[0] < 0:
+            return _by_owner(gram, owner)
         order = np.argsort(gram, kind="stable")
-        gram, owner = gram[order], owner[order]
+        gram, owner, twice = gram[order], owner[order], twice[order]
         new = np.concatenate([[True], gram[1:] != gram[:-1]])
-        several = ~(new & np.append(new[1:], True))
+        several = ~(new & np.append(new[1:], True)) | (twice > 0)
         return _by_owner(gram[several], owner[several])
 
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for g, o in zip(batch.column("gram"), batch.column("owner"), strict=True):
-                found = _by_owner(fixed(g.as_py(), "<u8"), fixed(o.as_py(), "<i8"))
-                if len(found):
-                    yield pa.RecordBatch.from_pandas(found, pa.schema([("key", pa.int64()), ("grams", pa.binary())]), preserve_index=False)
-
-    schema = "key long, grams binary"
-    across = table.filter("bucket >= 0").groupBy("bucket").applyInPandas(meet, schema)
-    return across.unionByName(table.filter("bucket < 0").select("gram", "owner").mapInArrow(local, schema))
+    return table.groupBy("bucket").applyInPandas(meet, "key long, grams binary")
 
 
 _CONTEXT = LEFT + SPAN
@@ -171,16 +163,20 @@ def _contexts(text: np.ndarray, at: np.ndarray, begin: np.ndarray, end: np.ndarr
     return np.where(inside, text[np.clip(where, 0, len(text) - 1)], 0).astype(np.uint8)
 
 
-def _spans(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+def _spans(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> pd.DataFrame:
     """One row per document with its (start, end) pairs as bytes."""
     pairs = np.stack([start, end], axis=1).astype("<i8") if len(start) else np.empty((0, 2), "<i8")
     out = _pack({"spans": np.ascontiguousarray(pairs).view("V16").reshape(-1)}, key)
-    return pa.RecordBatch.from_arrays(out.columns, names=["key", "spans"])
+    return pd.DataFrame({"key": out.column(0).to_numpy(zero_copy_only=False), "spans": out.column(1).to_pylist()})
 
 
 def context_table(touched: DataFrame, buckets: int) -> DataFrame:
-    """Contexts of anchors with shared grams by bucket, and in bucket -1 what is removed already."""
-    names = ["bucket", "gram", "key", "at", "low", "high", "context"]
+    """Contexts of anchors with shared grams, by bucket of the gram.
+
+    A context that the batch has met in an earlier place is settled: all its strings occur
+    there. Those go to a bucket of the batch below zero, as (key, start, end).
+    """
+    names = ["bucket", "key", "at", "low", "high", "context"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,21 +199,20 @@ def context_table(touched: DataFrame, buckets: int) -> DataFrame:
                 continue
             gram, key, at, low, high, around = (np.concatenate(c) for c in zip(*parts, strict=True))
             order = np.lexsort((at, key))
-            gram, key, at, low, high, around = (c[order] for c in (gram, key, at, low, high, around))
             seen: set[bytes] = set()
             new = np.zeros(len(key), bool)
-            whole = np.concatenate([around, low.astype(np.uint8)[:, None], high.astype(np.uint8)[:, None]], axis=1)
-            for i in range(len(key)):
-                k = whole[i].tobytes()
+            for i in order.tolist():
+                k = around[i].tobytes() + bytes((low[i], high[i]))
                 if k not in seen:
                     seen.add(k)
                     new[i] = True
             old = ~new
-            done = _spans(key[old], at[old] - high[old], at[old] - low[old] + SPAN)
-            bare = pa.array([None] * len(done), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(done), -1)), done.column("spans"), pa.array([int(k).to_bytes(8, "little", signed=True) for k in done.column("key").to_pylist()], pa.binary()), bare, bare, bare, bare], names=names)
-            cols = {"gram": gram[new], "key": key[new], "at": at[new], "low": low[new].astype(np.uint8), "high": high[new].astype(np.uint8), "context": np.ascontiguousarray(around[new]).view(f"V{_CONTEXT}").reshape(-1)}
+            bare = np.empty(0, "V1")
+            done = {"key": key[old], "at": at[old] - high[old], "end": at[old] - low[old] + SPAN}
+            if old.any():
+                blobs = [done["key"], done["at"], bare, bare, done["end"]]
+                yield pa.RecordBatch.from_arrays([pa.array([-1 - int(keys[0]) % buckets]), *(pa.array([x.tobytes()], pa.binary()) for x in blobs)], names=names)
+            cols = {"key": key[new], "at": at[new], "low": low[new].astype(np.uint8), "high": high[new].astype(np.uint8), "context": np.ascontiguousarray(around[new]).view(f"V{_CONTEXT}").reshape(-1)}
             yield _pack(cols, (gram[new] % np.uint64(buckets)).astype(np.int64))
 
     return touched.mapInArrow(run, ", ".join(f"{n} {'long' if n == 'bucket' else 'binary'}" for n in names))
@@ -248,8 +243,10 @@ def repeats(key: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray,
 
 def removed_spans(contexts: DataFrame) -> DataFrame:
     """(key, spans) of the strings that repeat earlier ones."""
-    def resolve(rows: pd.DataFrame) -> pd.DataFrame:
+    def resolve(bucket: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         key, at = (np.concatenate([fixed(x, "<i8") for x in rows[c]]) for c in ("key", "at"))
+        if bucket[0] < 0:
+            return _spans(key, at, np.concatenate([fixed(x, "<i8") for x in rows["context"]]))
         low, high = (np.concatenate([fixed(x, "u1") for x in rows[c]]).astype(np.int64) for c in ("low", "high"))
         around = np.concatenate([fixed(x, "u1") for x in rows["context"]]).reshape(-1, _CONTEXT)
         order = np.lexsort((at, key))
@@ -258,16 +255,9 @@ def removed_spans(contexts: DataFrame) -> DataFrame:
         edge = np.diff(np.pad(gone, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         row, first = np.nonzero(edge == 1)
         last = np.nonzero(edge == -1)[1] - 1
-        return _spans(key[row], at[row] - last, at[row] - first + SPAN).to_pandas()
-
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = [int.from_bytes(k, "little", signed=True) for k in batch.column("key").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("gram")], names=["key", "spans"])
+        return _spans(key[row], at[row] - last, at[row] - first + SPAN)
 
-    schema = "key long, spans binary"
-    across = contexts.filter("bucket >= 0").groupBy("bucket").applyInPandas(resolve, schema)
-    return across.unionByName(contexts.filter("bucket < 0").select("key", "gram").mapInArrow(local, schema))
+    return contexts.groupBy("bucket").applyInPandas(resolve, "key long, spans binary")
 
 
 def cut(text: bytes, spans: np.ndarray) -> tuple[int, int, bytes]:
@@ -304,11 +294,9 @@ def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
 
     spark = docs.sparkSession
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
-    grams = stored(gram_table(docs.select("key", "text"), buckets), "grams")
-    own = shared_grams(grams).groupBy("key").agg(F.collect_list("grams").alias("grams"))
+    own = shared_grams(gram_table(docs.select("key", "text"), buckets)).groupBy("key").agg(F.collect_list("grams").alias("grams"))
     own = own.join(facts.filter("NOT copy").select("key"), "key")
-    touched = stored(docs.select("key", "text").join(own, "key"), "touched")
-    contexts = stored(context_table(touched, buckets), "contexts")
+    contexts = context_table(docs.select("key", "text").join(own, "key"), buckets)
     gone = removed_spans(contexts).groupBy("key").agg(F.collect_list("spans").alias("spans"))
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,7 +310,7 @@ def remove_repeats(docs: DataFrame, texts: bool = False) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True))], names=["key", "cut_bytes", "cut_spans", "cut_sha", "kept"])
 
-    changed = touched.select("key", "text").join(gone, "key").select("key", "text", "spans").mapInArrow(
+    changed = docs.select("key", "text").join(gone, "key").select("key", "text", "spans").mapInArrow(
         rest, "key long, cut_bytes long, cut_spans long, cut_sha string, kept binary")
     out = facts.join(changed, "key", "left")
     result = out.select(
