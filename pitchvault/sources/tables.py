@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -104,17 +106,23 @@ def _switch(spark: SparkSession, new: str, path: str) -> None:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a session on one machine may go without; it gets one folder, named in that setting
-    and removed when the process ends.
+    Only a session on one machine may go without; its process gets one folder, which is
+    removed when it ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set")
-        root = tempfile.mkdtemp(prefix="pitchvault-")
-        atexit.register(shutil.rmtree, root, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    # "local-cluster" has executors of its own: not one machine's folder.
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+        raise ValueError("spark.checkpoint.dir is not set")
+    return _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    root = tempfile.mkdtemp(prefix="pitchvault-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def scratch(spark: SparkSession, name: str) -> str:
