@@ -132,7 +132,8 @@ def _with_stored(rows: DataFrame, ident: Sequence[str], hashdiff: str, existing:
     batch = rows.withColumn("__new", F.lit(True))
     if existing is None:
         return batch
-    # One struct: keys with a NULL context match too.
-    touched = rows.select(F.struct(*ident).alias("__key")).distinct()
+    # One struct: keys with a NULL context match too, and AQE may split a hot key's versions,
+    # which it could not if the join used the layout of the grouping.
+    touched = rows.select(*ident).distinct().select(F.struct(*ident).alias("__key"))
     stored = existing.select(*ident, hashdiff, "ldts", F.struct(*ident).alias("__key")).join(touched, "__key", "left_semi")
     return batch.unionByName(stored.drop("__key").withColumn("__new", F.lit(False)), allowMissingColumns=True)
