@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pitchvault.sources.tables import scratch
 
 TEXT = "CAST(coalesce(text, '') AS BINARY) AS text"  # UTF-8 bytes; null is empty
-CHUNK_BYTES = 2 << 20  # text worked on at once inside a task
+CHUNK_BYTES = 1 << 19  # text worked on at once inside a task
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,12 +27,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """SQL settings for the actions inside, put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Merge joins for which Spark sends a Bloom filter (of at most its usual size) of the
+#: filtered side ahead to the other scan, so that only rows which may match are shuffled.
+BLOOM = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+}
+
+
 def fixed(raw: bytes, dtype: str) -> np.ndarray:
     return np.frombuffer(raw, dtype)
 
 
 def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Consecutive rows of a binary column: (first row, bytes, offsets), some megabytes at a time.
+    """Consecutive rows of a binary column: (first row, bytes, offsets), some of the rows at a time.
 
     Row ``first + i`` is ``bytes[offsets[i]:offsets[i + 1]]``. One longer text is one chunk.
     """

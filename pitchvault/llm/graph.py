@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pitchvault.llm.common import stored
@@ -15,17 +15,25 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     per node combines before the shuffle; the join back is one that can split a hot node.
     """
     if large:
-        pairs = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        ends = F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+        pairs = edges.select(F.inline(ends))
     else:
         pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = pairs.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
     joined = pairs.join(least, "a")
     if large:
-        moved = joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            least.select("a", F.col("m").alias("b")))
-    return moved.filter("a != b").distinct()
+        return joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return joined.select(F.inline(F.array(
+        F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
+    ))).filter("a != b")
+
+
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The distinct edges as a written table, and their number and a sum of hashes."""
+    seen = Observation()
+    once = edges.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"))
+    out = stored(once, "edges")
+    return out, (seen.get["n"], seen.get["h"])
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -34,15 +42,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Rounds of large and small stars until the edges stop changing; every component is
     then a star around its least node. Each round is a written table.
     """
-    def state(df: DataFrame):
-        return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-
-    now = stored(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = state(now)
+    now, before = _written(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
     if before[0]:
         for _ in range(rounds):
-            now = stored(_stars(_stars(now, True), False), "edges")
-            after = state(now)
+            now, after = _written(_stars(_stars(now, True), False))
             if after == before:
                 break
             before = after

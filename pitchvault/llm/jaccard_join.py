@@ -23,6 +23,7 @@ Other columns do not matter.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,15 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pitchvault.llm.common import LOWER, TEXT, chunks, fixed, grams, record, stored, table_of, words
+from pitchvault.llm.common import BLOOM, LOWER, TEXT, chunks, fixed, grams, record, settings, stored, table_of, words
 from pitchvault.llm.graph import components
 from pitchvault.llm.signature_tree import SignatureTree
 
 SHINGLE = 5
-BLOCK = 2000  # sets in one tree
+BLOCK = 4096  # sets in one tree
 BLOCK_TOKENS = 4_000_000  # tokens in one tree
-CELLS = 1 << 18  # of the sketch of token counts
-_PART = 1 << 14  # cells in a row of the sketch
+CELLS = 1 << 22  # of the sketch of token counts, 16 MB whatever the corpus holds
+_PART = 1 << 16  # cells in a row of the sketch
 
 HASH = "xxhash64(text) AS text_hash"
 INSIDE = 1 - table_of([0x20, *range(0x09, 0x0E)])
@@ -86,18 +87,24 @@ def sketch(docs: DataFrame) -> np.ndarray:
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        cells = np.zeros(CELLS, np.int64)
+        cells, waiting, size = np.zeros(CELLS, np.int64), [], 0
         for batch in batches:
             for _, raw, offsets in chunks(batch):
-                cells += np.bincount(_cell(shingles(raw, offsets)[0]), minlength=CELLS)
+                waiting.append(_cell(shingles(raw, offsets)[0]))
+                size += len(waiting[-1])
+                if size >= CELLS // 2:
+                    cells += np.bincount(np.concatenate(waiting), minlength=CELLS)
+                    waiting, size = [], 0
+        if waiting:
+            cells += np.bincount(np.concatenate(waiting), minlength=CELLS)
         task, parts = TaskContext.get().partitionId(), cells.reshape(-1, _PART)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([task] * len(parts), pa.int64()), pa.array(range(len(parts)), pa.int64()), pa.array([p.astype("<i8").tobytes() for p in parts])],
+            [pa.array([task] * len(parts), pa.int64()), pa.array(range(len(parts)), pa.int64()), pa.array([_packed(p) for p in parts])],
             names=["task", "part", "cells"])
 
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(fixed(c, "<i8") for c in rows["cells"])
-        return pd.DataFrame({"task": [key[1]], "part": [key[0]], "cells": [total.astype("<i8").tobytes()]})
+        total = sum(_unpacked(c) for c in rows["cells"])
+        return pd.DataFrame({"task": [key[1]], "part": [key[0]], "cells": [_packed(total)]})
 
     schema = "task long, part long, cells binary"
     rows = docs.select(F.expr(TEXT)).mapInArrow(fill, schema)
@@ -105,14 +112,23 @@ def sketch(docs: DataFrame) -> np.ndarray:
         rows = rows.withColumn("task", F.expr("task DIV 128")).groupBy("part", "task").applyInPandas(add, schema)
     out = np.zeros(CELLS, np.int64)
     for r in rows.collect():  # CELLS numbers in all
-        out[r["part"] * _PART : (r["part"] + 1) * _PART] += fixed(r["cells"], "<i8")
+        out[r["part"] * _PART : (r["part"] + 1) * _PART] += _unpacked(r["cells"])
     return out
 
 
+def _packed(cells: np.ndarray) -> bytes:
+    return zlib.compress(cells.astype("<i8").tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return fixed(zlib.decompress(raw), "<i8")
+
+
 def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     """doc_id, text_hash, n, node (a hash of the whole set), and the rarest fifth of its tokens.
 
     ``hot`` tells how many of the last tokens of the prefix may be too frequent for one task.
+    Of equal sets in a batch only the first comes with its prefix.
     """
     rarity = np.minimum(counts, 2**31 - 1).astype(np.int32)
     hot_from = 4 * int(rarity.mean()) + 1000
@@ -120,6 +136,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            seen: set[int] = set()
             for start, raw, offsets in chunks(batch):
                 tokens, begins = shingles(raw, offsets)
                 rows = []
@@ -127,6 +144,10 @@ def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                     s = distinct(tokens[a:b])
                     n = len(s)
                     node = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+                    if node in seen:
+                        rows.append((n, node, None, 0))
+                        continue
+                    seen.add(node)
                     take = n - -(-4 * n // 5) + 1 if n else 0
                     often = rarity[_cell(s)]
                     rare = np.argsort(often, kind="stable")[:take]
@@ -175,11 +196,25 @@ def regions(sets: DataFrame) -> DataFrame:
     return components(edges).withColumnRenamed("component", "region")
 
 
-def _tree_links(rows: pd.DataFrame, across: bool) -> pd.DataFrame:
-    rows = rows.sort_values("node").reset_index(drop=True)
-    tree = SignatureTree([token_set(t) for t in rows["text"]], rows["class"].tolist())
+def _tree(rows: pd.DataFrame) -> tuple[pd.DataFrame, SignatureTree]:
+    # A document row that is repeated brings its text as often.
+    rows = rows.drop_duplicates("node").sort_values("node").reset_index(drop=True)
+    return rows, SignatureTree([token_set(t) for t in rows["text"]], rows["class"].tolist())
+
+
+def _tree_classes(rows: pd.DataFrame) -> pd.DataFrame:
+    """The class of each set of one tree."""
+    rows, tree = _tree(rows)
+    tree.links()
     ids = rows["node"].to_numpy()
-    found = tree.links(rows["block"].to_numpy() if across else None)
+    return pd.DataFrame({"node": ids, "class": [ids[tree._find(i)] for i in range(len(ids))]}, dtype="int64")
+
+
+def _links_across(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between the blocks of one tree."""
+    rows, tree = _tree(rows)
+    ids = rows["node"].to_numpy()
+    found = tree.links(rows["block"].to_numpy())
     return pd.DataFrame({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]}, dtype="int64")
 
 
@@ -188,49 +223,55 @@ LINKS = "a long, b long"
 
 def _settle(members: DataFrame, links: DataFrame) -> DataFrame:
     """``members`` with the class that ``links`` give."""
-    found = components(links).select(F.col("node").alias("node"), F.col("component").alias("__class"))
+    found = components(links).select("node", F.col("component").alias("__class"))
     out = members.drop("class").join(found, "node", "left")
     return stored(out.withColumn("class", F.coalesce("__class", "node")).drop("__class"), "classes")
 
 
-def tree_classes(members: DataFrame) -> DataFrame:
-    """(node, class) from ``members`` (node, n, region, text as bytes), one row per set."""
-    in_region = members.groupBy("region").agg(F.count(F.lit(1)).alias("__k"), F.sum("n").alias("__n"))
+def with_blocks(members: DataFrame) -> DataFrame:
+    """``members`` (node, n, region, ...) with the number of blocks of the region and the own block."""
+    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("__k"), F.sum("n").alias("__n"))
     blocks = F.greatest(F.ceil(F.col("__k") / BLOCK), F.ceil(F.col("__n") / BLOCK_TOKENS))
-    cut = (
-        members.join(in_region.select("region", blocks.alias("blocks")), "region")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-        .withColumn("class", F.col("node"))
-    )
-    cut = stored(cut, "blocks")
-    within = cut.select("region", "block", "node", "text", "class").groupBy("region", "block").applyInPandas(
-        lambda rows: _tree_links(rows, False), LINKS)
-    links = stored(within, "links")
-    if cut.filter("blocks > 1").isEmpty():
-        return _settle(cut.select("node"), links).select("node", "class")
+    cut = members.join(sizes.select("region", blocks.alias("blocks")), "region")
+    return cut.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
 
-    large = cut.filter("blocks > 1")
-    now = _settle(large.select("node", "region", "block", "blocks"), links)
+
+def tree_classes(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, class) of ``members`` (node, region, blocks, block); ``texts`` adds text as bytes."""
+    alone = texts.withColumn("class", F.col("node")).select("region", "block", "node", "text", "class")
+    # Few documents are in a region: a Bloom filter keeps the other texts from the shuffle.
+    with settings(members.sparkSession, BLOOM):
+        within = stored(alone.groupBy("region", "block").applyInPandas(_tree_classes, "node long, class long"), "classes")
+    if members.filter("blocks > 1").isEmpty():
+        return within
+
+    # Regions of several blocks: classes within blocks are links to start from.
+    large = stored(texts.filter("blocks > 1").select("node", "text"), "large")
+    wide = members.filter("blocks > 1").select("node", "region", "block")
+    now = stored(wide.join(within, "node"), "classes")
+    links = now.select(F.col("node").alias("a"), F.col("class").alias("b"))
 
     def round_of(pairs: DataFrame) -> DataFrame:
         """Links across the given pairs (region, i, j) of blocks."""
         sides = pairs.select("region", "i", "j", F.explode(F.array("i", "j")).alias("block"))
-        rows = sides.join(now.select("node", "class", "region", "block"), ["region", "block"]).join(large.select("node", "text"), "node")
-        got = rows.groupBy("region", "i", "j").applyInPandas(lambda r: _tree_links(r, True), LINKS)
-        return stored(got, "links")
+        rows = sides.join(now, ["region", "block"]).join(large, "node")
+        return stored(rows.groupBy("region", "i", "j").applyInPandas(_links_across, LINKS), "links")
+
+    def per_block() -> DataFrame:
+        return stored(now.groupBy("region", "block").agg(F.min("class").alias("low"), F.max("class").alias("high")), "per-block")
 
-    per_block = now.groupBy("region", "block").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    per_block = stored(per_block, "per-block")
-    links = links.union(round_of(per_block.filter("block > 0").select("region", F.lit(0).cast("long").alias("i"), F.col("block").alias("j"))))
+    links = links.union(round_of(per_block().filter("block > 0").select("region", F.lit(0).cast("long").alias("i"), F.col("block").alias("j"))))
     now = _settle(now, links)
-    per_block = stored(now.groupBy("region", "block").agg(F.min("class").alias("low"), F.max("class").alias("high")), "per-block")
-    a, b = (per_block.select("region", *[F.col(c).alias(c + s) for c in ("block", "low", "high")]) for s in "xy")
+    ends = per_block()
+    a, b = (ends.select("region", *[F.col(c).alias(c + s) for c in ("block", "low", "high")]) for s in "xy")
     open_pairs = (
         a.join(b, "region").filter("blockx > 0 AND blockx < blocky AND NOT (lowx = highx AND lowy = highy AND lowx = lowy)")
         .select("region", F.col("blockx").alias("i"), F.col("blocky").alias("j"))
     )
-    links = links.union(round_of(open_pairs))
-    return _settle(cut.select("node"), links).select("node", "class")
+    if not open_pairs.isEmpty():
+        now = _settle(now, links.union(round_of(open_pairs)))
+    joined = within.join(now.select("node", F.col("class").alias("__wide")), "node", "left")
+    return joined.select("node", F.coalesce("__wide", "class").alias("class"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -238,13 +279,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sets = stored(prefixes(docs, sketch(docs)), "sets")
     named = sets.filter("doc_id IS NOT NULL AND n > 0")
-    first = named.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).select("node", "first.*")
-    first = stored(first, "distinct-sets")
-    alone = named.join(first, ["node", "doc_id", "text_hash"]).dropDuplicates(["node"])
-    region = stored(regions(alone.select("node", "n", "prefix", "hot")), "regions")
-    wanted = first.join(region, "node").join(alone.select("node", "n"), "node")
-    members = docs.select("doc_id", F.expr(HASH), F.expr(TEXT)).join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["node"])
-    classes = tree_classes(members.select("node", "n", "region", "text"))
+    first = named.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n").alias("n"))
+    first = stored(first.select("node", "n", "first.*"), "distinct-sets")
+    region = regions(named.filter("prefix IS NOT NULL").select("node", "n", "prefix", "hot"))
+    members = stored(with_blocks(first.join(region, "node")), "members")
+    wanted = members.filter("n > 0").select("doc_id", "text_hash", "node", "region", "blocks", "block")
+    texts = docs.select("doc_id", F.expr(HASH), F.expr(TEXT)).join(wanted, ["doc_id", "text_hash"])
+    classes = tree_classes(members, texts).select("node", "class")
 
     in_class = first.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
     named_class = in_class.groupBy("class").agg(F.min("doc_id").alias("component_id"))
