@@ -240,6 +240,7 @@ def tree_classes(members: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, class) of ``members`` (node, region, blocks, block); ``texts`` adds text as bytes."""
     alone = texts.withColumn("class", F.col("node")).select("region", "block", "node", "text", "class")
     # Few documents are in a region: a Bloom filter keeps the other texts from the shuffle.
+    # Their list grows with the corpus, so it is merged with the texts at every size.
     with settings(members.sparkSession, BLOOM):
         within = stored(alone.groupBy("region", "block").applyInPandas(_tree_classes, "node long, class long"), "classes")
     if members.filter("blocks > 1").isEmpty():
