@@ -128,7 +128,7 @@ def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     """doc_id, text_hash, n, node (a hash of the whole set), and the rarest fifth of its tokens.
 
     ``hot`` tells how many of the last tokens of the prefix may be too frequent for one task.
-    Of equal sets in a batch only the first comes with its prefix.
+    Of equal sets in a batch only the first that has a doc_id comes with its prefix.
     """
     rarity = np.minimum(counts, 2**31 - 1).astype(np.int32)
     hot_from = 4 * int(rarity.mean()) + 1000
@@ -139,12 +139,13 @@ def prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
             seen: set[int] = set()
             for start, raw, offsets in chunks(batch):
                 tokens, begins = shingles(raw, offsets)
+                named = batch.column("doc_id").slice(start, len(offsets) - 1).is_valid().to_pylist()
                 rows = []
-                for a, b in zip(begins, begins[1:], strict=False):
+                for a, b, has_id in zip(begins, begins[1:], named, strict=False):
                     s = distinct(tokens[a:b])
                     n = len(s)
                     node = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
-                    if node in seen:
+                    if node in seen or not has_id:
                         rows.append((n, node, None, 0))
                         continue
                     seen.add(node)

@@ -64,6 +64,12 @@ def test_jaccard_join_rows_without_or_with_repeated_id(spark):
     same(out, brute.classes(rows), "doc_id", "n_shingles", "component_id")
 
 
+def test_jaccard_join_row_without_id_before_its_copy(spark):
+    rows = [(None, BODY), (7, BODY), (3, BODY + " x"), (None, BODY + " x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)  # one batch
+    same(jaccard_join.near_duplicates(df), brute.classes(rows), "doc_id", "n_shingles", "component_id")
+
+
 def edited(words, r, rate):
     return " ".join(w if r.random() > rate else f"edit{r.randint(0, 10**6)}" for w in words)
 
