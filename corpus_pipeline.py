@@ -16,6 +16,7 @@ from pitchvault.llm.common import read, stored
 from pitchvault.llm.registry import tokenizer
 
 MARK = "[secret]"
+ROW = "__row"  # number of a row within a stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,11 +26,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of every near-duplicate class."""
-    found = jaccard_join.near_duplicates(docs)
-    # Documents without doc_id are in no class and stay.
-    others = found.filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """One row of every near-duplicate class: that with the least doc_id, rows without one last.
+
+    Rows are told apart by a written number, so that repeated and missing ids do no harm.
+    """
+    numbered = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    found = stored(jaccard_join.near_duplicates(numbered.select(F.col(ROW).alias("doc_id"), "text")), "near-copies")
+    linked = found.filter("doc_id != component_id").select(F.col("doc_id").alias(ROW), F.col("component_id").alias("__class"))
+    members = linked.union(linked.select(F.col("__class").alias(ROW), "__class").distinct())
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col(ROW).alias("row"))
+    first = members.join(numbered.select(ROW, "doc_id"), ROW).groupBy("__class").agg(F.min(order).alias("first"))
+    others = members.join(first.select(F.col("first.row").alias(ROW)), ROW, "left_anti").select(ROW)
+    return numbered.join(others, ROW, "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

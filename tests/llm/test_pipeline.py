@@ -69,3 +69,15 @@ def test_stages_on_empty_and_odd_tables(spark):
         odd = corpus_pipeline.stored(stage(spark, odd, SF), "odd")
         assert odd.count() == 3 and odd.columns[-1] == "spans"
     assert corpus_pipeline.STAGES[-1][1](spark, odd, SF).count() == 3
+
+
+def test_near_copies_by_row(spark):
+    """One row of each class stays, and no other row goes, whatever the ids."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(5, a), (5, a), (5, a + " more"), (None, b), (None, b), (None, c), (9, c), (2, d), (7, d), (7, "quite another text of id seven"), (None, None), (None, ""), (3, ""), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    kept = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()]
+    one_of_a = [x for x in kept if x[0] == 5]
+    assert len(one_of_a) == 1 and one_of_a[0][1] == a
+    expected = [(None, b), (9, c), (2, d), (7, rows[9][1]), (None, None), (None, ""), (3, ""), (3, "")]
+    assert sorted((x for x in kept if x[0] != 5), key=repr) == sorted(expected, key=repr)
