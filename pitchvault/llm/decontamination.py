@@ -149,6 +149,8 @@ def covered(spans: list[tuple[int, int]]) -> int:
     return total
 
 
+CONTAMINATED = "n_hit > 0 AND 20 * n_hit >= n_words"
+ROW = "__row"
 HIT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string"
 
 
@@ -178,10 +180,8 @@ def hits(docs: DataFrame, block: Windows, spans: bool = False) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.expr(TEXT)).mapInArrow(run, schema)
 
 
-def _unite(blocks: list[DataFrame]) -> DataFrame:
-    """Hits of several blocks of windows, one row per document row."""
-    schema = HIT
-
+def _over_blocks(numbered: DataFrame, blocks: list[Windows]) -> DataFrame:
+    """Hits of several blocks of windows for each row of ``numbered``, with its number as doc_id."""
     def run(_, batch):
         rows = batch.to_dict("records")
         where = [(int(s), int(k)) for r in rows for s, k in r["spans"]]
@@ -189,10 +189,16 @@ def _unite(blocks: list[DataFrame]) -> DataFrame:
         first = rows[0]
         return type(batch)([{"doc_id": first["doc_id"], "n_words": first["n_words"], "n_hit": covered(where), "n_items": len(items), "items_sha256": _digest(items)}])
 
-    both = blocks[0]
-    for b in blocks[1:]:
+    texts = numbered.select(F.col(ROW).alias("doc_id"), "text")
+    both, *more = [stored(hits(texts, b, spans=True), "hits") for b in blocks]
+    for b in more:
         both = both.unionByName(b)
-    return both.groupBy("__row").applyInPandas(run, schema)
+    return both.groupBy("doc_id").applyInPandas(run, HIT)
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs``, written, with a number for every row."""
+    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
 def blocks_of(docs: DataFrame, benchmark: DataFrame, window: int, block: int) -> list[Windows]:
@@ -217,12 +223,13 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: in
     """The rows of ``docs`` that are not contaminated, with all their columns.
 
     With one block of windows, rows pass through a single scan; with more, the verdicts are
-    joined back by doc_id, and rows without doc_id stay.
+    joined back by the number of the row. Either way every row is judged for itself.
     """
     parts = blocks_of(docs, benchmark, window, block)
     if len(parts) > 1:
-        bad = decontaminate(docs, benchmark, window, block).filter("contaminated").select("doc_id").distinct()
-        return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+        numbered = _numbered(docs)
+        bad = _over_blocks(numbered, parts).filter(CONTAMINATED).select(F.col("doc_id").alias(ROW))
+        return numbered.join(bad, ROW, "left_anti").select(*docs.columns)
     names, windows = docs.columns, parts[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,11 +254,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     if len(parts) == 1:
         out = hits(docs, parts[0])
     else:
-        named = stored(docs.select("doc_id", "text").withColumn("__row", F.monotonically_increasing_id()), "numbered")
-        texts = named.select(F.col("__row").alias("doc_id"), "text")
-        found = []
-        for p in parts:
-            got = hits(texts, p, spans=True).withColumnRenamed("doc_id", "__row")
-            found.append(stored(got.join(named.select("__row", "doc_id"), "__row"), "hits"))
-        out = _unite(found)
-    return out.withColumn("contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words"))
+        numbered = _numbered(docs.select(F.col("doc_id").cast("long"), "text"))
+        found = _over_blocks(numbered, parts).withColumnRenamed("doc_id", ROW)
+        out = found.join(numbered.select(ROW, "doc_id"), ROW).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256")
+    return out.withColumn("contaminated", F.expr(CONTAMINATED))

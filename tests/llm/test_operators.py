@@ -138,6 +138,18 @@ def test_decontamination_on_hostile_rows(spark, docs, none):
     assert got(decontamination.decontaminate(none, bench), "doc_id") == []
 
 
+def test_decontamination_cleans_rows_alike_in_one_block_and_in_several(spark):
+    item = ITEMS[0][1]
+    rows = [(None, item), (None, "clean text"), (1, item), (1, "another clean text"), (1, item), (2, None), (None, ITEMS[1][1])]
+    df = spark.createDataFrame([(d, t, *EXTRA) for d, t in rows], SCHEMA)
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    expected = [rows[1], rows[3], rows[5]]
+    for block in (decontamination.BLOCK, 60):
+        kept = decontamination.clean(df, bench, block=block)
+        assert kept.columns == df.columns
+        same(kept, expected, "doc_id", "text")
+
+
 def ids(texts):
     from tokenizers import Tokenizer
 
