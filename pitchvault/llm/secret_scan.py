@@ -36,19 +36,31 @@ class Rule:
     least: int = 1
 
 
+# From BEGIN to END, with no other BEGIN or END between. Without END, to the end of the key's
+# lines: named headers, an empty line, lines of base64 and nothing else, or long runs of it in
+# a line. Lines also end in a written-out \n, and may be indented, quoted or commented out.
+_KEY = r"[A-Z0-9\x20]*PRIVATE\x20KEY(?:\x20BLOCK)?-----"
+_LINE = r"""["',;+]*+[^\S\n]*+(?:\n|(?:\\r)?\\n)(?:[^\S\n]|[>#*|"'])*+"""
+_PRIVATE_KEY = (
+    rf"-----BEGIN\x20{_KEY}(?:"
+    rf"[^-]*+(?:-(?!----(?:BEGIN|END)\x20)[^-]*+)*+-----END\x20{_KEY}"
+    rf"|(?:{_LINE}(?:Proc-Type|DEK-Info|Version|Comment|Charset|Hash|MessageID):[^\n\\]*+)*+"
+    rf"(?:{_LINE}(?=\n|(?:\\r)?\\n))*+"
+    rf"""(?:{_LINE}[A-Za-z0-9+/=]++(?=["',;+]*+[^\S\n]*+(?:\n|\\|\Z))|[^\S\n]*+[A-Za-z0-9+/=]{{32,}}+)*+)"""
+)
 BASE = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]{24,}", 0, 24),  # maximal runs; those under 24 would drop out
 )
 ADDED = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", _PRIVATE_KEY),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("stripe", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]*+:[^\s/:@]{3,}+@"),
 )
 RULES = BASE + ADDED
 

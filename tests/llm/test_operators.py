@@ -346,6 +346,33 @@ def test_secret_scan_added_rules(spark):
     assert [kinds[i] & {r.kind for r in secret_scan.ADDED} for i in range(7)] == [{"github"}, {"private_key"}, {"url_login"}, {"jwt"}, {"stripe"}, {"slack"}, set()]
 
 
+def test_secret_scan_blots_whole_keys_and_logins(spark):
+    r = random.Random(3)
+    lines = ["".join(r.choice("ABCxyz019+/") for _ in range(64)) for _ in range(5)] + ["Qw12=="]
+    body = "\n".join(lines)
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    jwt = "h" * 90 + "." + "p" * 300 + "." + "s" * 50
+    cases = [
+        (f"a {begin}\n{body}\n{end} z", "a [secret] z"),
+        (f"a {begin}\r\nProc-Type: 4,ENCRYPTED\r\n\r\n{body}\r\n{end}\r\nz", "a [secret]\r\nz"),
+        (f"k = \"{begin}\\n" + "\\n".join(lines) + f"\\n{end}\\n\"", "k = \"[secret]\\n\""),
+        (f"a {begin}\n{body}\nand then prose", "a [secret]\nand then prose"),
+        (f"a {begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n{body}", "a [secret]"),
+        (f"a {begin}\\n" + "\\n".join(lines), "a [secret]"),
+        (f"a {begin} {lines[0]} {lines[1]} and prose", "a [secret] and prose"),
+        (f"{begin}\n{lines[0]}\n{begin}\n{lines[1]}\n{end}", "[secret]\n[secret]"),
+        (f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: 1\n\n{body}\n=aB3d\n-----END PGP PRIVATE KEY BLOCK-----\nz", "[secret]\nz"),
+        (f"a {begin} in prose - nothing more", "a [secret] in prose - nothing more"),
+        (f"git clone https://oauth2:{jwt}@host/x", "git clone [secret]host/x"),
+        (f"https://{'u' * 80}:pass@host", "[secret]host"),
+        ("redis://:password@host:1", "[secret]host:1"),
+        ("see http://host:8080/a@b", "see http://host:8080/a@b"),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in secret_scan.scan(df, mark="[secret]").collect()}
+    assert [out[i] for i in range(len(cases))] == [x for _, x in cases]
+
+
 def test_trigram_queries_are_necessary():
     """No text that a rule matches is left out by its query."""
     import re
