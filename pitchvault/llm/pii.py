@@ -6,7 +6,8 @@ blocks of 64 lengths, so that a text of many matches stays cheap. Patterns only
 what could pass; they start where a run of their characters starts, which gives the
 leftmost matches without trying each place of a long run.
 
-Kinds with a checksum (Luhn for cards, mod-97 for account numbers) must pass it. Each span
+Kinds with a checksum (Luhn for cards, mod-97 for account numbers, whose length goes by the
+country) must pass it. Each span
 has a score: the kind's own, plus a bonus if one of its words is near, in the ``NEAR``
 characters before it. Kinds beyond the base ones need a score of ``LEAST``; base spans stay.
 
@@ -37,6 +38,7 @@ class Kind:
     score: float = 0.5
     words: str = ""
     needs: str = ""  # a character without which nothing can match
+    group: int = 0  # the span, from where the match starts; beyond the match if it is looked ahead at
 
 
 def _digits(m: str) -> str:
@@ -66,8 +68,17 @@ BASE = (
     Kind("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}(?![\x20-]?[0-9])", luhn("m"), 0.8, "card|visa|credit|payment"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_digits('m')}) BETWEEN 9 AND 15", 0.5, "phone|call|tel|mobile|fax", "+"),
 )
+#: Characters of an account number by its country, without spaces.
+IBAN = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY PT ST",
+    26: "IR IS TR", 27: "BI CF CG CM DJ FR GA GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GQ GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN.items())
 ADDED = (
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", mod97("m"), 0.7, "iban|account|bank"),
+    # Only the first four characters are consumed: what fails the check hides no number that starts within it.
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=((?:{_IBAN})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}", mod97("m"), 0.7, "iban|account|bank", group=1),
     Kind("ssn", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", "true", 0.3, "ssn|social|security", "-"),
 )
 
@@ -92,10 +103,14 @@ def spans_sql(kind: Kind, number: int, text: str = "text", strict: bool = False)
         f"named_struct('m', regexp_extract_all({text}, {pattern}, 0),"
         f" 'g', transform(split({text}, {pattern}, -1), s -> CAST(length(s) AS BIGINT)))"
     )
+    spans = "x.m"
+    if kind.group:
+        found = f"{found[:-1]}, 'w', regexp_extract_all({text}, {pattern}, {kind.group}))"
+        spans = "x.w"
     lengths = "transform(x.m, (m, i) -> x.g[i] + length(m))"
     blocks = f"transform(sequence(0, size(l) DIV {_BLOCK}), b -> {_sum(f'slice(l, b * {_BLOCK} + 1, {_BLOCK})')})"
     before = f"{_sum(f'slice(s, 1, i DIV {_BLOCK})')} + {_sum(f'slice(l, i DIV {_BLOCK} * {_BLOCK} + 1, i % {_BLOCK})')}"
-    place = f"transform(x.m, (m, i) -> named_struct('m', m, 'at', {before} + x.g[i]))"
+    place = f"transform({spans}, (m, i) -> named_struct('m', m, 'at', {before} + x.g[i]))"
     kept = f"filter({_let('l', lengths, _let('s', blocks, place))}, e -> {_let('m', 'e.m', kind.passes)})"
     near = f"lower(substr({text}, CAST(greatest(e.at - {NEAR}, 0) AS INT) + 1, CAST(least(e.at, {NEAR}) AS INT)))"
     score = f"{kind.score}D + IF({near} RLIKE {_literal(kind.words)}, {BONUS}D, 0D)" if kind.words else f"{kind.score}D"

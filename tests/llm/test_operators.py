@@ -440,6 +440,18 @@ def test_automaton_against_greedy():
     assert token_counts.Automaton([b"ab"]).count(b"abb") == -1
 
 
+def test_pii_account_numbers_among_neighbours(spark):
+    de, gb, no, mt = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO9386011117947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"
+    cases = [
+        (f"{de} EUR 250", [de]), (f"to {de} BIC DEUTDEFF500", [de]), (f"AB12 {de}", [de]), (f"BE12 {de} X", [de]), (f"GB82 {de} 17", [de]),
+        (f"{de} {gb} {no} {mt} 12", [de, gb, no, mt]), (f"{no} 1234 5678", [no]), (f"💥 {de.replace(' ', '')} 9", [de.replace(" ", "")]),
+        (f"{de}1", []), (f"x{de}", []), (de[:-1] + "1 EUR 250", []), ("", []),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    out = {r["doc_id"]: [cases[r["doc_id"]][0][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "iban"] for r in pii.find(df).collect()}
+    assert [out[i] for i in range(len(cases))] == [x for _, x in cases]
+
+
 def toxic_rows(n=600, seed=12):
     r = random.Random(seed)
     rows, labels = [], []
