@@ -7,8 +7,9 @@ the other folds, so that what it says about a training row is as uncertain as wh
 say about a new one. The threshold of the last link is chosen on out-of-fold predictions.
 
 The chain is fitted in one task on at most ``SAMPLE`` labelled documents and ``BYTES`` of
-their text, in the order of a hash of their ids; both bounds are parameters. Everything
-else covers all rows: every document is judged by its whole text.
+their text, in the order of a hash of their ids; both bounds are parameters, and a text that
+does not fit leaves its place to the next. If documents are labelled toxic and none of them
+is in the sample, that is an error. Everything else covers all rows: every document is judged by its whole text.
 
 Words are runs of letters, in lower case; a word also counts by its beginnings of 3 to 8
 letters, so that forms of a word never seen in training are told by their stem. Null, empty and wordless texts are not toxic.
@@ -56,6 +57,19 @@ def words_of(text: str) -> set[str]:
     return set(_LETTERS.findall(text.lower()))
 
 
+class WordSets(Sequence):
+    """Word sets of texts, each made when it is asked for: all of them take several times the texts' memory."""
+
+    def __init__(self, texts: Sequence[str]):
+        self.texts = texts
+
+    def __len__(self) -> int:
+        return len(self.texts)
+
+    def __getitem__(self, i: int) -> set[str]:
+        return words_of(self.texts[i])
+
+
 def features(words: set[str], lengths: Sequence[int] = STEMS) -> set[str]:
     """The words, and their beginnings of the given lengths with a hyphen."""
     return words.union(*({w[:k] + "-" for w in words if len(w) >= k} for k in lengths))
@@ -119,9 +133,9 @@ class Table:
         counts = Counter(f for w, y in zip(words, toxic, strict=True) if y for f in features(w))
         self.words = sorted(f for f, n in counts.items() if n >= MIN_DOCS)
         number, known = {w: i for i, w in enumerate(self.words)}, Known(set(self.words))
-        each = [sorted(number[f] for f in known.held(w)) for w in words]
-        self.rows = np.repeat(np.arange(len(words)), [len(e) for e in each])
-        self.cols = np.array([c for e in each for c in e], np.int64)
+        each = [np.array(sorted(number[f] for f in known.held(w)), np.int32) for w in words]
+        self.rows = np.repeat(np.arange(len(words), dtype=np.int32), [len(e) for e in each])
+        self.cols = np.concatenate([np.empty(0, np.int32), *each])
         self.n = len(words)
 
     def fit(self, name: str, y: np.ndarray, dense: np.ndarray, use: np.ndarray) -> tuple[Link, np.ndarray]:
@@ -140,8 +154,8 @@ class Table:
         pull = np.bincount(self.cols, (weight * (0.5 - y))[self.rows], len(self.words))
         kept = np.argsort(-np.abs(pull), kind="stable")[:WORDS]
         kept = kept[np.abs(pull[kept]) > penalty]
-        place = np.full(len(self.words) + 1, -1)
-        place[kept] = np.arange(len(kept))
+        place = np.full(len(self.words) + 1, -1, np.int32)
+        place[kept] = np.arange(len(kept), dtype=np.int32)
         mine = place[self.cols] >= 0
         k = len(kept)
         x = np.zeros((self.n, k + 1 + dense.shape[1]), np.float32)
@@ -203,19 +217,42 @@ def best_cut(odds: np.ndarray, y: np.ndarray) -> float:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = BYTES) -> DataFrame:
-    """text and label of at most ``sample`` labelled documents and ``size`` characters, by hash order."""
+    """text and label of at most ``sample`` labelled documents and ``size`` characters, by hash order.
+
+    Texts of over a 16th of ``size`` come after all others. One that does not fit is passed over,
+    and the next looked at, until ``sample`` documents or nearly ``size`` characters are found.
+    Of rows with one doc_id the shortest counts.
+    """
     of_doc = (
         labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
-        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("y"))
     )
-    at = F.xxhash64("doc_id")
-    # At most `sample` rows of three numbers.
-    picked = of_doc.select("doc_id", (F.col("toxic") > 0).cast("int").alias("y"), at.alias("at")).orderBy("at", "doc_id").limit(sample)
-    rows = stored(docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(picked), "doc_id").select("at", "y", "text"), "toxicity-sample")
-    lengths = rows.select("at", F.coalesce(F.length("text"), F.lit(0)).alias("n")).orderBy("at").limit(2 * sample).collect()
-    ends = np.cumsum([r["n"] for r in lengths])
-    over = np.flatnonzero(ends > size)
-    return rows.filter(F.col("at") < lengths[over[0]]["at"]) if len(over) else rows
+    texts = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"), F.xxhash64("text").alias("hash"))
+    one = texts.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("n", "hash")).alias("one")).select("doc_id", "one.*")
+    late = (16 * F.col("n") > size).cast("int")
+    there = stored(one.join(of_doc, "doc_id").withColumns({"at": F.xxhash64("doc_id"), "late": late}), "labelled")
+    picked, room, rest = [], size, there
+    order = F.struct("late", "at", "doc_id")
+    # A round looks at no more rows than are still wanted. Another one follows only if late texts
+    # were passed over.
+    while len(picked) < sample and 16 * room > size:
+        found = rest.filter(F.col("n") <= room).orderBy(order).limit(sample - len(picked)).collect()
+        for r in found:
+            if r["n"] <= room:
+                picked.append(r)
+                room -= r["n"]
+            elif 16 * room <= size:
+                break
+        if not found:
+            break
+        last = [F.lit(found[-1][c]).cast(there.schema[c].dataType).alias(c) for c in ("late", "at", "doc_id")]
+        rest = there.filter(order > F.struct(*last))
+    if not any(r["y"] for r in picked) and not there.filter("y > 0").isEmpty():
+        raise ValueError("there are documents labelled toxic, but none is in the sample to learn from")
+    wanted = docs.sparkSession.createDataFrame([tuple(r) for r in picked], there.schema)
+    # At most `sample` rows of numbers.
+    rows = texts.join(F.broadcast(wanted.drop("late")), ["doc_id", "n", "hash"])
+    return stored(rows.groupBy("doc_id", "at", "y").agg(F.any_value("text").alias("text")).select("at", "y", "text"), "toxicity-sample")
 
 
 def train_chain(docs: DataFrame, labels: DataFrame, seeds: Mapping[str, Sequence[str]] = SEEDS, sample: int = SAMPLE, size: int = BYTES) -> Chain:
@@ -224,9 +261,10 @@ def train_chain(docs: DataFrame, labels: DataFrame, seeds: Mapping[str, Sequence
         for text, y in zip(rows["text"], rows["y"], strict=True):
             votes.setdefault(text or "", []).append(y)
         texts = sorted(votes)
-        sets = [words_of(t) for t in texts]
+        sets = WordSets(texts)
         toxic = np.array([2 * sum(votes[t]) >= len(votes[t]) for t in texts], float)
-        own = {k: toxic * [not s.isdisjoint(v) for s in sets] for k, v in seeds.items()}
+        seeded = np.array([[not s.isdisjoint(v) for v in seeds.values()] for s in sets]).reshape(len(texts), len(seeds))
+        own = {k: toxic * seeded[:, i] for i, k in enumerate(seeds)}
         # Copies count once; texts fall into folds by their place in text order.
         chain = fit_chain(sets, {**own, OVERALL: toxic}, np.arange(len(texts)) % FOLDS)
         out = [(i, k, w) for i, link in enumerate(chain.links) for k, w in [("bias", link.bias), *((f"w{x}", b) for x, b in link.words.items()), *((f"e{j}", b) for j, b in enumerate(link.earlier))]]

@@ -493,6 +493,25 @@ def test_toxicity_chain_uses_out_of_fold_predictions():
     assert any(chain.links[-1].earlier)
 
 
+def test_toxicity_sample_passes_over_long_texts(spark):
+    rows, labels = toxic_rows(200)
+    huge = [(i, "calm words " * 6000) for i in range(1000, 1040)]  # some come early in the order of ids
+    told = spark.createDataFrame([*labels, *((i, 0) for i, _ in huge), (7777, 1)], "doc_id long, toxic int")
+    df = spark.createDataFrame([*rows, *huge, *rows[:50], *[(6, rows[6][1] + " again")] * 300], "doc_id long, text string")
+    picked = toxicity.labelled_sample(df, told, 150, 60_000).collect()
+    assert len(picked) == 150 and sum(len(r["text"]) for r in picked) <= 60_000
+    assert sorted(r["text"] for r in picked if r["text"] in {t for _, t in rows}) == sorted({r["text"] for r in picked})
+    small = toxicity.labelled_sample(df, told, 1000, 20_000).collect()
+    assert 18_000 < sum(len(r["text"]) for r in small) <= 20_000
+    assert len(toxicity.labelled_sample(df, told, 1000, 1 << 20).collect()) == 200 + 15  # as many of 66,000 as fit
+    chain = toxicity.train_chain(df, told, size=60_000)
+    out = {r["doc_id"]: r["is_toxic"] for r in toxicity.judge(df, chain).collect()}
+    assert sum(out[i] == bool(y) for i, y in labels) / len(labels) > 0.9
+    toxic_and_long = spark.createDataFrame([(i, 1) for i, _ in huge] + [(1, 0), (2, 0)], "doc_id long, toxic int")
+    with pytest.raises(ValueError, match="toxic"):
+        toxicity.train_chain(df, toxic_and_long, size=60_000)
+
+
 def test_toxicity_without_labels(spark, docs, none):
     empty = spark.createDataFrame([], "doc_id long, toxic int")
     assert not any(r["toxic"] for r in toxicity.toxicity(docs, empty).collect())
