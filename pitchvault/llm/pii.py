@@ -78,7 +78,7 @@ IBAN = {
 _IBAN = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN.items())
 ADDED = (
     # Only the first four characters are consumed: what fails the check hides no number that starts within it.
-    Kind("iban", rf"(?<![A-Za-z0-9])(?=((?:{_IBAN})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}", mod97("m"), 0.7, "iban|account|bank", group=1),
+    Kind("iban", rf"(?=[A-Z]{{2}}[0-9]{{2}})(?<![A-Za-z0-9])(?=((?:{_IBAN})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}", mod97("m"), 0.7, "iban|account|bank", group=1),
     Kind("ssn", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", "true", 0.3, "ssn|social|security", "-"),
 )
 
