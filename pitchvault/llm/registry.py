@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchvault.llm import (
-    decontamination, jaccard_join, packing, pii, secret_scan, suffix_dedup, token_counts, topk, toxicity, url_filter,
+    decontamination, fill_in_middle, jaccard_join, packing, pii, secret_scan, suffix_dedup, token_counts, topk, toxicity,
+    url_filter,
 )
 from pitchvault.llm.common import read
 
@@ -137,3 +138,31 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read(spark, sf_dir, "documents"))
+
+
+@query(r"""
+    WITH h AS (SELECT *, sha256('1:' || doc_id) AS d FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+    ), drawn AS (
+        SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS t,
+               CAST('0x' || d[1:8] AS BIGINT) AS h1, CAST('0x' || d[9:16] AS BIGINT) AS h2,
+               CAST('0x' || d[17:24] AS BIGINT) AS h3, CAST('0x' || d[25:32] AS BIGINT) AS h4
+        FROM h
+    ), cut AS (
+        SELECT *, CAST(len(t) AS BIGINT) AS n, least(h1 % (len(t) + 1), h2 % (len(t) + 1)) AS a,
+               greatest(h1 % (len(t) + 1), h2 % (len(t) + 1)) AS b,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+                    THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM drawn
+    ), parts AS (
+        SELECT *, coalesce(array_to_string(t[1:a], ''), '') AS p, coalesce(array_to_string(t[a + 1:b], ''), '') AS m,
+               coalesce(array_to_string(t[b + 1:], ''), '') AS s
+        FROM cut
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(CASE form WHEN 'plain' THEN text ELSE p || m || s END) AS restored_sha256
+    FROM parts""")
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.report(read(spark, sf_dir, "documents"))
