@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchvault.llm import (
-    decontamination, fill_in_middle, jaccard_join, packing, pii, secret_scan, suffix_dedup, token_counts, topk, toxicity,
-    url_filter,
+    decontamination, fill_in_middle, jaccard_join, packing, phrases, pii, secret_scan, suffix_dedup, token_counts, topk,
+    toxicity, url_filter,
 )
 from pitchvault.llm.common import read
 
@@ -140,6 +140,39 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read(spark, sf_dir, "documents"))
 
 
+@query(r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^.,;:!?\x0A-\x0D]+')) AS piece
+        FROM documents
+    ), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+    ), grams AS (
+        SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g, count(*) AS f
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS s(k) WHERE len(w) >= k)
+        GROUP BY ALL
+    ), sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang
+    ), candidates AS (SELECT lang, k, g, string_split(g, ' ') AS w, f AS a FROM grams WHERE k > 1 AND f >= 10
+    ), cuts AS (
+        SELECT c.*, j, l.f AS l, r.f AS r, CAST((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates) c
+        JOIN grams l ON l.lang = c.lang AND l.g = array_to_string(c.w[1:j], ' ')
+        JOIN grams r ON r.lang = c.lang AND r.g = array_to_string(c.w[j + 1:], ' ')
+    ), lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1
+    ), covered AS (
+        SELECT DISTINCT c.lang, c.g
+        FROM candidates c JOIN (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS g
+                                FROM candidates WHERE k = 3) t ON t.lang = c.lang AND t.g = c.g
+        WHERE 100 * t.a >= 50 * c.a
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank
+        FROM lowest ANTI JOIN covered USING (lang, g)
+    )
+    SELECT lang, rank, g AS phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000""")
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 @query(r"""
     WITH h AS (SELECT *, sha256('1:' || doc_id) AS d FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
     ), drawn AS (
