@@ -179,8 +179,11 @@ def phrase_graph(docs: DataFrame, by: str = "lang", least: int = 10, seed: int =
                 for name, n in zip(names, np.bincount(row, minlength=rows).tolist(), strict=True):
                     totals[name] = totals.get(name, 0) + n
                 fresh, at = np.unique(h, return_index=True)
-                at = at[~np.isin(fresh, known, assume_unique=True)]
-                known = np.union1d(known, h[at]) if len(known) < KNOWN else h[at]
+                place = np.searchsorted(known, fresh)
+                new = np.append(known, END)[place] != fresh
+                at = at[new]
+                # Two ascending runs, which a stable sort merges.
+                known = np.sort(np.concatenate([known, fresh[new]]), kind="stable") if len(known) < KNOWN else fresh[new]
                 text = low.tobytes()
                 ends = (starts + lengths)[at].tolist()
                 found = [text[a:b] for a, b in zip(starts[at].tolist(), ends, strict=True)]
