@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
 import re
 import shutil
 import tempfile
@@ -13,6 +14,7 @@ from functools import cache
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchvault.operators.quality import Contract, contract_violations, require_columns
 
@@ -103,6 +105,31 @@ def _switch(spark: SparkSession, new: str, path: str) -> None:
     fs.delete(hadoop(old), True)
 
 
+def bucketed_table(spark: SparkSession, path: str, schema: T.StructType, key: Sequence[str], buckets: int) -> str:
+    """Name, in the session's catalog, of the Parquet table at ``path`` laid out in buckets of ``key``.
+
+    Rows of one key hash to one bucket, so that a join or grouping by the key reads them in
+    place. A new session registers the folder again, with the same key and number of buckets.
+    """
+    name = "bucketed_" + hashlib.md5(path.encode()).hexdigest()
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        keys = ", ".join(f"`{k}`" for k in key)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
+            f"INTO {buckets} BUCKETS LOCATION '{path}'")
+    return name
+
+
+def append_bucketed(df: DataFrame, name: str) -> int:
+    """Append rows to a bucketed table, each task writing into the buckets of its rows; returns their number."""
+    spark, seen = df.sparkSession, Observation()
+    counted = df.select(*spark.table(name).columns).observe(seen, F.count(F.lit(1)).alias("n"))
+    counted.write.insertInto(name)
+    spark.catalog.refreshTable(name)
+    return seen.get["n"]
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as the cluster names it in ``spark.checkpoint.dir``.
 
