@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchvault.llm import (
-    decontamination, fill_in_middle, jaccard_join, packing, phrases, pii, secret_scan, suffix_dedup, token_counts, topk,
-    toxicity, url_filter,
+    decontamination, fill_in_middle, jaccard_join, language_model, packing, phrases, pii, secret_scan, suffix_dedup,
+    token_counts, topk, toxicity, url_filter,
 )
 from pitchvault.llm.common import read
 
@@ -140,6 +140,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read(spark, sf_dir, "documents"))
 
 
+@query()
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.report(read(spark, sf_dir, "documents"))
+
+
 @query(r"""
     WITH pieces AS (
         SELECT coalesce(lang, 'und') AS lang,
