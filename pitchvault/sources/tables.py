@@ -116,8 +116,8 @@ def bucketed_table(spark: SparkSession, path: str, schema: T.StructType, key: Se
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         keys = ", ".join(f"`{k}`" for k in key)
         spark.sql(
-            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) "
-            f"INTO {buckets} BUCKETS LOCATION '{path}'")
+            f"CREATE TABLE {name} ({columns}) USING parquet OPTIONS (compression 'zstd') "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'")
     return name
 
 
