@@ -19,7 +19,8 @@ with the totals, in the sender's order. No group depends on how frequent a word
 chunk sends an n-gram once; there are as many groups as the corpus needs. The chunks are a
 table in buckets, so that texts are read in place and never shuffled.
 
-Two n-grams share a hash with a chance of the corpus' number of n-grams by 2 ** 64.
+Hashes have 32 bits more than the corpus' number of words, 64 at most: a lookup meets
+another n-gram's count with a chance of about one in a billion, at every size.
 
 Null and empty texts are an end and nothing else. A null id counts as an empty one where
 texts are dealt out. Repeated rows count each for itself. Without training texts every
@@ -64,7 +65,7 @@ class Weights(NamedTuple):
     word: float
 
 
-def _grams(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+def _grams(table: pa.Table, bits: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Hashes of the 1-, 2- and 3-grams that end at every token, and where every text begins."""
     found, tokens = [], []
     for batch in table.select(["text"]).combine_chunks().to_batches():
@@ -83,25 +84,33 @@ def _grams(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
     u = np.append(START, v[:-1])
     u[begins] = START
     pair = mix(v * np.uint64(3) + w)
-    return [w, pair, mix(u * np.uint64(5) + pair)], begins
+    less = np.uint64(64 - bits)
+    return [mix(w) >> less, pair >> less, mix(u * np.uint64(5) + pair) >> less], begins
 
 
-def _bounds(keys: np.ndarray, groups: int) -> np.ndarray:
-    """Where ascending hashes pass from one of ``groups`` equal ranges to the next."""
-    return np.searchsorted((keys >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32), np.arange(groups + 1, dtype=np.uint64))
+class Ranges(NamedTuple):
+    """Equal ranges of the hashes: their number, and the hashes' bits."""
 
+    groups: int
+    bits: int
 
-def _sent(table: pa.Table, groups: int) -> pa.Table:
+    def bounds(self, keys: np.ndarray) -> np.ndarray:
+        """Where ascending hashes pass from one range to the next."""
+        upper = keys >> np.uint64(self.bits - 32)
+        return np.searchsorted(upper * np.uint64(self.groups) >> np.uint64(32), np.arange(self.groups + 1, dtype=np.uint64))
+
+
+def _sent(table: pa.Table, ranges: Ranges) -> pa.Table:
     chunk, kind = table.column("chunk")[0].as_py(), table.column("kind")[0].as_py()
     slots, blobs = [], []
-    for order, keys in enumerate(_grams(table)[0]):
+    for order, keys in enumerate(_grams(table, ranges.bits)[0]):
         keys, counts = np.unique(keys, return_counts=True)
         if kind == HELD_OUT:
             counts = np.zeros_like(counts)
-        bounds = _bounds(keys, groups)
+        bounds = ranges.bounds(keys)
         for g in np.flatnonzero(np.diff(bounds)).tolist():
             some = keys[bounds[g] : bounds[g + 1]]
-            slots.append(order * groups + g)
+            slots.append(order * ranges.groups + g)
             blobs.append(pack(some[:1], steps(some)[1:], counts[bounds[g] : bounds[g + 1]]))
     n = len(slots)
     return pa.table({
@@ -145,13 +154,13 @@ class _Seen(NamedTuple):
     begins: np.ndarray
 
 
-def _looked_up(texts: pa.Table, answers: pa.Table, groups: int, which: int) -> _Seen:
-    grams, begins = _grams(texts)
+def _looked_up(texts: pa.Table, answers: pa.Table, ranges: Ranges, which: int) -> _Seen:
+    grams, begins = _grams(texts, ranges.bits)
     slots = np.array(answers.column("slot").to_pylist())
     blobs = answers.column("totals")
     counts = []
     for order, keys in enumerate(grams):
-        mine = np.flatnonzero(slots // groups == order)
+        mine = np.flatnonzero(slots // ranges.groups == order)
         totals = np.concatenate([unpack(blobs[int(i)].as_py())[which] for i in mine[np.argsort(slots[mine])]])
         distinct, place = np.unique(keys, return_inverse=True)
         if len(distinct) != len(totals):
@@ -177,11 +186,11 @@ def _estimates(seen: _Seen, n: int) -> tuple[np.ndarray, ...]:
         _ratio(three, seen.trigram_context), _ratio(two, seen.bigram_context), one / max(n, 1))
 
 
-def _events(texts: pa.Table, answers: pa.Table, groups: int, n: int) -> pa.Table:
+def _events(texts: pa.Table, answers: pa.Table, ranges: Ranges, n: int) -> pa.Table:
     names = ("b3", "b2", "p3", "p2", "p1")
     if not texts.num_rows:
         return pa.table({**{c: pa.array([], pa.int32()) for c in names[:2]}, **{c: pa.array([], pa.float64()) for c in names[2:]}, "times": pa.array([], pa.int64())})
-    seen = _looked_up(texts, answers, groups, 1)
+    seen = _looked_up(texts, answers, ranges, 1)
     columns = _estimates(seen, n)
     alike = np.zeros(len(columns[0]), np.uint64)
     for c in (*seen.grams, seen.bigram_context, seen.trigram_context):
@@ -237,12 +246,12 @@ def learn_weights(events: DataFrame, v: int, rounds: int = ROUNDS) -> tuple[Weig
     return weights, told
 
 
-def _scored(texts: pa.Table, answers: pa.Table, groups: int, weights: Weights, n: int, v: int) -> pa.Table:
+def _scored(texts: pa.Table, answers: pa.Table, ranges: Ranges, weights: Weights, n: int, v: int) -> pa.Table:
     if not texts.num_rows:
         return pa.table({"doc_id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_()),
                          **{c: pa.array([], pa.int64()) for c in ("n_tokens", "n_known", "train_tokens")},
                          "base_score": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
-    seen = _looked_up(texts, answers, groups, 0)
+    seen = _looked_up(texts, answers, ranges, 0)
     b3, b2, p3, p2, p1 = _estimates(seen, n)
     one, begins = seen.grams[0], seen.begins
     a, b, d = np.array(weights.trigram)[b3], np.array(weights.bigram)[b2], weights.word
@@ -290,7 +299,8 @@ def score_texts(docs: DataFrame, held_out: Column, kept: int = KEPT) -> DataFram
     )
     rows = docs.select(F.col("doc_id").cast("long"), F.expr(TEXT), kind.cast("int").alias("kind"))
     size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    groups = size // 5 // MET + 1
+    n_words = size // 5 + 1
+    ranges = Ranges(n_words // MET + 1, min(32 + n_words.bit_length(), 64))
     buckets = min(size // CHUNK + 1, 100_000)
 
     chunked = _in_chunks(rows, CHUNK)
@@ -298,23 +308,23 @@ def score_texts(docs: DataFrame, held_out: Column, kept: int = KEPT) -> DataFram
     append_bucketed(chunked, name)
     texts = spark.table(name)
     sent = texts.groupBy("chunk").applyInArrow(
-        lambda t: _sent(t, groups), "slot int, chunk long, kind int, grams binary")
+        lambda t: _sent(t, ranges), "slot int, chunk long, kind int, grams binary")
     answers = stored(
-        sent.repartition(3 * groups, "slot").groupBy("slot").applyInArrow(
+        sent.repartition(3 * ranges.groups, "slot").groupBy("slot").applyInArrow(
             _answered, "slot int, chunk long, kind int, totals binary, n long, v long, n_counted long, v_counted long"),
         "lm-answers")
-    sums = answers.filter(F.col("chunk").isNull() & (F.col("slot") < groups)).agg(
+    sums = answers.filter(F.col("chunk").isNull() & (F.col("slot") < ranges.groups)).agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "n_counted", "v_counted")]).first()
     n, v = sums["n"], sums["v"]
     asked = answers.select("chunk", "kind", "slot", "totals").filter("chunk IS NOT NULL")
 
     deleted, counted = f"kind = {DELETED}", sums["n_counted"]
     events = texts.filter(deleted).groupBy("chunk").cogroup(asked.filter(deleted).groupBy("chunk")).applyInArrow(
-        lambda t, r: _events(t, r, groups, counted), "b3 int, b2 int, p3 double, p2 double, p1 double, times long")
+        lambda t, r: _events(t, r, ranges, counted), "b3 int, b2 int, p3 double, p2 double, p1 double, times long")
     weights, _ = learn_weights(stored(events, "lm-events"), sums["v_counted"])
 
     scored = texts.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(
-        lambda t, r: _scored(t, r, groups, weights, n, v),
+        lambda t, r: _scored(t, r, ranges, weights, n, v),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     done = stored(scored, "lm-scores")
     spark.sql(f"DROP TABLE {name}")
