@@ -41,9 +41,10 @@ BREAKS = table_of([*b".,;:!?", *range(0x0A, 0x0E)]).astype(bool)
 INSIDE = 1 - table_of([0x20, 0x09, *b".,;:!?", *range(0x0A, 0x0E)])
 END = np.uint64(0)  # not the hash of any word
 
-SENT = 1_500_000  # words whose edges a task counts at a time; ids of 21 bits must do
-MET = 2_000_000  # edges that a group is meant to hold
+SENT = 1_000_000  # words whose edges a task counts at a time; ids of 21 bits must do
+MET = 1_000_000  # edges that a group is meant to hold
 KNOWN = 2_000_000  # words that a task remembers to have sent
+PARTS = 8  # parts of a language that are ranked apart first
 
 
 class Graph(NamedTuple):
@@ -65,34 +66,35 @@ def _hashed(raw: np.ndarray, offsets: np.ndarray, lang: np.ndarray, seed: int) -
     return starts, lengths, h, row
 
 
-def _edges_of(raw: np.ndarray, starts: np.ndarray, h: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """For every word, the word and the two after it in its piece; END beyond the piece."""
+def _followed(raw: np.ndarray, starts: np.ndarray, row: np.ndarray) -> list[np.ndarray]:
+    """For every word, whether its piece goes on by one word, and by two."""
     piece = np.cumsum(BREAKS[raw])[starts]
-    after = np.empty((len(h), 3), np.uint64)
-    after[:, 0] = h
+    out = []
     for j in (1, 2):
-        same = (piece[j:] == piece[:-j]) & (row[j:] == row[:-j])
-        after[:, j] = END
-        after[: len(h) - j, j][same] = h[j:][same]
-    return after
-
-
-def _packed(edges: np.ndarray, groups: int) -> Iterator[tuple[int, bytes]]:
-    """Edges counted, by group of their node: the words' hashes, three places in them, counts."""
-    hashes, ids = np.unique(edges.ravel(), return_inverse=True)
-    ids = ids.reshape(-1, 3).astype(np.uint64)
-    key, count = np.unique(ids[:, 0] << np.uint64(42) | ids[:, 1] << np.uint64(21) | ids[:, 2], return_counts=True)
+        same = np.zeros(len(row), bool)
+        same[:-j] = (piece[j:] == piece[:-j]) & (row[j:] == row[:-j])
+        out.append(same)
+    return out
+
+
+def _packed(h: np.ndarray, one: np.ndarray, two: np.ndarray, n: int, groups: int) -> Iterator[tuple[int, bytes]]:
+    """Counted edges of the first ``n`` words, by group of their node: the words' hashes, three places in them, counts."""
+    hashes, ids = np.unique(h, return_inverse=True)
+    hashes, ids = np.append(END, hashes), np.append(ids.astype(np.uint64) + np.uint64(1), np.zeros(2, np.uint64))
+    key = ids[:n] << np.uint64(42)
+    key |= np.where(one[:n], ids[1 : n + 1], 0) << np.uint64(21)
+    key |= np.where(two[:n], ids[2 : n + 2], 0)
+    key, count = np.unique(key, return_counts=True)
     low = np.uint64((1 << 21) - 1)
     a, b, c = key >> np.uint64(42), key >> np.uint64(21) & low, key & low
     group = mix(hashes[a.astype(np.int64)] * np.uint64(3) + hashes[b.astype(np.int64)]) % np.uint64(groups)
     order = np.argsort(group, kind="stable")
     bounds = np.searchsorted(group[order], np.arange(groups + 1, dtype=np.uint64))
-    for g in range(groups):
+    for g in np.flatnonzero(np.diff(bounds)).tolist():
         mine = order[bounds[g] : bounds[g + 1]]
-        if len(mine):
-            used, place = np.unique(np.concatenate([a[mine], b[mine], c[mine]]), return_inverse=True)
-            x, y, z = place.reshape(3, -1)
-            yield g, pack(steps(hashes[used.astype(np.int64)]), steps(x), y, z, count[mine])
+        used, place = np.unique(np.concatenate([a[mine], b[mine], c[mine]]), return_inverse=True)
+        x, y, z = place.reshape(3, -1)
+        yield g, pack(steps(hashes[used.astype(np.int64)]), steps(x), y, z, count[mine])
 
 
 def _merged(blobs: list[bytes], least: int) -> pa.Table:
@@ -149,9 +151,11 @@ def phrase_graph(docs: DataFrame, by: str = "lang", least: int = 10, seed: int =
         held, n = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            every = np.concatenate(held)
-            for i in range(0, len(every), SENT):
-                yield record(sent, *map(list, zip(*_packed(every[i : i + SENT], groups), strict=True)))
+            h, one, two = (np.concatenate(x) for x in zip(*held, strict=True))
+            for i in range(0, len(h), SENT):
+                some = slice(i, i + SENT + 2)
+                blobs = _packed(h[some], one[some], two[some], min(SENT, len(h) - i), groups)
+                yield record(sent, *map(list, zip(*blobs, strict=True)))
 
         for batch in batches:
             of_row = batch.column("by").to_numpy().view(np.uint64)
@@ -159,7 +163,7 @@ def phrase_graph(docs: DataFrame, by: str = "lang", least: int = 10, seed: int =
                 low = LOWER[raw]
                 starts, _, h, row = _hashed(low, offsets, of_row[first : first + len(offsets) - 1], seed)
                 if len(h):
-                    held.append(_edges_of(low, starts, h, row))
+                    held.append((h, *_followed(low, starts, row)))
                     n += len(h)
                 if n >= SENT:
                     yield from flush()
@@ -191,7 +195,8 @@ def phrase_graph(docs: DataFrame, by: str = "lang", least: int = 10, seed: int =
         yield record(told, list(totals), [None] * len(totals), [None] * len(totals), list(totals.values()))
 
     met = rows.select("by", "text").mapInArrow(edges, "group int, edges binary")
-    merged = met.groupBy("group").applyInArrow(
+    # As many tasks as groups: what a task reads does not grow with the corpus.
+    merged = met.repartition(groups, "group").groupBy("group").applyInArrow(
         lambda t: _merged(t.column("edges").to_pylist(), least), "size int, h1 long, h2 long, h3 long, f long, out long")
     counted = stored(merged, "phrase-graph")
     spelled = stored(rows.mapInArrow(vocabulary, "lang string, h long, word string, n long"), "phrase-words")
@@ -306,10 +311,14 @@ def collocations(
     best = F.when(F.col("w3").isNull(), cut1).otherwise(F.least(cut1, cut2)).alias("cut")
     scored = candidates.select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), F.col("f").alias("a"), best).select(
         "lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    # Every task keeps its own first ``top`` rows before they meet.
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # Every task keeps its own first ``top`` rows of a part of a language before they meet;
+    # a language's last task reads those of its parts, however many tasks there were.
     with settings(docs.sparkSession, {"spark.sql.optimizer.windowGroupLimitThreshold": str(top)}):
-        ranked = scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+        part = W.partitionBy("lang", "part").orderBy(*order)
+        first = scored.withColumn("part", F.pmod(F.hash("phrase"), F.lit(PARTS))).withColumn("rank", F.row_number().over(part))
+        first = first.filter(F.col("rank") <= top).drop("rank", "part")
+        ranked = first.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
         return stored(
             ranked.join(graph.sizes, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score"),
             "phrases")
