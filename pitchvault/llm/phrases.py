@@ -182,15 +182,18 @@ def phrase_graph(docs: DataFrame, by: str = "lang", least: int = 10, seed: int =
                 names = batch.column("lang").slice(first, rows).to_pylist()
                 for name, n in zip(names, np.bincount(row, minlength=rows).tolist(), strict=True):
                     totals[name] = totals.get(name, 0) + n
-                fresh, at = np.unique(h, return_index=True)
+                # Words of one hash are told apart by their length, their bytes' sum and their last byte.
+                upto = np.cumsum(np.append(0, low), dtype=np.uint64)
+                ends = starts + lengths
+                told_apart = mix((upto[ends] - upto[starts]) << np.uint64(32) | lengths.astype(np.uint64) << np.uint64(8) | low[ends - 1])
+                fresh, at = np.unique(h * np.uint64(3) + told_apart, return_index=True)
                 place = np.searchsorted(known, fresh)
-                new = np.append(known, END)[place] != fresh
+                new = np.append(known, ~fresh[-1:])[place] != fresh
                 at = at[new]
                 # Two ascending runs, which a stable sort merges.
                 known = np.sort(np.concatenate([known, fresh[new]]), kind="stable") if len(known) < KNOWN else fresh[new]
                 text = low.tobytes()
-                ends = (starts + lengths)[at].tolist()
-                found = [text[a:b] for a, b in zip(starts[at].tolist(), ends, strict=True)]
+                found = [text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
                 yield record(told, [names[i] for i in row[at].tolist()], h[at].view(np.int64), found, [None] * len(at))
         yield record(told, list(totals), [None] * len(totals), [None] * len(totals), list(totals.values()))
 
