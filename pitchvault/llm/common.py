@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchvault.sources.tables import scratch
 
@@ -27,6 +29,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, lengthened until no column of ``df`` is named so, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, whatever characters are in their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` for column names of any characters."""
+    names = df.columns
+    plain = df.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain.mapInArrow(lambda batches: run(b.rename_columns(names) for b in batches), schema)
+
+
 @contextmanager
 def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
     """SQL settings for the actions inside, put back afterwards."""

@@ -9,7 +9,7 @@ words of the rest are compared one by one.
 
 Items without words have no windows and are never found. Documents that are null or have
 no words give zeros. Repeated rows are judged each for itself; an item listed twice
-counts as one. Other columns do not matter.
+counts as one. Other columns do not matter and pass through ``clean`` untouched, whatever their names.
 
 Benchmark windows go to the tasks in blocks of ``BLOCK`` windows, a bounded size; if there
 are more, documents are read once per block and their hits united.
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchvault.llm.common import LOWER, TEXT, chunks, grams, record, stored, table_of, words
+from pitchvault.llm.common import LOWER, TEXT, chunks, columns_of, free_name, grams, map_batches, record, stored, table_of, words
 
 WINDOW = 13
 SHINGLE = 3
@@ -150,7 +150,6 @@ def covered(spans: list[tuple[int, int]]) -> int:
 
 
 CONTAMINATED = "n_hit > 0 AND 20 * n_hit >= n_words"
-ROW = "__row"
 HIT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string"
 
 
@@ -180,8 +179,8 @@ def hits(docs: DataFrame, block: Windows, spans: bool = False) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.expr(TEXT)).mapInArrow(run, schema)
 
 
-def _over_blocks(numbered: DataFrame, blocks: list[Windows]) -> DataFrame:
-    """Hits of several blocks of windows for each row of ``numbered``, with its number as doc_id."""
+def _over_blocks(numbered: DataFrame, row: str, blocks: list[Windows]) -> DataFrame:
+    """Hits of several blocks of windows for each row of ``numbered``, with its number ``row`` as doc_id."""
     def run(_, batch):
         rows = batch.to_dict("records")
         where = [(int(s), int(k)) for r in rows for s, k in r["spans"]]
@@ -189,16 +188,17 @@ def _over_blocks(numbered: DataFrame, blocks: list[Windows]) -> DataFrame:
         first = rows[0]
         return type(batch)([{"doc_id": first["doc_id"], "n_words": first["n_words"], "n_hit": covered(where), "n_items": len(items), "items_sha256": _digest(items)}])
 
-    texts = numbered.select(F.col(ROW).alias("doc_id"), "text")
+    texts = numbered.select(F.col(row).alias("doc_id"), "text")
     both, *more = [stored(hits(texts, b, spans=True), "hits") for b in blocks]
     for b in more:
         both = both.unionByName(b)
     return both.groupBy("doc_id").applyInPandas(run, HIT)
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs``, written, with a number for every row."""
-    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs``, written, with a number for every row, and the name of that column."""
+    row = free_name(docs, "row")
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
 
 
 def blocks_of(docs: DataFrame, benchmark: DataFrame, window: int, block: int) -> list[Windows]:
@@ -227,14 +227,14 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: in
     """
     parts = blocks_of(docs, benchmark, window, block)
     if len(parts) > 1:
-        numbered = _numbered(docs)
-        bad = _over_blocks(numbered, parts).filter(CONTAMINATED).select(F.col("doc_id").alias(ROW))
-        return numbered.join(bad, ROW, "left_anti").select(*docs.columns)
-    names, windows = docs.columns, parts[0]
+        numbered, row = _numbered(docs)
+        bad = _over_blocks(numbered, row, parts).filter(CONTAMINATED).select(F.col("doc_id").alias(row))
+        return numbered.join(bad, row, "left_anti").select(*columns_of(docs))
+    names, windows, bytes_ = docs.columns, parts[0], free_name(docs, "raw")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, raw, offsets in chunks(batch, "__raw"):
+            for start, raw, offsets in chunks(batch, bytes_):
                 keep = []
                 for n, got in find(windows, raw, offsets):
                     hit = covered(sorted({(s, k) for s, k, _ in got}))
@@ -242,7 +242,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: in
                 kept = batch.slice(start, len(keep)).select(names).filter(pa.array(keep, pa.bool_()))
                 yield kept
 
-    return docs.withColumn("__raw", F.expr("CAST(coalesce(text, '') AS BINARY)")).mapInArrow(run, docs.schema)
+    return map_batches(docs.withColumn(bytes_, F.expr("CAST(coalesce(text, '') AS BINARY)")), run, docs.schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
@@ -254,7 +254,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     if len(parts) == 1:
         out = hits(docs, parts[0])
     else:
-        numbered = _numbered(docs.select(F.col("doc_id").cast("long"), "text"))
-        found = _over_blocks(numbered, parts).withColumnRenamed("doc_id", ROW)
-        out = found.join(numbered.select(ROW, "doc_id"), ROW).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256")
+        numbered, row = _numbered(docs.select(F.col("doc_id").cast("long"), "text"))
+        found = _over_blocks(numbered, row, parts).withColumnRenamed("doc_id", row)
+        out = found.join(numbered.select(row, "doc_id"), row).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256")
     return out.withColumn("contaminated", F.expr(CONTAMINATED))

@@ -7,7 +7,7 @@ queries intersect and unite them, and the expression runs on what is left. A rul
 mandatory trigrams runs on every text. Blocks are independent, so nothing is shuffled.
 
 Null and empty texts have no spans; repeated rows are scanned each for itself; other
-columns pass through untouched, whatever their names.
+columns pass through untouched, whatever their names, but for the one that ``scan`` is told to write.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchvault.llm.common import LOWER, chunks
+from pitchvault.llm.common import LOWER, chunks, free_name, map_batches
 
 
 @dataclass(frozen=True)
@@ -195,7 +195,8 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", out
     With ``mark``, secrets in ``text`` are replaced by it.
     """
     kept = docs.drop(out)
-    ask = kept.withColumn("__raw", F.expr(f"CAST(coalesce(`{text}`, '') AS BINARY)"))
+    bytes_ = free_name(docs, "raw")
+    ask = kept.withColumn(bytes_, F.expr(f"CAST(coalesce(`{text}`, '') AS BINARY)"))
     schema = T.StructType([*kept.schema.fields, T.StructField(out, SPAN)])
     arrow_span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     names = kept.columns
@@ -203,7 +204,7 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", out
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(rules)
         for batch in batches:
-            for first, raw, offsets in chunks(batch, "__raw"):
+            for first, raw, offsets in chunks(batch, bytes_):
                 part = batch.slice(first, len(offsets) - 1)
                 each = list(index.spans(raw, offsets))
                 cols = [part.column(n) for n in names]
@@ -214,7 +215,7 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", out
                 spans = pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in s] for _, s in each], arrow_span)
                 yield pa.RecordBatch.from_arrays([*cols, spans], names=[*names, out])
 
-    return ask.mapInArrow(run, schema)
+    return map_batches(ask, run, schema)
 
 
 def report(docs: DataFrame, rules: Sequence[Rule] = RULES, base: Sequence[Rule] = BASE) -> DataFrame:

@@ -16,7 +16,8 @@ letters, so that forms of a word never seen in training are told by their stem.
 Copies in the sample count once, toxic if at least half of them are labelled so; a doc_id
 that repeats in the labels is toxic if one of its labels is. A category without both
 outcomes is a constant; without toxic labels no document is toxic. Repeated rows are
-judged alike. Other columns pass through ``judge`` untouched, whatever their names.
+judged alike. Other columns pass through ``judge`` untouched, whatever their names, but for the
+two that it is told to write.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchvault.llm.common import stored
+from pitchvault.llm.common import map_batches, stored
 
 SAMPLE = 15_000
 BYTES = 32 << 20
@@ -294,7 +295,7 @@ def judge(docs: DataFrame, chain: Chain, scores: str = "toxicity_odds", verdict:
             toxic = [o[-1] >= chain.threshold for o in odds]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(odds, pa.list_(pa.float64())), pa.array(toxic, pa.bool_())], names=[*names, scores, verdict])
 
-    return kept.mapInArrow(run, schema)
+    return map_batches(kept, run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
