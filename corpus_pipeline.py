@@ -2,6 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
 and read back as the next stage's documents.
+
+Null and empty texts pass all stages. Rows are judged each for itself, whatever their
+doc_id: repeated rows are copies, of which one stays; rows without a text or without words
+are no copies of each other. All columns but the blotted text and its ``n_chars`` come out
+as they went in, in type and value, whatever their names. Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -12,17 +17,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchvault.llm import decontamination, jaccard_join, packing, secret_scan, toxicity
-from pitchvault.llm.common import read, stored
+from pitchvault.llm.common import columns_of, free_name, read, stored
 from pitchvault.llm.registry import tokenizer
 
 MARK = "[secret]"
-ROW = "__row"  # number of a row within a stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity chain does not reject; it is trained on these documents' labels."""
     chain = toxicity.train_chain(docs, read(spark, sf_dir, "labels"))
-    return toxicity.judge(docs, chain).filter("NOT is_toxic").select(*docs.columns)
+    odds, verdict = free_name(docs, "odds"), free_name(docs, "verdict")
+    judged = toxicity.judge(docs, chain, odds, verdict)
+    return judged.filter(~F.col(verdict)).select(*columns_of(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,14 +36,16 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows are told apart by a written number, so that repeated and missing ids do no harm.
     """
-    numbered = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
-    found = stored(jaccard_join.near_duplicates(numbered.select(F.col(ROW).alias("doc_id"), "text")), "near-copies")
-    linked = found.filter("doc_id != component_id").select(F.col("doc_id").alias(ROW), F.col("component_id").alias("__class"))
-    members = linked.union(linked.select(F.col("__class").alias(ROW), "__class").distinct())
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col(ROW).alias("row"))
-    first = members.join(numbered.select(ROW, "doc_id"), ROW).groupBy("__class").agg(F.min(order).alias("first"))
-    others = members.join(first.select(F.col("first.row").alias(ROW)), ROW, "left_anti").select(ROW)
-    return numbered.join(others, ROW, "left_anti").select(*docs.columns)
+    row = free_name(docs, "row")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = stored(jaccard_join.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text")), "near-copies")
+    linked = found.filter("doc_id != component_id").select(F.col("doc_id").alias("row"), F.col("component_id").alias("class"))
+    members = linked.union(linked.select(F.col("class").alias("row"), "class").distinct())
+    ids = numbered.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    order = F.struct(F.col("id").isNull(), "id", "row")
+    first = members.join(ids, "row").groupBy("class").agg(F.min(order).alias("first"))
+    others = members.join(first.select(F.col("first.row").alias("row")), "row", "left_anti").select(F.col("row").alias(row))
+    return numbered.join(others, row, "left_anti").select(*columns_of(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,12 +54,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def blot_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every secret replaced by a mark."""
-    blotted = secret_scan.scan(docs, mark=MARK)
-    changed = F.size("spans") > 0
+    """All documents, with every secret replaced by a mark, and ``n_chars`` of those texts counted anew."""
+    spans = free_name(docs, "spans")
+    blotted = secret_scan.scan(docs, out=spans, mark=MARK)
     if "n_chars" in docs.columns:
-        blotted = blotted.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return blotted.select(*docs.columns)
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        blotted = blotted.withColumn("n_chars", F.when(F.size(spans) > 0, counted).otherwise(F.col("n_chars")))
+    return blotted.select(*columns_of(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
