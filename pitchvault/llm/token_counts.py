@@ -1,19 +1,21 @@
 """Greedy word-piece counts by a linear longest-match automaton.
 
-A text is cut at white space into words; a word's bytes are matched greedily, longest
-piece first, against the byte-level vocabulary, with the space before a word in its
-vocabulary form. The automaton is the vocabulary's trie with a failure link per node and
+A text is cut into words and runs of white space; a word takes the one space right before
+it along, other white space stands for itself, so that every byte is counted. The bytes of
+each are matched greedily, longest piece first, against the byte-level vocabulary. The automaton is the vocabulary's trie with a failure link per node and
 the number of pieces that following the link pops. A word is read once, byte by byte;
 counts are added up and no piece is ever built.
 
 The vocabulary holds every byte, so any text can be matched. The file is read where the
-query is built and travels with the task. Null and empty texts count 0. Repeated rows
+query is built and travels with the task. Null and empty texts count 0; texts of white
+space have tokens but no words. Repeated rows
 count each for itself; other columns do not matter.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -120,14 +122,17 @@ class _Counts(dict):
         return out
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Words with one space before all but the first; white space itself is not counted."""
-    first, *rest = text.split() or [b""]
-    return [first, *[b" " + w for w in rest]] if first else []
+# White space is tab, line feed to carriage return, and space.
+_UNIT = re.compile(rb" ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]")
+
+
+def units(text: bytes) -> list[bytes]:
+    """Words, each with one space right before it, and the white space between; together the text."""
+    return _UNIT.findall(text)
 
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
-    """Per document: n_words, n_tokens and the longest word's pieces."""
+    """Per document: n_words, n_tokens of the whole text, and the most pieces that a word has."""
     pieces = tuple(sorted(vocabulary(path)))
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64()), ("max_word_tokens", pa.int64())])
 
@@ -138,8 +143,11 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
                 text = raw.tobytes()
                 rows = []
                 for i in range(len(offsets) - 1):
-                    counts = np.fromiter(map(memo.__getitem__, words_of(text[offsets[i] : offsets[i + 1]])), np.int64)
-                    rows.append((len(counts), int(counts.sum()), int(counts.max(initial=0))))
+                    each = units(text[offsets[i] : offsets[i + 1]])
+                    counts = np.fromiter(map(memo.__getitem__, each), np.int64, len(each))
+                    # A word ends in something else than white space.
+                    of_words = counts[np.fromiter((not 9 <= u[-1] <= 13 and u[-1] != 32 for u in each), bool, len(each))]
+                    rows.append((len(of_words), int(counts.sum()), int(of_words.max(initial=0))))
                 ids = batch.column("doc_id").slice(first, len(rows))
                 yield record(schema, ids, *map(list, zip(*rows, strict=True)))
 

@@ -1,6 +1,7 @@
 """Operators against plain restatements, on hostile and random small tables."""
 
 import random
+import re
 import sys
 from pathlib import Path
 
@@ -421,11 +422,37 @@ def test_pii_scores(spark):
 
 def test_token_counts(docs, none):
     vocabulary = set(token_counts.vocabulary(tokenizer()))
-    expected = []
-    for d, t in HOSTILE:
-        each = [brute.greedy_pieces(w, vocabulary) for w in token_counts.words_of((t or "").encode())]
-        expected.append((d, len(each), sum(each), max(each, default=0)))
-    same(token_counts.token_counts(docs, tokenizer()), expected, "doc_id", "n_words", "n_tokens", "max_word_tokens")
+
+    def counted(rows):
+        out = []
+        for d, t in rows:
+            # Word by word: what is between two words, but for one space at its end, stands alone.
+            parts = re.split(r"([^ \t\n\r\x0b\x0c]+)", t or "")
+            words, between = parts[1::2], parts[::2]
+            total = most = 0
+            for gap, word in zip(between, [*words, None], strict=True):
+                if word is not None and gap.endswith(" "):
+                    gap, word = gap[:-1], " " + word
+                elif word is not None and len(gap) > 1:  # its last character is cut off
+                    total += greedy(gap[-1])
+                    gap = gap[:-1]
+                total += greedy(gap)
+                if word is not None:
+                    total, most = total + greedy(word), max(most, greedy(word))
+            out.append((d, len(words), total, most))
+        return out
+
+    def greedy(s):
+        return brute.greedy_pieces(s.encode(), vocabulary)
+
+    same(token_counts.token_counts(docs, tokenizer()), counted(HOSTILE), "doc_id", "n_words", "n_tokens", "max_word_tokens")
+    r = random.Random(21)
+    spaced = [(i, "".join(r.choices([" ", "\n", "\t", "\r\n", "\x0b", "\x0c", "a", "word", "é", "\u00a0", "  ", "\n\n\n"], k=r.randint(0, 30)))) for i in range(300)]
+    spaced += [(900, "a" + "\n" * 500 + "b"), (901, "\n" * 500), (902, " "), (903, " x"), (904, "x ")]
+    df = docs.sparkSession.createDataFrame(spaced, "doc_id long, text string")
+    same(token_counts.token_counts(df, tokenizer()), counted(spaced), "doc_id", "n_words", "n_tokens", "max_word_tokens")
+    for _, t in spaced:
+        assert b"".join(token_counts.units(t.encode())) == t.encode()
     assert got(token_counts.token_counts(none, tokenizer()), "doc_id") == []
 
 
