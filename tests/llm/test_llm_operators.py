@@ -1,5 +1,6 @@
 """Operators against plain restatements, on hostile and random small tables."""
 
+import functools
 import random
 import re
 import sys
@@ -442,6 +443,7 @@ def test_token_counts(docs, none):
             out.append((d, len(words), total, most))
         return out
 
+    @functools.cache
     def greedy(s):
         return brute.greedy_pieces(s.encode(), vocabulary)
 
