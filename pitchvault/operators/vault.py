@@ -20,9 +20,17 @@ def with_lineage(df: DataFrame, ldts: Column, rsrc: str) -> DataFrame:
     return df.withColumns({"ldts": ldts, "rsrc": F.lit(rsrc)})
 
 
-def _unknown(once: DataFrame, key: str, existing: DataFrame | None) -> DataFrame:
-    # The rows arrive partitioned by the key, which the anti join uses as it is.
-    return once if existing is None else once.join(existing.select(key), key, "left_anti")
+def _unknown(once: DataFrame, key: str, existing: DataFrame | None, buckets: int | None) -> DataFrame:
+    if buckets is None:
+        # The rows arrive partitioned by the key, which the anti join uses as it is.
+        return once if existing is None else once.join(existing.select(key), key, "left_anti")
+    dealt = once.repartition(buckets, key)
+    if existing is None:
+        return dealt
+    # Dealt out like the stored table's buckets, which are then read in place. An anti join
+    # would be pushed below the dealing out.
+    known = existing.select(key, F.lit(True).alias("__known"))
+    return dealt.join(known, key, "left").filter("__known IS NULL").drop("__known")
 
 
 def load_hub(
@@ -30,9 +38,13 @@ def load_hub(
     key: str,
     business_keys: Sequence[str],
     existing: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row per hash key over all sources, earliest load first; known keys are left out.
 
+    If ``existing`` is a table in so many ``buckets`` of the key, it is not shuffled, and the
+    rows to append come one task per bucket.
+
     A hub key repeats on most source rows. They collapse in a hash aggregate before the
     shuffle (its only state is a timestamp); what is left per key is one row per spelling
     and record source.
@@ -44,7 +56,7 @@ def load_hub(
     spelled = rows.groupBy(key, *business_keys, "rsrc").agg(F.min("ldts").alias("ldts")).select(*cols)
     ties = [F.col(c).asc() for c in business_keys]
     once = latest(spelled, [key], [F.col("ldts").asc(), F.col("rsrc").asc(), *ties])
-    return _unknown(once, key, existing)
+    return _unknown(once, key, existing, buckets)
 
 
 def load_link(
@@ -53,14 +65,24 @@ def load_link(
     hub_keys: Sequence[str],
     existing: DataFrame | None = None,
     attrs: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row per link key with its hub keys and role attributes; known keys are left out.
 
-    Links repeat little, so the earliest row per key is picked in one shuffle.
+    Links repeat little, so the earliest row per key is picked in one shuffle. ``buckets``:
+    as for hubs.
     """
     rows = source.select(key, *hub_keys, *attrs, "ldts", "rsrc")
     once = latest(rows, [key], [F.col("ldts").asc(), F.col("rsrc").asc()])
-    return _unknown(once, key, existing)
+    return _unknown(once, key, existing, buckets)
+
+
+PART = "key_part"
+
+
+def key_part(key: str, parts: int) -> Column:
+    """Which of so many parts of a satellite table a key's versions are in."""
+    return F.pmod(F.hash(key), F.lit(parts)).cast("int")
 
 
 def load_sat(
@@ -72,6 +94,7 @@ def load_sat(
     context: Sequence[str] = (),
     split: Column | None = None,
     keyed: bool = False,
+    parts: int | None = None,
 ) -> DataFrame:
     """Append a version where the hashdiff differs from the version before it.
 
@@ -89,9 +112,18 @@ def load_sat(
     ``keyed`` says that the source has a primary key that leaves few rows per satellite
     key, like a stage table with one row per key and load. Then one window per key will
     do, in one shuffle.
+
+    With ``parts``, the rows get the column ``key_part`` and the table is kept in folders by it
+    (``append_parts``). Which parts the batch touches is found first, at most ``parts``
+    numbers, and only the files of those are read.
     """
+    if parts is not None:
+        source = source.withColumn(PART, key_part(key, parts))
+        if existing is not None:
+            touched = [r[0] for r in source.select(PART).distinct().collect()]  # at most `parts`
+            existing = existing.filter(F.col(PART).isin(touched))
     ident = [key, *context]
-    cols = list(dict.fromkeys([key, hashdiff, *context, *payload, "ldts", "rsrc"]))
+    cols = list(dict.fromkeys([key, hashdiff, *context, *payload, "ldts", "rsrc", *([PART] if parts is not None else [])]))
     rows = _with_stored(source.select(*cols), ident, hashdiff, existing)
     others = [F.col(c).asc() for c in cols if c not in (*ident, "ldts", hashdiff)]
     # A stored version comes before its copies in the batch, which are then no change.

@@ -96,16 +96,22 @@ SATS = {
 TABLES = (*HUBS, *LINKS, *SATS)
 
 
-def load(name: str, stage: Mapping[str, DataFrame], existing: DataFrame | None = None) -> DataFrame:
-    """Rows to append to one raw-vault table."""
+def load(
+    name: str, stage: Mapping[str, DataFrame], existing: DataFrame | None = None,
+    buckets: int | None = None, parts: int | None = None,
+) -> DataFrame:
+    """Rows to append to one raw-vault table.
+
+    ``buckets`` of the stored hubs and links, ``parts`` of the stored satellites.
+    """
     if name in HUBS:
         h = HUBS[name]
-        return load_hub([stage[s] for s in h.sources], h.key, h.business_keys, existing)
+        return load_hub([stage[s] for s in h.sources], h.key, h.business_keys, existing, buckets)
     if name in LINKS:
         link = LINKS[name]
-        return load_link(stage[link.source], link.key, link.hub_keys, existing, link.attrs)
+        return load_link(stage[link.source], link.key, link.hub_keys, existing, link.attrs, buckets)
     s = SATS[name]
-    return load_sat(stage[s.source], s.key, s.hashdiff, s.payload, existing, s.context, keyed=s.keyed)
+    return load_sat(stage[s.source], s.key, s.hashdiff, s.payload, existing, s.context, keyed=s.keyed, parts=parts)
 
 
 def builders(existing: Mapping[str, DataFrame] | None = None) -> dict:

@@ -22,7 +22,7 @@ from pitchvault.operators.elo_pieces import rate_in_pieces
 from pitchvault.operators.lookup import lookup, map_slug, semi_filter
 from pitchvault.operators.matching import same_as
 from pitchvault.operators.reshape import explode_delimited, unpivot_sides
-from pitchvault.operators.vault import load_hub, load_link, load_sat, with_lineage
+from pitchvault.operators.vault import PART, load_hub, load_link, load_sat, with_lineage
 from pitchvault.operators.versions import coarse, latest, split_percent_rank, split_row_number
 from pitchvault.plans import bindings as B
 from pitchvault.plans import business_vault as BV
@@ -416,6 +416,34 @@ def _(t):
     return load_link(lines, *args, existing=before, attrs=["l_returnflag"])
 
 
+def _in_buckets(t: B.Tables, key: str, load: Callable[..., DataFrame], batches: list[DataFrame], buckets: int = 8) -> DataFrame:
+    """A hub or link kept in buckets of its key after one load per batch."""
+    path, name = scratch(t.spark, "buckets"), None
+    for batch in batches:
+        new = load(batch, t.spark.table(name) if name else None, buckets)
+        name = name or tables.bucketed_table(t.spark, path, new.schema, [key], buckets)
+        tables.append_bucketed(new, name)
+    return t.spark.table(name)
+
+
+@query("hub_customer_buckets", _HUB_CUSTOMER)
+def _(t):
+    """Three loads into a hub in buckets, the last of which repeats all orders."""
+    orders = _orders_stage(t)
+    batches = [orders.filter(c) for c in ("ldts < timestamp_ntz'1995-01-01'", "ldts < timestamp_ntz'1997-01-01'", "true")]
+    return _in_buckets(
+        t, "customer_hk", lambda b, known, n: load_hub([b], "customer_hk", ["customer_bk"], known, n), batches)
+
+
+@query("link_part_supplier_buckets", _SUPPLY)
+def _(t):
+    """Two loads into a link in buckets."""
+    lines = _supply_stage(t)
+    return _in_buckets(
+        t, "lnk_hk", lambda b, known, n: load_link(b, "lnk_hk", ["part_hk", "supplier_hk"], known, ["l_returnflag"], n),
+        [lines.filter("ldts < timestamp_ntz'1997-01-01'"), lines])
+
+
 def _event_stage(t: B.Tables) -> DataFrame:
     return with_lineage(t["events"], F.col("ts"), "events").withColumns({
         "user_hk": H.hash_key("user_id"), "type_hashdiff": H.hashdiff("event_type"),
@@ -444,7 +472,7 @@ def _(t):
     return load_sat(events, *args, existing=before)
 
 
-@query("sat_event_late_batch", f"""
+_LATE_BATCH = f"""
     WITH event_rows AS (SELECT *, ldts >= TIMESTAMP '2024-01-16' AS early FROM ({_EVENT_ROWS})), versions AS (
       SELECT * FROM event_rows WHERE early
       QUALIFY lag(type_hashdiff) OVER (PARTITION BY user_hk ORDER BY ldts, type_hashdiff, event_id) IS DISTINCT FROM type_hashdiff
@@ -454,16 +482,31 @@ def _(t):
       UNION ALL SELECT * EXCLUDE (early) REPLACE (type_hashdiff || 'x' AS type_hashdiff), 1 FROM event_rows WHERE early AND event_id % 7 = 0
     ) SELECT * EXCLUDE (prior, added) FROM (
       SELECT *, lag(type_hashdiff) OVER (PARTITION BY user_hk ORDER BY ldts, type_hashdiff, added, event_id) AS prior FROM again)
-    WHERE added = 1 AND prior IS DISTINCT FROM type_hashdiff""")
-def _(t):
-    """The newer half loaded first; then the older half, and other versions of stored times."""
+    WHERE added = 1 AND prior IS DISTINCT FROM type_hashdiff"""
+
+
+def _late_batch(t: B.Tables) -> tuple[DataFrame, DataFrame]:
+    """The newer half of the events; and the older half, with other versions of the newer's times."""
     events = _event_stage(t)
-    args = ("user_hk", "type_hashdiff", ["event_type", "event_id"])
     newer = events.filter("ldts >= timestamp_ntz'2024-01-16'")
-    before = load_sat(newer, *args)
     other = newer.filter("event_id % 7 = 0").withColumn("type_hashdiff", F.concat("type_hashdiff", F.lit("x")))
-    late = events.filter("ldts < timestamp_ntz'2024-01-16'").unionByName(other)
-    return load_sat(late, *args, existing=before)
+    return newer, events.filter("ldts < timestamp_ntz'2024-01-16'").unionByName(other)
+
+
+@query("sat_event_late_batch", _LATE_BATCH)
+def _(t):
+    newer, late = _late_batch(t)
+    args = ("user_hk", "type_hashdiff", ["event_type", "event_id"])
+    return load_sat(late, *args, existing=load_sat(newer, *args))
+
+
+@query("sat_event_parts", _LATE_BATCH)
+def _(t):
+    """The same loads into a satellite in folders by key, of which the second reads what it touches."""
+    newer, late = _late_batch(t)
+    args, path = ("user_hk", "type_hashdiff", ["event_type", "event_id"]), scratch(t.spark, "parts")
+    tables.append_parts(load_sat(newer, *args, parts=16), path, PART)
+    return load_sat(late, *args, existing=t.spark.read.parquet(path), parts=16).drop(PART)
 
 
 @query("sat_event_multi_active", f"""
@@ -585,6 +628,31 @@ def _(t):
     return L.upsert(target, incoming, ["o_custkey"], newest, F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
 
 
+@query("upsert_order_parts", """
+    WITH batch AS (SELECT o_orderkey, o_orderpriority, o_totalprice + 1 AS o_totalprice,
+        CASE WHEN o_orderkey % 7 = 0 THEN 'F' ELSE o_orderstatus END AS o_orderstatus, TIMESTAMP '2000-01-01' AS loaded_at
+      FROM orders WHERE o_orderstatus = 'O' AND o_orderkey % 3 = 0 OR o_orderstatus = 'P')
+    SELECT * FROM batch UNION ALL
+    SELECT o_orderkey, o_orderpriority, o_totalprice, o_orderstatus, TIMESTAMP '1999-01-01' FROM orders
+    WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch)""")
+def _(t):
+    """Orders kept by status: a batch with new prices, some of them under another status, then an empty one."""
+    path = scratch(t.spark, "orders-by-status")
+    orders = t["orders"].select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus")
+
+    def load(batch: DataFrame, at: str) -> None:
+        stamp = F.lit(f"{at} 00:00:00").cast("timestamp_ntz")
+        tables.upsert_partitions(batch, path, ["o_orderkey"], ["o_orderstatus"], [F.col("o_totalprice").desc()], stamp)
+
+    load(orders, "1999-01-01")
+    some = orders.filter("o_orderstatus = 'O' AND o_orderkey % 3 = 0 OR o_orderstatus = 'P'")
+    load(some.withColumns({
+        "o_totalprice": F.col("o_totalprice") + 1,
+        "o_orderstatus": F.when(F.col("o_orderkey") % 7 == 0, "F").otherwise(F.col("o_orderstatus"))}), "2000-01-01")
+    load(orders.limit(0), "2001-01-01")
+    return t.spark.read.parquet(path)
+
+
 @query("full_refresh_orders", "SELECT o_orderkey, o_totalprice FROM orders")
 def _(t):
     orders = t["orders"].select("o_orderkey", "o_totalprice")

@@ -1,7 +1,8 @@
 """Daily loads of the stage tables from raw snapshots.
 
 The first source is upserted by natural key, season by season; the second is replaced as
-a whole. ``raw_payload`` is a struct of the item's known fields.
+a whole. ``raw_item`` is the text of the whole item; ``raw_payload`` a struct of the fields
+that the models read, with numbers as they are written there.
 """
 
 from __future__ import annotations
@@ -16,11 +17,14 @@ from pyspark.sql import types as T
 from pitchvault.functions.payload import nan_to_null
 from pitchvault.operators.load import distinct_sorted, is_true, upsert, with_placeholders
 from pitchvault.operators.lookup import lookup, semi_filter
+from pitchvault.operators.versions import latest
 from pitchvault.plans.stage_models import LEAGUES, SOURCE_A
 from pitchvault.sources.snapshots import read_snapshot
+from pitchvault.sources.tables import upsert_partitions
 
 # Source name in the lake, and the leagues of the first source.
 LAKE_SOURCE_B = "statsbomb"
+RAW = "raw_item"
 SOURCE_A_LEAGUES = ("epl", "la_liga", "serie_a", "bundesliga", "ligue_1")
 
 
@@ -58,6 +62,26 @@ def _now() -> Column:
     return F.to_timestamp_ntz(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
+def read_source_a(
+    spark: SparkSession, root: str, endpoint: str, dt: str | date, season: int | None = None,
+    leagues: Collection[str] = SOURCE_A_LEAGUES,
+) -> DataFrame:
+    """One day's rows of an endpoint for its stage table, with their order; only finished matches count."""
+    schema, _, columns = ENDPOINTS[endpoint]
+    items = read_snapshot(spark, root, SOURCE_A, endpoint, schema, dt, season, RAW)
+    items = items.filter(F.col("league_id").isin(list(leagues)))
+    if endpoint == "matches":
+        items = is_true(items, "isResult")
+    return items.select(
+        *[F.col(field).alias(name) for name, field in columns.items()], "league_id", "season", "dt",
+        F.struct(*schema.fieldNames()).alias("raw_payload"), RAW, "source_file", "item_no",
+    )
+
+
+# The last item of a batch wins, in the order of files and of the items in a file.
+LAST = ("source_file", "item_no")
+
+
 def load_source_a(
     spark: SparkSession,
     root: str,
@@ -70,26 +94,28 @@ def load_source_a(
 ) -> DataFrame:
     """Stage table of one endpoint after the load of one day's snapshot.
 
-    ``season`` narrows the load to one season. Leagues without a snapshot are skipped: their rows stay as they are. Only finished
-    matches count.
+    ``season`` narrows the load to one season. Leagues without a snapshot are skipped: their rows stay as they are.
     """
-    schema, keys, columns = ENDPOINTS[endpoint]
-    items = read_snapshot(spark, root, SOURCE_A, endpoint, schema, dt, season)
-    items = items.filter(F.col("league_id").isin(list(leagues)))
-    if endpoint == "matches":
-        items = is_true(items, "isResult")
-    rows = items.select(
-        *[F.col(field).alias(name) for name, field in columns.items()], "league_id", "season", "dt",
-        F.struct(*schema.fieldNames()).alias("raw_payload"), "source_file", "item_no",
-    )
-    # The last item of a batch wins, in the order of files and of the items in a file.
-    order = [F.col("source_file").desc(), F.col("item_no").desc()]
-    return upsert(target, rows, keys, order, loaded_at if loaded_at is not None else _now()).drop("source_file", "item_no")
+    rows = read_source_a(spark, root, endpoint, dt, season, leagues)
+    order = [F.col(c).desc() for c in LAST]
+    return upsert(target, rows, ENDPOINTS[endpoint][1], order, loaded_at if loaded_at is not None else _now()).drop(*LAST)
+
+
+def upsert_source_a(
+    spark: SparkSession, root: str, endpoint: str, dt: str | date, path: str, season: int | None = None,
+    leagues: Collection[str] = SOURCE_A_LEAGUES, loaded_at: Column | None = None,
+) -> int:
+    """The same into the stage table at ``path``, kept by league and season; returns the rows written."""
+    rows = read_source_a(spark, root, endpoint, dt, season, leagues)
+    keys = ENDPOINTS[endpoint][1]
+    once = latest(rows, keys, [F.col(c).desc() for c in LAST]).drop(*LAST)
+    return upsert_partitions(
+        once, path, keys, ("league_id", "season"), [F.col(keys[0])], loaded_at if loaded_at is not None else _now())
 
 
 def read_competitions(spark: SparkSession, root: str, dt: str | date) -> DataFrame:
     """All competitions of the second source as told on one day."""
-    return read_snapshot(spark, root, LAKE_SOURCE_B, "competitions", COMPETITION, dt)
+    return read_snapshot(spark, root, LAKE_SOURCE_B, "competitions", COMPETITION, dt, item=RAW)
 
 
 def _league_frame(spark: SparkSession, leagues: Mapping[tuple, str]) -> DataFrame:
@@ -107,7 +133,7 @@ def load_competitions(
     return wanted.select(
         "competition_id", "season_id", "dt", "country_name", "competition_name", "source_file",
         (loaded_at if loaded_at is not None else _now()).alias("loaded_at"),
-        F.struct(*COMPETITION.fieldNames()).alias("raw_payload"),
+        F.struct(*COMPETITION.fieldNames()).alias("raw_payload"), RAW,
     )
 
 
@@ -121,7 +147,7 @@ def load_matches_b(
     season; where they do not list it, it is NULL and counted in ``unresolved``. Of several
     ids for one key the last listed counts.
     """
-    items = nan_to_null(read_snapshot(spark, root, LAKE_SOURCE_B, "matches", MATCH_B, dt))
+    items = nan_to_null(read_snapshot(spark, root, LAKE_SOURCE_B, "matches", MATCH_B, dt, item=RAW))
     served = items.join(_league_frame(spark, leagues), F.col("league_id") == F.col("slug"))
     named = served.withColumnRenamed("season", "season_id")
     resolved = lookup(
@@ -133,7 +159,7 @@ def load_matches_b(
         "match_id", "dt", "league_id", "competition_id", "season_id",
         F.to_date("match_date").alias("match_date"), "home_team_id", "away_team_id", "source_file",
         (loaded_at if loaded_at is not None else _now()).alias("loaded_at"),
-        F.struct(*MATCH_B.fieldNames()).alias("raw_payload"),
+        F.struct(*MATCH_B.fieldNames()).alias("raw_payload"), RAW,
     )
 
 

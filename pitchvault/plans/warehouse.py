@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from pitchvault.operators.elo import elo_history, ratings_after
 from pitchvault.operators.quality import check_all
+from pitchvault.operators.vault import PART
 from pitchvault.plans import business_vault as bv
 from pitchvault.plans import checks, marts, raw_vault, stage_loads, stage_models
 from pitchvault.plans.contracts import CONTRACTS
 from pitchvault.plans.models import Models
-from pitchvault.sources.tables import append_table, export_mart, publish_mart, read_table, replace_table, scratch
+from pitchvault.sources.tables import (
+    append_bucketed, append_parts, bucketed_table, export_mart, publish_mart, read_table, replace_table, scratch,
+)
 
 # Endpoint of the first source to its stage table.
 STAGE_A = {"matches": "understat_matches", "players": "understat_players", "teams": "understat_teams"}
@@ -27,8 +30,12 @@ STAGE_A = {"matches": "understat_matches", "players": "understat_players", "team
 class Warehouse:
     """Table folders of one warehouse: ``<root>/<layer>/<table>``."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, parts: int = 16):
+        """``buckets`` of every hub and link, ``parts`` of every satellite: some hundred MB each when full.
+
+        Both are fixed when a table is first written.
+        """
+        self.spark, self.root, self.buckets, self.parts = spark, root.rstrip("/"), buckets, parts
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -37,24 +44,27 @@ class Warehouse:
         return self.spark.read.parquet(self.path(layer, name))
 
     def vault(self) -> dict[str, DataFrame]:
-        return {name: self.table("raw_vault", name) for name in raw_vault.TABLES}
+        return {name: self.table("raw_vault", name).drop(PART) for name in raw_vault.TABLES}
 
     def load_stage(
         self, lake: str, dt: str | date, season: int | None = None, mapping=stage_models.LEAGUES,
         leagues=stage_loads.SOURCE_A_LEAGUES, loaded_at: Column | None = None,
     ) -> dict[str, int]:
-        """Load one day's snapshots into the stage tables; returns their row counts.
+        """Load one day's snapshots into the stage tables; returns the rows written to each.
 
-        The first source is upserted, the second replaced. A table is written beside the
-        old one, which it may read, and takes its place when it is complete.
+        The first source is upserted: of its tables, the partitions (league and season) that
+        the day names are rewritten, the others are neither read nor written. The second source
+        is replaced; a table is written beside the old one and takes its place when complete.
         """
-        tables = {}
-        for endpoint, name in STAGE_A.items():
-            target = read_table(self.spark, self.path("stage", name))
-            tables[name] = stage_loads.load_source_a(self.spark, lake, endpoint, dt, season, target, leagues, loaded_at)
-        tables["sb_competitions"] = stage_loads.load_competitions(self.spark, lake, dt, mapping, loaded_at)
-        tables["sb_matches"] = stage_loads.load_matches_b(self.spark, lake, dt, mapping, loaded_at)
-        return {name: replace_table(df, self.path("stage", name)) for name, df in tables.items()}
+        written = {
+            name: stage_loads.upsert_source_a(self.spark, lake, endpoint, dt, self.path("stage", name), season, leagues, loaded_at)
+            for endpoint, name in STAGE_A.items()
+        }
+        tables = {
+            "sb_competitions": stage_loads.load_competitions(self.spark, lake, dt, mapping, loaded_at),
+            "sb_matches": stage_loads.load_matches_b(self.spark, lake, dt, mapping, loaded_at),
+        }
+        return written | {name: replace_table(df, self.path("stage", name)) for name, df in tables.items()}
 
     def stage(self) -> dict[str, DataFrame]:
         return {name: self.table("stage", name) for name in (*STAGE_A.values(), "sb_competitions", "sb_matches")}
@@ -63,15 +73,29 @@ class Warehouse:
         """Append what the stage tables add; returns new rows per table.
 
         Payloads are parsed once: the typed stage models are written, and the tables of the
-        vault read those.
+        vault read those. Hubs and links are kept in buckets of their key, so that a load
+        shuffles what is new only; satellites in parts, of which a load reads those it touches.
         """
         typed = stage_models.stage_builders(mapping)
         stage = Models(typed, tables, typed, self.path("typed", "").rstrip("/"))
-        added = {}
-        for name in raw_vault.TABLES:
-            path = self.path("raw_vault", name)
-            added[name] = append_table(raw_vault.load(name, stage, read_table(self.spark, path)), path)
-        return added
+        return {name: self._load_vault(name, stage) for name in raw_vault.TABLES}
+
+    def _load_vault(self, name: str, stage: Models) -> int:
+        path = self.path("raw_vault", name)
+        existing = read_table(self.spark, path)
+        if name in raw_vault.SATS:
+            return append_parts(raw_vault.load(name, stage, existing, parts=self.parts), path, PART)
+        if existing is None:
+            new = raw_vault.load(name, stage, buckets=self.buckets)
+            table = self._bucketed(name, new)
+        else:
+            table = self._bucketed(name, existing)
+            new = raw_vault.load(name, stage, self.spark.table(table), self.buckets)
+        return append_bucketed(new, table)
+
+    def _bucketed(self, name: str, like: DataFrame) -> str:
+        key = (raw_vault.HUBS.get(name) or raw_vault.LINKS[name]).key
+        return bucketed_table(self.spark, self.path("raw_vault", name), like.schema, [key], self.buckets)
 
     def build_business_vault(self) -> dict[str, int]:
         root = self.path("business_vault", "").rstrip("/")

@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import functools
 import hashlib
-import re
-import shutil
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
-from functools import cache
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitchvault.operators.load import upsert
 from pitchvault.operators.quality import Contract, contract_violations, require_columns
 
 
@@ -52,9 +51,85 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     return _counted_write(gathered, path, "overwrite", partition_by)
 
 
-def export_mart(df: DataFrame, path: str) -> int:
+def upsert_partitions(
+    incoming: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    order_by: Sequence[Column],
+    loaded_at: Column | None = None,
+) -> int:
+    """``upsert`` into the table at ``path``, kept in folders by ``partition_by``; returns the rows written.
+
+    Only partitions that the batch names are read and written; the files of the others stay as
+    they are. Where the partition is no part of the key, a row may move: then the keys of the
+    whole table are read, and the partitions that rows move away from are rewritten too. The
+    driver gets the names of partitions only.
+    """
+    spark = incoming.sparkSession
+    batch = _written(upsert(None, incoming, keys, order_by, loaded_at), "batch")
+    target = _partitioned(spark, path, batch.schema)
+    if target is None:
+        old = read_table(spark, path)
+        if batch.isEmpty():
+            return 0 if old is not None else export_mart(batch, path)
+        whole = batch if old is None else _replacing(old, batch, keys)
+        return replace_table(whole, path, partition_by)
+
+    named = [tuple(r) for r in batch.select(*partition_by).distinct().collect()]
+    left = []
+    if not set(partition_by) <= set(keys):
+        where = target.select(*keys, *partition_by).join(batch.select(*keys), list(keys), "left_semi")
+        left = [p for r in where.select(*partition_by).distinct().collect() if (p := tuple(r)) not in named]
+    if not named:
+        return 0
+    touched = F.lit(False)
+    for p in (*named, *left):
+        same = [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partition_by, p, strict=True)]
+        touched = touched | functools.reduce(lambda a, b: a & b, same)
+    result = _written(_replacing(target.filter(touched), batch, keys), "upserted")
+    n = replace_partitions(result, path, partition_by)
+    full = {tuple(r) for r in result.select(*partition_by).distinct().collect()} if left else ()
+    for p in left:
+        if p not in full:  # all its rows have moved
+            _delete_partition(spark, path, partition_by, p)
+    return n
+
+
+def _replacing(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    kept = target.join(batch.select(*keys), list(keys), "left_anti")
+    return kept.unionByName(batch, allowMissingColumns=True).select(*batch.columns)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table at ``path`` if it is kept in folders by partition; no file is opened for that."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(hadoop(f"{path}/*=*"))
+    return spark.read.schema(schema).parquet(path) if found else None
+
+
+def _delete_partition(spark: SparkSession, path: str, columns: Sequence[str], values: tuple) -> None:
+    """Remove the files of one partition, whose folder is told by its rows' file paths."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    rows = spark.read.parquet(path)
+    for c, v in zip(columns, values, strict=True):
+        rows = rows.filter(F.col(c).eqNullSafe(F.lit(v)))
+    folders = {r[0] for r in rows.select(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")).distinct().collect()}
+    for folder in folders:
+        target = hadoop(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def export_mart(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Rebuild a parquet folder and return its row count; the source is read once."""
-    return _counted_write(df, path, "overwrite")
+    return _counted_write(df, path, "overwrite", partition_by)
 
 
 def export_marts(marts: Mapping[str, DataFrame], root: str) -> int:
@@ -83,10 +158,11 @@ def publish_mart(spark: SparkSession, exported: str, path: str, contract: Contra
     return replace_table(df.repartitionByRange(*contract.sort_by).sortWithinPartitions(*contract.sort_by), path)
 
 
-def replace_table(df: DataFrame, path: str) -> int:
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Write ``df``, which may read the table at ``path``, beside it and then in its place."""
     beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
-    n = export_mart(df, beside)
+    gathered = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    n = export_mart(gathered, beside, partition_by)
     _switch(df.sparkSession, beside, path)
     return n
 
@@ -109,9 +185,24 @@ def bucketed_table(spark: SparkSession, path: str, schema: T.StructType, key: Se
     """Name, in the session's catalog, of the Parquet table at ``path`` laid out in buckets of ``key``.
 
     Rows of one key hash to one bucket, so that a join or grouping by the key reads them in
-    place. A new session registers the folder again, with the same key and number of buckets.
+    place. The layout is noted in the folder; a new session registers it again, and another
+    key or number of buckets than noted is an error.
     """
     name = "bucketed_" + hashlib.md5(path.encode()).hexdigest()
+    layout = f"{','.join(key)}:{buckets}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    note = hadoop(f"{path}/_buckets")
+    fs = note.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(note):
+        with_layout = fs.create(note)
+        with_layout.writeUTF(layout)
+        with_layout.close()
+    else:
+        held = fs.open(note)
+        found = held.readUTF()
+        held.close()
+        if found != layout:
+            raise ValueError(f"{path} is laid out by {found}, not by {layout}")
     if not spark.catalog.tableExists(name):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         keys = ", ".join(f"`{k}`" for k in key)
@@ -130,26 +221,40 @@ def append_bucketed(df: DataFrame, name: str) -> int:
     return seen.get["n"]
 
 
+def append_parts(df: DataFrame, path: str, part: str) -> int:
+    """Append to a table in folders by the column ``part``; rows are gathered by folder first."""
+    return _counted_write(df.hint("rebalance", F.col(part)), path, "append", [part])
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables, as the cluster names it in ``spark.checkpoint.dir``.
+    """Shared folder for intermediate tables: that of ``spark.checkpoint.dir``.
 
-    Only a session on one machine may go without; its process gets one folder, which is
-    removed when it ends.
+    A session that names none keeps them in its warehouse, which its executors share too,
+    until the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    # "local-cluster" has executors of its own: not one machine's folder.
-    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
-        raise ValueError("spark.checkpoint.dir is not set")
-    return _own_folder()
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    _remove_at_exit(spark, f"{own}/{spark.sparkContext.applicationId}")
+    return own
+
+
+_leaving: set[str] = set()
+
+
+def _remove_at_exit(spark: SparkSession, folder: str) -> None:
+    if folder in _leaving:
+        return
+    _leaving.add(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def remove() -> None:
+        with contextlib.suppress(Exception):  # the JVM may be gone before
+            fs.delete(path, True)
 
-@cache
-def _own_folder() -> str:
-    root = tempfile.mkdtemp(prefix="pitchvault-")
-    atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return root
+    atexit.register(remove)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

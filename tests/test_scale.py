@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from pitchvault.operators.elo import elo_history, ratings_after
 from pitchvault.operators.lookup import lookup, semi_filter
 from pitchvault.operators.quality import relationships
-from pitchvault.operators.vault import load_hub, load_sat
+from pitchvault.operators.vault import PART, load_hub, load_link, load_sat
 from pitchvault.operators.versions import split_percent_rank, split_row_number
+from pitchvault.sources.tables import append_bucketed, append_parts, bucketed_table
 
 
 @contextlib.contextmanager
@@ -100,3 +101,62 @@ def test_joins_are_not_forced_to_broadcast():
             continue
         text = path.read_text()
         assert "broadcast(" not in text and "localCheckpoint" not in text and "crossJoin" not in text, path
+
+
+def above(plan, scan):
+    """Operators between a scan and the join over it."""
+    lines = plan.split("\n")
+    at = next(i for i, x in enumerate(lines) if scan in x)
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-*()0123456789"))
+    found = []
+    for line in reversed(lines[:at]):
+        d = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        if d < depth:
+            found, depth = [*found, line], d
+            if "Join" in line:
+                return found
+    raise AssertionError(plan)
+
+
+def stored_in_buckets(spark, tmp_path, df, key, buckets=4):
+    name = bucketed_table(spark, str(tmp_path / "stored"), df.schema, [key], buckets)
+    assert append_bucketed(df.repartition(buckets, key), name) == df.count()
+    return spark.table(name)
+
+
+def test_hubs_and_links_in_buckets_are_not_shuffled(spark, shuffled_joins, tmp_path):
+    rows = skewed(spark, 3000).select(
+        F.col("k").cast("string").alias("hk"), F.col("k").cast("string").alias("bk"),
+        F.timestamp_seconds("v").cast("timestamp_ntz").alias("ldts"), F.lit("s").alias("rsrc"))
+    hub = stored_in_buckets(spark, tmp_path, load_hub([rows.filter("length(hk) < 3")], "hk", ["bk"]), "hk")
+    for new in (load_hub([rows], "hk", ["bk"], hub, 4), load_link(rows, "hk", ["bk"], hub, buckets=4)):
+        plan = final_plan(new).split("== Initial Plan ==")[0]
+        assert "SortMergeJoin" in plan and not any("Exchange" in x for x in above(plan, "bucketed_"))
+        assert new.count() == rows.select("hk").distinct().count() - hub.count()
+    # Each task appends into one bucket.
+    name = bucketed_table(spark, str(tmp_path / "stored"), hub.schema, ["hk"], 4)
+    before = len(list((tmp_path / "stored").glob("*.parquet")))
+    append_bucketed(load_hub([rows], "hk", ["bk"], hub, 4), name)
+    assert len(list((tmp_path / "stored").glob("*.parquet"))) - before <= 4
+    assert spark.table(name).count() == rows.select("hk").distinct().count()
+    with pytest.raises(ValueError, match="laid out"):
+        bucketed_table(spark, str(tmp_path / "stored"), hub.schema, ["hk"], 5)
+
+
+def test_satellite_in_parts_reads_what_the_batch_touches(spark, tmp_path):
+    rows = skewed(spark, 6000).select(
+        F.col("k").cast("string").alias("hk"), F.md5((F.col("v") % 7).cast("string")).alias("hd"), "pad",
+        F.timestamp_seconds(F.col("v") * 60).cast("timestamp_ntz").alias("ldts"), F.lit("s").alias("rsrc"))
+    path = str(tmp_path / "sat")
+    append_parts(load_sat(rows, "hk", "hd", ["pad"], parts=32), path, PART)
+    stored = spark.read.parquet(path)
+    batch = rows.filter("hk IN ('7', '8')").withColumn("hd", F.concat("hd", F.lit("x")))
+    with conf(spark, **{"spark.sql.adaptive.enabled": "false"}):
+        out = load_sat(batch, "hk", "hd", ["pad"], existing=stored, parts=32)
+        n = len(out.collect())
+        leaves = out._jdf.queryExecution().executedPlan().collectLeaves()
+        scans = [leaves.apply(i) for i in range(leaves.size()) if "FileScan" in leaves.apply(i).toString()]
+        files = [s.metrics().apply("numFiles").value() for s in scans]
+    assert sum(files) <= 2 < 32 <= len(stored.inputFiles())
+    whole = load_sat(batch, "hk", "hd", ["pad"], existing=stored.drop(PART))
+    assert n == whole.count() > 0
