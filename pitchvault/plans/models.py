@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping
+from threading import RLock
 
 from pyspark.sql import DataFrame
 
@@ -14,7 +15,8 @@ class Models(dict):
 
     A builder gets the mapping itself, so models can read each other by name. Models
     named in ``write`` are written below ``root`` when built and read back: those that
-    several others read are then worked out once.
+    several others read are then worked out once. Threads that ask for one model at the same
+    time get the same one.
     """
 
     def __init__(
@@ -26,9 +28,18 @@ class Models(dict):
     ):
         super().__init__(given or {})
         self._builders, self._write, self._root = builders, set(write), root
+        # A builder asks only for models below its own, so no two of these wait for each other.
+        self._locks = {name: RLock() for name in builders}
 
     def __missing__(self, name: str) -> DataFrame:
-        df = self._builders[name](self)
+        builder = self._builders[name]
+        with self._locks[name]:
+            if name in self:
+                return self[name]
+            return self._build(name, builder)
+
+    def _build(self, name: str, builder: Callable[["Models"], DataFrame]) -> DataFrame:
+        df = builder(self)
         if name in self._write:
             path = f"{self._root}/{name}"
             export_mart(df, path)

@@ -18,6 +18,7 @@ from pitchvault.functions import payload as P
 from pitchvault.operators import elo as E
 from pitchvault.operators import load as L
 from pitchvault.operators import quality as Q
+from pitchvault.operators.elo_corrections import correct_history
 from pitchvault.operators.elo_pieces import rate_in_pieces
 from pitchvault.operators.lookup import lookup, map_slug, semi_filter
 from pitchvault.operators.matching import same_as
@@ -163,6 +164,21 @@ def _(t):
         {c: F.round(c, 6) for c in ("rating_before", "rating_after")})
 
 
+@query("elo_corrected_increment", f"SELECT * REPLACE ({ELO_ROUNDED}) FROM elo_history")
+def _(t):
+    """A history of other scores for one match in a hundred, without some and with some too many; corrected."""
+    facts = models(t, ("mart_match_facts",))["mart_match_facts"]
+    draw = F.pmod(F.xxhash64("match_hk"), F.lit(1000))
+    late = F.col("match_date") >= F.lit(date(1997, 1, 1))
+    told = facts.withColumn("home_goals", F.when(late & (draw < 10), F.col("home_goals") + 2).otherwise(F.col("home_goals")))
+    extra = facts.filter(late & (draw == 12)).withColumn("away_team_title", F.concat("away_team_title", F.lit(" B")))
+    wrong = told.filter(~late | (draw != 11)).unionByName(extra)
+    path = scratch(t.spark, "elo-wrong")
+    tables.export_mart(E.elo_history(wrong), path)
+    out, _ = correct_history(t.spark.read.parquet(path), facts)
+    return out.drop("rating_delta").withColumns({c: F.round(c, 6) for c in ("rating_before", "rating_after")})
+
+
 @query("elo_top_teams", "SELECT * FROM elo_top")
 def _(t):
     return E.top_teams(rated(t))

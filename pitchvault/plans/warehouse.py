@@ -6,19 +6,22 @@ back to the raw payload, and a lost run resumes from what is on storage.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import functools
+from collections.abc import Callable, Iterable, Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchvault.operators.elo import elo_history, ratings_after
+from pitchvault.operators.elo_corrections import correct_history
 from pitchvault.operators.quality import check_all
 from pitchvault.operators.vault import PART
 from pitchvault.plans import business_vault as bv
 from pitchvault.plans import checks, marts, raw_vault, stage_loads, stage_models
 from pitchvault.plans.contracts import CONTRACTS
 from pitchvault.plans.models import Models
+from pitchvault.sources.together import together
 from pitchvault.sources.tables import (
     append_bucketed, append_parts, bucketed_table, export_mart, publish_mart, read_table, replace_table, scratch,
 )
@@ -56,15 +59,14 @@ class Warehouse:
         the day names are rewritten, the others are neither read nor written. The second source
         is replaced; a table is written beside the old one and takes its place when complete.
         """
-        written = {
-            name: stage_loads.upsert_source_a(self.spark, lake, endpoint, dt, self.path("stage", name), season, leagues, loaded_at)
-            for endpoint, name in STAGE_A.items()
-        }
+        endpoints = {name: endpoint for endpoint, name in STAGE_A.items()}
+        written = self._each(endpoints, lambda name: stage_loads.upsert_source_a(
+            self.spark, lake, endpoints[name], dt, self.path("stage", name), season, leagues, loaded_at))
         tables = {
             "sb_competitions": stage_loads.load_competitions(self.spark, lake, dt, mapping, loaded_at),
             "sb_matches": stage_loads.load_matches_b(self.spark, lake, dt, mapping, loaded_at),
         }
-        return written | {name: replace_table(df, self.path("stage", name)) for name, df in tables.items()}
+        return written | self._each(tables, lambda name: replace_table(tables[name], self.path("stage", name)))
 
     def stage(self) -> dict[str, DataFrame]:
         return {name: self.table("stage", name) for name in (*STAGE_A.values(), "sb_competitions", "sb_matches")}
@@ -78,7 +80,11 @@ class Warehouse:
         """
         typed = stage_models.stage_builders(mapping)
         stage = Models(typed, tables, typed, self.path("typed", "").rstrip("/"))
-        return {name: self._load_vault(name, stage) for name in raw_vault.TABLES}
+        return self._each(raw_vault.TABLES, lambda name: self._load_vault(name, stage))
+
+    def _each(self, names: Iterable[str], job: Callable[[str], int]) -> dict[str, int]:
+        """One job per table, several at a time."""
+        return together(self.spark, {name: functools.partial(job, name) for name in names})
 
     def _load_vault(self, name: str, stage: Models) -> int:
         path = self.path("raw_vault", name)
@@ -101,19 +107,19 @@ class Warehouse:
         root = self.path("business_vault", "").rstrip("/")
         return self._built(Models(bv.BUILDERS, self.vault(), checks.BUSINESS_VAULT, root), checks.BUSINESS_VAULT)
 
-    @staticmethod
-    def _built(models: Models, names) -> dict[str, int]:
-        return {name: models[name].count() for name in names}
+    def _built(self, models: Models, names: Iterable[str]) -> dict[str, int]:
+        return self._each(names, lambda name: models[name].count())
 
     def build_marts(
         self, tables: Mapping[str, DataFrame],
         focus_team: str = marts.FOCUS_TEAM, focus_league: str = marts.FOCUS_LEAGUE,
-        rate_from: date | None = None,
+        rate_from: date | None = None, correct: bool = False,
     ) -> dict[str, int]:
         """Rebuild every mart; the ratings read the written match facts and history.
 
         With ``rate_from``, ratings before that day stay as they are stored, and only the
-        matches from it on are rated: the daily run.
+        matches from it on are rated: the daily run. With ``correct``, the stored history is
+        held against the match facts, and what changed scores reach is rated again.
         """
         given = self.vault() | {n: self.table("business_vault", n) for n in checks.BUSINESS_VAULT}
         given["stg_sb_matches"] = stage_models.stg_sb_matches(tables["sb_matches"])
@@ -124,6 +130,11 @@ class Warehouse:
             before = scratch(self.spark, "elo-before")
             export_mart(stored.filter(F.col("match_date") < F.lit(rate_from)), before)
             builders["elo_history"] = lambda m: _rated_from(m["mart_match_facts"], self.spark.read.parquet(before), rate_from)
+        elif correct and stored is not None:
+            before = scratch(self.spark, "elo-before")
+            export_mart(stored, before)
+            builders["elo_history"] = lambda m: correct_history(
+                self.spark.read.parquet(before), m["mart_match_facts"])[0].select(*stored.columns)
         root = self.path("marts", "").rstrip("/")
         return self._built(Models(builders, given, builders, root), builders)
 
@@ -136,10 +147,8 @@ class Warehouse:
 
     def publish(self) -> dict[str, int]:
         """Replace the serving copies, each behind its contract."""
-        return {
-            name: publish_mart(self.spark, self.path("marts", name), self.path("serving", name), c)
-            for name, c in CONTRACTS.items()
-        }
+        return self._each(CONTRACTS, lambda name: publish_mart(
+            self.spark, self.path("marts", name), self.path("serving", name), CONTRACTS[name]))
 
 
 def _rated_from(facts: DataFrame, before: DataFrame, day: date) -> DataFrame:

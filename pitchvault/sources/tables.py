@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from pitchvault.operators.load import upsert
 from pitchvault.operators.quality import Contract, contract_violations, require_columns
+from pitchvault.sources.together import together
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -133,8 +134,11 @@ def export_mart(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
 
 
 def export_marts(marts: Mapping[str, DataFrame], root: str) -> int:
-    """Export every mart to its own folder below ``root``; returns the total row count."""
-    return sum(export_mart(df, f"{root}/{name}") for name, df in marts.items())
+    """Export every mart to its own folder below ``root``, several at a time; returns the total row count."""
+    if not marts:
+        return 0
+    spark = next(iter(marts.values())).sparkSession
+    return sum(together(spark, {name: functools.partial(export_mart, df, f"{root}/{name}") for name, df in marts.items()}).values())
 
 
 def publish_mart(spark: SparkSession, exported: str, path: str, contract: Contract) -> int:

@@ -186,6 +186,8 @@ def test_daily_ratings_equal_one_fold(spark, stage, rows, tmp_path):
     whole = rows(w.table("marts", "mart_team_elo_history"), *cols)
     w.build_marts(stage, rate_from=date(2023, 8, 20))
     assert rows(w.table("marts", "mart_team_elo_history"), *cols) == whole
+    w.build_marts(stage, correct=True)
+    assert rows(w.table("marts", "mart_team_elo_history"), *cols) == whole
 
 
 def test_stage_load_writes_and_replaces(spark, tmp_path, rows):
