@@ -121,6 +121,19 @@ def _register_models() -> None:
 
 _register_models()
 
+# On its own, without the models that its source shares with others: a player's teams of a season.
+ORACLES["stg_understat_player_team"] = f"""
+    SELECT hub_player_hk, hub_team_hk, hub_season_hk, team_title, season_year, ldts, 'understat' AS rsrc,
+      {md5_keys('hub_player_hk', 'hub_team_hk', 'hub_season_hk')} AS lnk_player_team_hk
+    FROM (
+      SELECT {md5_of("'understat'", 'o_custkey')} AS hub_player_hk, {md5_of("'understat'", 'lower(team)')} AS hub_team_hk,
+        {md5_of('season')} AS hub_season_hk, team AS team_title, season AS season_year,
+        max(latest) OVER (PARTITION BY o_custkey, season) AS ldts
+      FROM (
+        SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS season, n_name || ' ' || s_suppkey AS team, max(l_shipdate) AS latest
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
+        JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL))"""
+
 ELO_ROUNDED = "round(rating_before, 6) AS rating_before, round(rating_after, 6) AS rating_after"
 
 
