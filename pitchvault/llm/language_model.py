@@ -15,7 +15,9 @@ all training texts.
 
 How the counts meet the texts: every chunk sends its distinct n-grams, as sorted 64-bit
 hashes with their counts, to groups by hash range. A group adds up and answers each sender
-with the totals, in the sender's order. No group depends on how frequent a word is, as a
+with the totals, in the sender's order. Trigrams follow when the pairs are answered: where a
+trigram's first or last pair is in no other chunk (to a held-out one: was never learned from),
+nor is the trigram, and it need not be sent. No group depends on how frequent a word is, as a
 chunk sends an n-gram once; there are as many groups as the corpus needs. The chunks are a
 table in buckets, so that texts are read in place and never shuffled.
 
@@ -100,10 +102,10 @@ class Ranges(NamedTuple):
         return np.searchsorted(upper * np.uint64(self.groups) >> np.uint64(32), np.arange(self.groups + 1, dtype=np.uint64))
 
 
-def _sent(table: pa.Table, ranges: Ranges) -> pa.Table:
-    chunk, kind = table.column("chunk")[0].as_py(), table.column("kind")[0].as_py()
+def _requests(chunk: int, kind: int, grams: list[tuple[int, np.ndarray]], ranges: Ranges) -> pa.Table:
+    """Distinct hashes of each order with their counts in the chunk, by slot."""
     slots, blobs = [], []
-    for order, keys in enumerate(_grams(table, ranges.bits)[0]):
+    for order, keys in grams:
         keys, counts = np.unique(keys, return_counts=True)
         if kind == HELD_OUT:
             counts = np.zeros_like(counts)
@@ -118,6 +120,21 @@ def _sent(table: pa.Table, ranges: Ranges) -> pa.Table:
         "kind": pa.array([kind] * n, pa.int32()), "grams": pa.array(blobs, pa.binary())})
 
 
+def _sent(texts: pa.Table, ranges: Ranges) -> pa.Table:
+    chunk, kind = texts.column("chunk")[0].as_py(), texts.column("kind")[0].as_py()
+    return _requests(chunk, kind, list(enumerate(_grams(texts, ranges.bits)[0][:2])), ranges)
+
+
+def _sent_open(texts: pa.Table, answers: pa.Table, ranges: Ranges) -> pa.Table:
+    """The trigrams whose count is not settled by those of their pairs."""
+    if not texts.num_rows:
+        return _requests(0, 0, [], ranges)
+    chunk, kind = texts.column("chunk")[0].as_py(), texts.column("kind")[0].as_py()
+    grams, begins = _grams(texts, ranges.bits)
+    settled = _settled(_found(grams[1], 1, kind, answers, ranges)[2], begins)
+    return _requests(chunk, kind, [(2, grams[2][~settled])], ranges)
+
+
 def _answered(table: pa.Table) -> pa.Table:
     """Totals for every sender of one slot, and a row of the slot's sums without a chunk."""
     parts = [unpack(b) for b in table.column("grams").to_pylist()]
@@ -130,10 +147,12 @@ def _answered(table: pa.Table) -> pa.Table:
     counted, deleted = (
         np.bincount(place, np.where(of == k, counts, 0), len(keys)).astype(np.int64) for k in (COUNTED, DELETED))
     total = counted + deleted
+    elsewhere = np.zeros(len(keys), np.uint8)  # in held-out chunks, which ask for counts they do not have
+    elsewhere[place[of == HELD_OUT]] = 1
     blobs = []
-    for kind, last, p in zip(kinds, ends, parts, strict=True):
+    for last, p in zip(ends, parts, strict=True):
         mine = place[last - len(p[2]) : last]
-        blobs.append(pack(total[mine], counted[mine]) if kind == DELETED else pack(total[mine]))
+        blobs.append(pack(total[mine], deleted[mine], elsewhere[mine]))
     slot = table.column("slot")[0].as_py()
     n = len(blobs)
     sums = [int(x) for x in (total.sum(), (total > 0).sum(), counted.sum(), (counted > 0).sum())]
@@ -154,24 +173,44 @@ class _Seen(NamedTuple):
     begins: np.ndarray
 
 
+def _found(keys: np.ndarray, order: int, kind: int, answers: pa.Table, ranges: Ranges) -> tuple[np.ndarray, ...]:
+    """At every token: its n-gram's total, the part that is not of deleted texts, and if training chunks other than this one or held-out ones have it."""
+    distinct, place, own = np.unique(keys, return_inverse=True, return_counts=True)
+    slots = np.array(answers.column("slot").to_pylist(), np.int64)
+    mine = np.flatnonzero(slots // ranges.groups == order)
+    parts = [unpack(answers.column("totals")[int(i)].as_py()) for i in mine[np.argsort(slots[mine])]]
+    totals, deleted, elsewhere = (np.concatenate([np.empty(0, np.uint64), *[p[i] for p in parts]]) for i in range(3))
+    if len(distinct) != len(totals):
+        raise RuntimeError("a chunk was answered for other texts than it holds")
+    abroad = totals > 0 if kind == HELD_OUT else (totals != own.astype(np.uint64)) | (elsewhere > 0)
+    return totals.astype(np.float64)[place], (totals - deleted).astype(np.float64)[place], abroad[place]
+
+
+def _settled(abroad: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where no other chunk has a trigram's first or last pair, or would ask for it; nor then the trigram."""
+    whole = ~abroad
+    before = np.append(False, whole[:-1])
+    before[begins] = False
+    return whole | before
+
+
 def _looked_up(texts: pa.Table, answers: pa.Table, ranges: Ranges, which: int) -> _Seen:
+    """Counts of all training texts (``which`` 0), or without those deleted (1)."""
+    kind = texts.column("kind")[0].as_py()
     grams, begins = _grams(texts, ranges.bits)
-    slots = np.array(answers.column("slot").to_pylist())
-    blobs = answers.column("totals")
-    counts = []
-    for order, keys in enumerate(grams):
-        mine = np.flatnonzero(slots // ranges.groups == order)
-        totals = np.concatenate([unpack(blobs[int(i)].as_py())[which] for i in mine[np.argsort(slots[mine])]])
-        distinct, place = np.unique(keys, return_inverse=True)
-        if len(distinct) != len(totals):
-            raise RuntimeError("a chunk was answered for other texts than it holds")
-        counts.append(totals.astype(np.float64)[place])
-    one, two, _ = counts
+    one = _found(grams[0], 0, kind, answers, ranges)[which]
+    both = _found(grams[1], 1, kind, answers, ranges)
+    two = both[which]
+    settled = _settled(both[2], begins)
+    _, place, own = np.unique(grams[2], return_inverse=True, return_counts=True)
+    # Of a settled trigram, nothing is counted outside of this chunk.
+    three = np.zeros(len(one)) if kind == HELD_OUT or which else own.astype(np.float64)[place]
+    three[~settled] = _found(grams[2][~settled], 2, kind, answers, ranges)[which]
     ends = np.append(begins[1:], len(one)) - 1
     texts_counted = one[ends[0]]  # an end per text
     v, uv = np.append(0.0, one[:-1]), np.append(0.0, two[:-1])
     v[begins] = uv[begins] = texts_counted
-    return _Seen(counts, v, uv, begins)
+    return _Seen([one, two, three], v, uv, begins)
 
 
 def _ratio(a: np.ndarray, b: np.ndarray | float) -> np.ndarray:
@@ -307,23 +346,29 @@ def score_texts(docs: DataFrame, held_out: Column, kept: int = KEPT) -> DataFram
     name = bucketed_table(spark, scratch(spark, "lm-texts"), chunked.schema, ["chunk"], buckets)
     append_bucketed(chunked, name)
     texts = spark.table(name)
-    sent = texts.groupBy("chunk").applyInArrow(
-        lambda t: _sent(t, ranges), "slot int, chunk long, kind int, grams binary")
-    answers = stored(
-        sent.repartition(3 * ranges.groups, "slot").groupBy("slot").applyInArrow(
-            _answered, "slot int, chunk long, kind int, totals binary, n long, v long, n_counted long, v_counted long"),
-        "lm-answers")
-    sums = answers.filter(F.col("chunk").isNull() & (F.col("slot") < ranges.groups)).agg(
+    request = "slot int, chunk long, kind int, grams binary"
+    answer = "slot int, chunk long, kind int, totals binary, n long, v long, n_counted long, v_counted long"
+
+    def answered(sent: DataFrame, slots: int) -> DataFrame:
+        return stored(sent.repartition(slots, "slot").groupBy("slot").applyInArrow(_answered, answer), "lm-answers")
+
+    def asked(answers: DataFrame) -> DataFrame:
+        return answers.select("chunk", "kind", "slot", "totals").filter("chunk IS NOT NULL")
+
+    small = answered(texts.groupBy("chunk").applyInArrow(lambda t: _sent(t, ranges), request), 2 * ranges.groups)
+    sums = small.filter(F.col("chunk").isNull() & (F.col("slot") < ranges.groups)).agg(
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "v", "n_counted", "v_counted")]).first()
     n, v = sums["n"], sums["v"]
-    asked = answers.select("chunk", "kind", "slot", "totals").filter("chunk IS NOT NULL")
+    sent = texts.groupBy("chunk").cogroup(asked(small).groupBy("chunk")).applyInArrow(
+        lambda t, r: _sent_open(t, r, ranges), request)
+    told = asked(small).unionByName(asked(answered(sent, ranges.groups)))
 
     deleted, counted = f"kind = {DELETED}", sums["n_counted"]
-    events = texts.filter(deleted).groupBy("chunk").cogroup(asked.filter(deleted).groupBy("chunk")).applyInArrow(
+    events = texts.filter(deleted).groupBy("chunk").cogroup(told.filter(deleted).groupBy("chunk")).applyInArrow(
         lambda t, r: _events(t, r, ranges, counted), "b3 int, b2 int, p3 double, p2 double, p1 double, times long")
     weights, _ = learn_weights(stored(events, "lm-events"), sums["v_counted"])
 
-    scored = texts.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(
+    scored = texts.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
         lambda t, r: _scored(t, r, ranges, weights, n, v),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     done = stored(scored, "lm-scores")
