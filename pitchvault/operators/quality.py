@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -91,39 +92,109 @@ def _group_checks(
     return out
 
 
-def check_table(name: str, checks: TableChecks, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Failure count per check: ``(table_name, check_name, target, failures)``.
+def _inlined(counted: DataFrame, table_names: Sequence[str], labels: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row of counts ``c0, c1, ...`` as a row per check."""
+    entries = [
+        F.struct(F.lit(table).alias("table_name"), F.lit(kind).alias("check_name"), F.lit(target).alias("target"),
+                 F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("long").alias("failures"))
+        for i, (table, (kind, target)) in enumerate(zip(table_names, labels, strict=True))
+    ]
+    return counted.select(F.inline(F.array(*entries)))
+
+
+def repeated(df: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
+    """Repeated tuples of several column lists: ``which`` list, its columns, ``n_rows``.
 
-    All row checks of the table share one scan. Failures of ``relationships`` are child
-    rows, those of the uniqueness checks repeated values.
+    The lists are grouping sets of one aggregation: the table is read once, every row goes
+    once per list into the combine before one shuffle. Columns of other lists are NULL.
     """
-    df = tables[name]
-    parts = []
+    sets = [list(k) for k in keys]
+    cols = list(dict.fromkeys(c for k in sets for c in k))
+    ids = [sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in k) for k in sets]
+    which = F.array_position(F.array(*[F.lit(i).cast("long") for i in ids]), F.grouping_id().cast("long")) - 1
+    counted = df.groupingSets([[F.col(c) for c in k] for k in sets], *cols).agg(
+        which.cast("int").alias("which"), F.count(F.lit(1)).alias("n_rows"))
+    return counted.filter("n_rows > 1")
+
+
+def _unique_failures(name: str, checks: TableChecks, df: DataFrame) -> DataFrame | None:
+    """Repeated values of every uniqueness check, from one pass over the table; NULLs of a unique column do not count."""
+    labels = [("unique", c) for c in checks.unique] + [("unique_combination", ",".join(k)) for k in checks.combinations]
+    if not labels:
+        return None
+    wanted = [(c,) for c in checks.unique] + [tuple(k) for k in checks.combinations]
+    sets = list(dict.fromkeys(tuple(sorted(k)) for k in wanted))
+    failed = []
+    for i, k in enumerate(wanted):
+        fails = F.col("which") == sets.index(tuple(sorted(k)))
+        if labels[i][0] == "unique":
+            fails = fails & F.col(k[0]).isNotNull()
+        failed.append(F.count_if(fails).alias(f"c{i}"))
+    return _inlined(repeated(df, sets).agg(*failed), [name] * len(labels), labels)
+
+
+def orphans(checks: Mapping[str, TableChecks], tables: Mapping[str, DataFrame]) -> DataFrame | None:
+    """Values without a parent row of all relationships: number of the ``relation``, ``value`` as text, ``n_rows``.
+
+    Foreign values of all tables are tagged and counted, then held against the values of all
+    parents in one anti join. A value on many rows is one row there.
+    """
+    relations = [(t, c, *parent) for t, found in checks.items() for c, parent in found.relationships.items()]
+    if not relations:
+        return None
+    parents = list(dict.fromkeys(r[2:] for r in relations))
+    known = None
+    for i, (parent, column) in enumerate(parents):
+        part = tables[parent].select(F.lit(i).alias("parent"), F.col(column).cast("string").alias("value"))
+        known = part if known is None else known.unionByName(part)
+    held = None
+    for t in dict.fromkeys(r[0] for r in relations):
+        tagged = []
+        for i, (table, c, *parent) in enumerate(relations):
+            if table == t:
+                kind = tables[parent[0]].schema[parent[1]].dataType
+                value = F.col(c).cast(kind).cast("string")  # as the parent writes it
+                tagged.append(F.struct(
+                    F.lit(i).alias("relation"), F.lit(parents.index(tuple(parent))).alias("parent"), value.alias("value")))
+        part = tables[t].select(F.inline(F.array(*tagged))).filter("value IS NOT NULL")
+        counted = part.groupBy("parent", "value", "relation").agg(F.count(F.lit(1)).alias("n_rows"))
+        held = counted if held is None else held.unionByName(counted)
+    return held.join(known, ["parent", "value"], "left_anti").select("relation", "value", "n_rows")
+
+
+def _relationship_failures(checks: Mapping[str, TableChecks], tables: Mapping[str, DataFrame]) -> DataFrame | None:
+    found = orphans(checks, tables)
+    if found is None:
+        return None
+    labels = [(t, c) for t, of in checks.items() for c in of.relationships]
+    counted = found.agg(*[F.sum(F.when(F.col("relation") == i, F.col("n_rows"))).alias(f"c{i}") for i in range(len(labels))])
+    return _inlined(counted, [t for t, _ in labels], [("relationships", c) for _, c in labels])
+
+
+def _row_failures(name: str, checks: TableChecks, df: DataFrame) -> DataFrame | None:
     rows = _row_checks(checks)
-    if rows:
-        counted = df.agg(*[F.count_if(p).alias(f"c{i}") for i, p in enumerate(rows.values())])
-        entries = [
-            F.struct(F.lit(kind).alias("check_name"), F.lit(target).alias("target"), F.col(f"c{i}").alias("failures"))
-            for i, (kind, target) in enumerate(rows)
-        ]
-        parts.append(counted.select(F.inline(F.array(*entries))))
-    for (kind, target), failing in _group_checks(name, checks, tables).items():
-        n = F.coalesce(F.sum("n_rows"), F.lit(0)) if kind == "relationships" else F.count(F.lit(1))
-        parts.append(failing.agg(n.alias("failures")).select(
-            F.lit(kind).alias("check_name"), F.lit(target).alias("target"), "failures"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(F.lit(name).alias("table_name"), "check_name", "target", "failures")
+    if not rows:
+        return None
+    counted = df.agg(*[F.count_if(p).alias(f"c{i}") for i, p in enumerate(rows.values())])
+    return _inlined(counted, [name] * len(rows), list(rows))
+
+
+def check_table(name: str, checks: TableChecks, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Failure count per check of one table, see ``check_all``."""
+    return check_all({name: checks}, tables)
 
 
 def check_all(checks: Mapping[str, TableChecks], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """``check_table`` for several tables in one result."""
-    out = None
+    """Failure count per check: ``(table_name, check_name, target, failures)``.
+
+    A table's row checks share one scan, its uniqueness checks another; the relationships of
+    all tables share one join. Failures of ``relationships`` are child rows, those of the
+    uniqueness checks repeated values.
+    """
+    parts = [_relationship_failures(checks, tables)]
     for name, c in checks.items():
-        part = check_table(name, c, tables)
-        out = part if out is None else out.unionByName(part)
-    return out
+        parts += [_row_failures(name, c, tables[name]), _unique_failures(name, c, tables[name])]
+    return functools.reduce(DataFrame.unionByName, [p for p in parts if p is not None])
 
 
 def store_failures(

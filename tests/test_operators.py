@@ -131,3 +131,30 @@ def test_contract(frame, rows):
     assert rows(Q.contract_violations(df, c)) == [("a", 1, 2), ("b", 0, 0), ("d", 0, 1)]
     with pytest.raises(ValueError):
         Q.contract_violations(df.select("b", "a", "d"), c)
+
+
+def test_checks_of_several_tables_share_their_passes(spark, frame, rows):
+    """One anti join for all relationships, one expand per table for all its unique keys."""
+    tables = {
+        "a": frame("k int, v string, w string", (1, "x", "p"), (1, "x", None), (2, None, "q"), (None, None, "q"), (None, "y", "p")),
+        "b": frame("k long, s string", (1, "x"), (9, "x"), (9, "z"), (None, None)),
+        "n": frame("id long, name string", (1, "x"), (2, "y"), (2, "y")), "m": frame("name string", ("x",), (None,)),
+    }
+    checks = {
+        "a": Q.TableChecks(unique=("k", "v"), combinations=(("v", "k"), ("w",), ("v", "w")),
+                           relationships={"k": ("n", "id"), "v": ("n", "name"), "w": ("m", "name")}),
+        "b": Q.TableChecks(unique=("s",), relationships={"k": ("n", "id"), "s": ("m", "name")}),
+        "n": Q.TableChecks(combinations=(("id", "name"),)),
+    }
+    out = Q.check_all(checks, tables)
+    assert rows(out) == [
+        ("a", "relationships", "k", 0), ("a", "relationships", "v", 0), ("a", "relationships", "w", 4),
+        ("a", "unique", "k", 1), ("a", "unique", "v", 1), ("a", "unique_combination", "v,k", 1),
+        ("a", "unique_combination", "v,w", 1), ("a", "unique_combination", "w", 2),
+        ("b", "relationships", "k", 2), ("b", "relationships", "s", 1), ("b", "unique", "s", 1),
+        ("n", "unique_combination", "id,name", 1)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") == 1 and plan.count("Expand") == 3
+    assert rows(Q.orphans(checks, tables)) == [(2, "p", 2), (2, "q", 2), (3, "9", 2), (4, "z", 1)]
+    empty = {n: t.limit(0) for n, t in tables.items()}
+    assert {r["failures"] for r in Q.check_all(checks, empty).collect()} == {0}
