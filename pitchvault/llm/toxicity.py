@@ -6,6 +6,10 @@ training a link sees out-of-fold predictions: an earlier link is fitted once per
 the other folds, so that what it says about a training row is as uncertain as what it will
 say about a new one. The threshold of the last link is chosen on out-of-fold predictions.
 
+The categories are columns of the labels: those of ``EARLIER`` that the table has, in that
+order, then ``toxic``. No category is made up from words: splitting the toxic documents by
+the words that tell most for toxic made the last link worse out of fold.
+
 The chain is fitted in one task on at most ``SAMPLE`` labelled documents and ``BYTES`` of
 their text, in the order of a hash of their ids; both bounds are parameters, and a text that
 does not fit leaves its place to the next. If documents are labelled toxic and none of them
@@ -14,8 +18,10 @@ is in the sample, that is an error. Everything else covers all rows: every docum
 Words are runs of letters, in lower case; a word also counts by its beginnings of 3 to 8
 letters, so that forms of a word never seen in training are told by their stem. Null, empty and wordless texts are not toxic.
 Copies in the sample count once, toxic if at least half of them are labelled so; a doc_id
-that repeats in the labels is toxic if one of its labels is. A category without both
-outcomes is a constant; without toxic labels no document is toxic. Repeated rows are
+that repeats in the labels is toxic if one of its labels is, and so for the other labels;
+rows where such a label is null take no part in its link, and a column that is neither
+numeric nor boolean is no label. A category without both outcomes is a constant; without
+toxic labels no document is toxic. Repeated rows are
 judged alike. Other columns pass through ``judge`` untouched, whatever their names, but for the
 two that it is told to write.
 """
@@ -44,11 +50,8 @@ PENALTY = 0.12  # of a weight, by the root of the number of rows
 STEPS = 200
 MIN_DOCS = 3
 STEMS = range(3, 9)
-#: Categories before the overall one, each by words that name it among toxic documents.
-SEEDS: Mapping[str, Sequence[str]] = {
-    "insult": ("idiot", "moron", "loser", "clown", "stupid"),
-    "contempt": ("scum", "trash", "worthless", "pathetic", "disgusting"),
-}
+#: Label columns that links before the overall one predict, where the table has them.
+EARLIER = ("quality",)
 OVERALL = "toxic"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -186,18 +189,17 @@ class Table:
         return Link(name, float(beta[k]), words, tuple(float(b) / _SURE for b in beta[k + 1 :])), x @ beta.astype(np.float32)
 
 
-def fit_chain(sets: Sequence[set[str]], labels: Mapping[str, np.ndarray], folds: np.ndarray) -> Chain:
-    """The chain over the categories in the order of ``labels``; the last one is the overall."""
-    everything = np.arange(len(sets))
-    table = Table(sets, np.max(list(labels.values()), axis=0))
-    dense = np.empty((len(sets), 0))
-    links, told = [], np.zeros(len(sets))
+def fit_chain(table: Table, labels: Mapping[str, np.ndarray], folds: np.ndarray) -> Chain:
+    """The chain over the categories in the order of ``labels``, NaN where unknown; the last one is the overall."""
+    dense = np.empty((table.n, 0))
+    links, told = [], np.zeros(table.n)
     for name, y in labels.items():
-        link, _ = table.fit(name, y, dense, everything)
+        known = ~np.isnan(y)
+        link, _ = table.fit(name, y, dense, np.flatnonzero(known))
         links.append(link)
-        told = np.zeros(len(sets))
+        told = np.zeros(table.n)
         for fold in range(FOLDS):
-            _, odds = table.fit(name, y, dense, np.flatnonzero(folds != fold))
+            _, odds = table.fit(name, y, dense, np.flatnonzero((folds != fold) & known))
             told[folds == fold] = odds[folds == fold]
         told = np.clip(told, -_SURE, _SURE)
         dense = np.hstack([dense, told[:, None]])
@@ -217,16 +219,23 @@ def best_cut(odds: np.ndarray, y: np.ndarray) -> float:
     return float((values[best] + values[best + 1]) / 2) if best + 1 < len(y) else float(values[best]) - 1
 
 
+def earlier_of(labels: DataFrame) -> list[str]:
+    """The label columns before ``toxic`` that the table has."""
+    numbers = (T.NumericType, T.BooleanType)
+    return [f.name for name in EARLIER for f in labels.schema if f.name == name and isinstance(f.dataType, numbers)]
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = BYTES) -> DataFrame:
-    """text and label of at most ``sample`` labelled documents and ``size`` characters, by hash order.
+    """text, label (``y``) and further labels (``others``) of at most ``sample`` labelled documents and ``size`` characters, by hash order.
 
     Texts of over a 16th of ``size`` come after all others. One that does not fit is passed over,
     and the next looked at, until ``sample`` documents or nearly ``size`` characters are found.
     Of rows with one doc_id the shortest counts.
     """
+    others = F.array(*[(F.max(F.col(c).cast("double")) > 0).cast("double") for c in earlier_of(labels)]).cast("array<double>")
     of_doc = (
         labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
-        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("y"))
+        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("y"), others.alias("others"))
     )
     texts = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n"), F.xxhash64("text").alias("hash"))
     one = texts.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("n", "hash")).alias("one")).select("doc_id", "one.*")
@@ -253,26 +262,30 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, si
     wanted = docs.sparkSession.createDataFrame([tuple(r) for r in picked], there.schema)
     # At most `sample` rows of numbers.
     rows = texts.join(F.broadcast(wanted.drop("late")), ["doc_id", "n", "hash"])
-    return stored(rows.groupBy("doc_id", "at", "y").agg(F.any_value("text").alias("text")).select("at", "y", "text"), "toxicity-sample")
+    return stored(rows.groupBy("doc_id", "at", "y", "others").agg(F.any_value("text").alias("text")).select("at", "y", "others", "text"), "toxicity-sample")
+
+
+def learn(texts: Sequence[str | None], toxic: Sequence[int], others: Mapping[str, Sequence[float]]) -> Chain:
+    """The chain of labelled texts. Copies count once; texts fall into folds by their place in text order."""
+    frame = pd.DataFrame({"text": [t or "" for t in texts], OVERALL: np.asarray(toxic, float), **{f"of {k}": np.asarray(v, float) for k, v in others.items()}})
+    shares = frame.groupby("text", sort=True).mean()  # of the labels that are known
+    labels = {k: np.where(shares[k].isna(), np.nan, shares[k] >= 0.5).astype(float) for k in shares}
+    y = labels.pop(OVERALL)
+    table = Table(WordSets(list(shares.index)), y)
+    given = {k.removeprefix("of "): v for k, v in labels.items()}
+    return fit_chain(table, {**given, OVERALL: y}, np.arange(len(y)) % FOLDS)
+
 
+def train_chain(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = BYTES) -> Chain:
+    others = earlier_of(labels)
 
-def train_chain(docs: DataFrame, labels: DataFrame, seeds: Mapping[str, Sequence[str]] = SEEDS, sample: int = SAMPLE, size: int = BYTES) -> Chain:
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        votes: dict[str, list[int]] = {}
-        for text, y in zip(rows["text"], rows["y"], strict=True):
-            votes.setdefault(text or "", []).append(y)
-        texts = sorted(votes)
-        sets = WordSets(texts)
-        toxic = np.array([2 * sum(votes[t]) >= len(votes[t]) for t in texts], float)
-        seeded = np.array([[not s.isdisjoint(v) for v in seeds.values()] for s in sets]).reshape(len(texts), len(seeds))
-        own = {k: toxic * seeded[:, i] for i, k in enumerate(seeds)}
-        # Copies count once; texts fall into folds by their place in text order.
-        chain = fit_chain(sets, {**own, OVERALL: toxic}, np.arange(len(texts)) % FOLDS)
+        chain = learn(rows["text"], rows["y"], {c: [o[i] for o in rows["others"]] for i, c in enumerate(others)})
         out = [(i, k, w) for i, link in enumerate(chain.links) for k, w in [("bias", link.bias), *((f"w{x}", b) for x, b in link.words.items()), *((f"e{j}", b) for j, b in enumerate(link.earlier))]]
         return pd.DataFrame([*out, (-1, "threshold", chain.threshold)], columns=["link", "what", "value"])
 
     rows = labelled_sample(docs, labels, sample, size).withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit, "link int, what string, value double").collect()
-    names = [*seeds, OVERALL]
+    names = [*others, OVERALL]
     if not rows:
         return Chain(tuple(Link(n, -_SURE, {}, (0.0,) * i) for i, n in enumerate(names)), _SURE + 1)
     links = []

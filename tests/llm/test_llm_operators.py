@@ -506,22 +506,86 @@ def test_toxicity_learns(spark):
 
 def test_toxicity_chain_uses_out_of_fold_predictions():
     rows, labels = toxic_rows(300)
-    words = [toxicity.words_of(t) for _, t in rows]
     y = np.array([b for _, b in labels], float)
-    own = {k: y * [not s.isdisjoint(v) for s in words] for k, v in toxicity.SEEDS.items()}
+    table = toxicity.Table([toxicity.words_of(t) for _, t in rows], y)
+    low = np.where(np.arange(300) % 5 == 1, np.nan, y * (np.arange(300) % 4 > 0))  # unknown for a fifth of the rows
     folds = np.arange(len(rows)) % toxicity.FOLDS
-    fits = []
+    fits, told = [], []
     plain = toxicity.Table.fit
+
+    def watched(self, name, y, dense, use):
+        link, odds = plain(self, name, y, dense, use)
+        fits.append((name, dense.shape[1], len(use)))
+        told.append((dense, odds, use))
+        return link, odds
+
     try:
-        toxicity.Table.fit = lambda self, name, y, dense, use: fits.append((name, dense.shape[1], len(use))) or plain(self, name, y, dense, use)
-        chain = toxicity.fit_chain(words, {**own, "toxic": y}, folds)
+        toxicity.Table.fit = watched
+        chain = toxicity.fit_chain(table, {"low": low, "toxic": y}, folds)
     finally:
         toxicity.Table.fit = plain
-    assert [len(x.earlier) for x in chain.links] == [0, 1, 2]
-    assert fits == [(n, i, k) for i, n in enumerate([*own, "toxic"]) for k in (300, 200, 200, 200)]
+    assert [len(x.earlier) for x in chain.links] == [0, 1]
+    assert fits == [(n, i, k) for i, (n, all_, part) in enumerate([("low", 240, 160), ("toxic", 300, 200)]) for k in (all_, part, part, part)]
+    # What the last link sees of a row was told by a model that had not seen the row's fold.
+    seen = told[4][0][:, 0]
+    for fold, (_, odds, use) in enumerate(told[1:4]):
+        assert not set(use) & set(np.flatnonzero(folds == fold))
+        assert np.allclose(seen[folds == fold], np.clip(odds[folds == fold], -12, 12))
     assert any(chain.links[-1].earlier)
 
 
+def out_of_fold_f(table, labels, folds):
+    """F-measure of the last link's out-of-fold verdicts at its threshold."""
+    told, plain = [], toxicity.best_cut
+    try:
+        toxicity.best_cut = lambda odds, y: told.append(odds) or plain(odds, y)
+        cut = toxicity.fit_chain(table, labels, folds).threshold
+    finally:
+        toxicity.best_cut = plain
+    y, hit = labels["toxic"], told[0] >= cut
+    return 2 * (hit * y).sum() / (hit.sum() + y.sum())
+
+
+def test_toxicity_chain_beats_the_last_link_alone():
+    """Noisy toxic labels over many rare words: a clean earlier label tells these words apart, and the chain carries that on."""
+    r, rows, rude, toxic = random.Random(4), [], [], []
+    slurs = ["".join(r.choices("bcdfgkz", k=6)) for _ in range(50)]
+    for i in range(900):
+        hit = r.random() < 0.3
+        words = passage(7000 + i, 30).split() + ([r.choice(slurs)] if hit else [])
+        rows.append(set(words))
+        rude.append(float(hit))
+        toxic.append(float(hit) if r.random() < 0.75 else float(r.random() < 0.3))  # labels are noisy
+    y, folds = np.array(toxic), np.arange(900) % toxicity.FOLDS
+    table = toxicity.Table(rows, y)
+    assert out_of_fold_f(table, {"rude": np.array(rude), "toxic": y}, folds) > out_of_fold_f(table, {"toxic": y}, folds)
+
+
+def test_toxicity_odds_against_plain_sum():
+    rows, labels = toxic_rows(200)
+    chain = toxicity.learn([t for _, t in rows], [y for _, y in labels], {"quality": [float(i % 3 > 0) for i in range(200)]})
+    assert [x.name for x in chain.links] == ["quality", "toxic"]
+    for _, text in [*rows, (0, None), (0, "\u0130diot MORON"), (0, "")]:
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        told = []
+        for link in chain.links:
+            odds = link.bias + sum(a * b for a, b in zip(link.earlier, told))
+            odds += sum(b for f, b in link.words.items() if f in words or (f[-1] == "-" and 4 <= len(f) <= 9 and any(w.startswith(f[:-1]) for w in words)))
+            told.append(min(max(odds, -12.0), 12.0))
+        assert np.allclose(chain.odds(text), told)
+
+
+def test_toxicity_reads_the_label_columns_there_are(spark):
+    rows, labels = toxic_rows(200)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    told = spark.createDataFrame([(d, None if d % 7 == 0 else d % 3, y, "x") for d, y in labels], "doc_id long, quality int, toxic int, source string")
+    assert toxicity.toxicity(df, told).columns == ["doc_id", "p_quality", "p_toxic", "toxic"]
+    odd = told.withColumn("quality", told.source)  # no label
+    assert toxicity.toxicity(df, odd).columns == ["doc_id", "p_toxic", "toxic"]
+    picked = {tuple(r["others"]) for r in toxicity.labelled_sample(df, told).collect()}
+    assert picked == {(None,), (0.0,), (1.0,)}
+
+
 def test_toxicity_sample_passes_over_long_texts(spark):
     rows, labels = toxic_rows(200)
     huge = [(i, "calm words " * 6000) for i in range(1000, 1040)]  # some come early in the order of ids
