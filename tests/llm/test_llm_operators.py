@@ -549,7 +549,7 @@ def out_of_fold_f(table, labels, folds):
 def test_toxicity_chain_beats_the_last_link_alone():
     """Noisy toxic labels over many rare words: a clean earlier label tells these words apart, and the chain carries that on."""
     r, rows, rude, toxic = random.Random(4), [], [], []
-    slurs = ["".join(r.choices("bcdfgkz", k=6)) for _ in range(50)]
+    slurs = ["".join(r.choices("bcdfgkz", k=6)) for _ in range(25)]
     for i in range(900):
         hit = r.random() < 0.3
         words = passage(7000 + i, 30).split() + ([r.choice(slurs)] if hit else [])
@@ -558,7 +558,7 @@ def test_toxicity_chain_beats_the_last_link_alone():
         toxic.append(float(hit) if r.random() < 0.75 else float(r.random() < 0.3))  # labels are noisy
     y, folds = np.array(toxic), np.arange(900) % toxicity.FOLDS
     table = toxicity.Table(rows, y)
-    assert out_of_fold_f(table, {"rude": np.array(rude), "toxic": y}, folds) > out_of_fold_f(table, {"toxic": y}, folds)
+    assert out_of_fold_f(table, {"rude": np.array(rude), "toxic": y}, folds) > 0.1 + out_of_fold_f(table, {"toxic": y}, folds)
 
 
 def test_toxicity_odds_against_plain_sum():
