@@ -15,7 +15,8 @@ DEFAULT_SEASON = 2025
 def native_filter(df: DataFrame, league: str | None = None, season: int | None = None) -> DataFrame:
     """League and season filter; ``None`` lets everything through.
 
-    Marts are sorted by these columns, so on written marts the filters skip row groups.
+    A warehouse writes its marts in the order of their contracts, most of them by league and
+    season first, so on written marts the filters skip files and row groups.
     """
     if league is not None:
         df = df.filter(F.col("league_id") == league)

@@ -15,7 +15,7 @@ class Models(dict):
 
     A builder gets the mapping itself, so models can read each other by name. Models
     named in ``write`` are written below ``root`` when built and read back: those that
-    several others read are then worked out once. Threads that ask for one model at the same
+    several others read are then worked out once; ``export`` writes one. Threads that ask for one model at the same
     time get the same one.
     """
 
@@ -25,9 +25,10 @@ class Models(dict):
         given: Mapping[str, DataFrame] | None = None,
         write: Collection[str] = (),
         root: str | None = None,
+        export: Callable[[str, DataFrame, str], int] = lambda name, df, path: export_mart(df, path),
     ):
         super().__init__(given or {})
-        self._builders, self._write, self._root = builders, set(write), root
+        self._builders, self._write, self._root, self._export = builders, set(write), root, export
         # A builder asks only for models below its own, so no two of these wait for each other.
         self._locks = {name: RLock() for name in builders}
 
@@ -42,7 +43,7 @@ class Models(dict):
         df = builder(self)
         if name in self._write:
             path = f"{self._root}/{name}"
-            export_mart(df, path)
+            self._export(name, df, path)
             df = df.sparkSession.read.parquet(path)
         self[name] = df
         return df

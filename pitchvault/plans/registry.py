@@ -6,6 +6,7 @@ operator to whole driver tables.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import date
 
@@ -37,6 +38,7 @@ from pitchvault.plans.models import Models
 from pitchvault.plans.oracle_sql import agree, md5_keys, md5_of, model_sql, with_models
 from pitchvault.session import configure
 from pitchvault.sources import snapshots, tables
+from pitchvault.sources.together import together
 from pitchvault.sources.tables import scratch
 from pitchvault.streaming.vault_stream import read_new_files, stream_load
 
@@ -975,3 +977,43 @@ def _(t):
         n = tables.publish_mart(spark, f"{root}/marts", f"{root}/serving", contract)
     return spark.read.parquet(f"{root}/serving").groupBy("league_id", "season_year").agg(
         F.count(F.lit(1)).alias("matches"), F.sum("total_goals").alias("goals"), F.lit(n).cast("long").alias("published"))
+
+
+@query("export_laid_out_lookup", """
+    SELECT match_hk, match_date, home_team_title, away_team_title, total_goals FROM mart_match_facts
+    WHERE home_team_title = (SELECT min(home_team_title) FROM mart_match_facts)""")
+def _(t):
+    """All home matches of one team, found in match facts that are laid out by league and date."""
+    path = scratch(t.spark, "laid-out")
+    contract = contracts.CONTRACTS["mart_match_facts"]
+    tables.export_laid_out(models(t)["mart_match_facts"], path, contract.sort_by, contracts.FIND_BY)
+    facts = t.spark.read.parquet(path)
+    team = facts.agg(F.min("home_team_title")).first()[0]
+    return facts.filter(F.col("home_team_title") == team).select(
+        "match_hk", "match_date", "home_team_title", "away_team_title", "total_goals")
+
+
+@query("publish_all_marts", " UNION ALL ".join(
+    f"SELECT '{m}' AS mart, CASE WHEN (SELECT sum(nulls + out_of_range) FROM ({_contract_sql(m)})) = 0 THEN (SELECT count(*) FROM {m}) END AS published"
+    for m in contracts.CONTRACTS))
+def _(t):
+    """Every mart exported and published behind its contract, several at a time; no number where the contract refuses it."""
+    spark, built = t.spark, _built_marts(t)
+    root = scratch(spark, "publish-all")
+    tables.export_marts({m: built[m].select(*c.columns) for m, c in contracts.CONTRACTS.items()}, f"{root}/marts")
+
+    def publish(mart: str) -> int | None:
+        try:
+            return tables.publish_mart(spark, f"{root}/marts/{mart}", f"{root}/serving/{mart}", contracts.CONTRACTS[mart], contracts.FIND_BY)
+        except ValueError:
+            return None
+
+    published = together(spark, {m: functools.partial(publish, m) for m in contracts.CONTRACTS})
+    out = None
+    for m, n in published.items():
+        # What is there is counted by its readers, and by the writer.
+        served = tables.read_table(spark, f"{root}/serving/{m}")
+        count = F.lit(None).cast("long") if n is None else F.when(F.count(F.lit(1)) == n, F.lit(n).cast("long"))
+        part = (spark.range(1) if served is None else served).agg(count.alias("published")).select(F.lit(m).alias("mart"), "published")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -19,11 +19,12 @@ from pitchvault.operators.quality import check_all
 from pitchvault.operators.vault import PART
 from pitchvault.plans import business_vault as bv
 from pitchvault.plans import checks, marts, raw_vault, stage_loads, stage_models
-from pitchvault.plans.contracts import CONTRACTS
+from pitchvault.plans.contracts import CONTRACTS, FIND_BY
 from pitchvault.plans.models import Models
 from pitchvault.sources.together import together
 from pitchvault.sources.tables import (
-    append_bucketed, append_parts, bucketed_table, export_mart, publish_mart, read_table, replace_table, scratch,
+    append_bucketed, append_parts, bucketed_table, export_laid_out, export_mart, publish_mart, read_table, replace_table,
+    scratch,
 )
 
 # Endpoint of the first source to its stage table.
@@ -136,7 +137,7 @@ class Warehouse:
             builders["elo_history"] = lambda m: correct_history(
                 self.spark.read.parquet(before), m["mart_match_facts"])[0].select(*stored.columns)
         root = self.path("marts", "").rstrip("/")
-        return self._built(Models(builders, given, builders, root), builders)
+        return self._built(Models(builders, given, builders, root, _export_laid_out), builders)
 
     def check(self) -> DataFrame:
         """Failures of all checks over the written tables."""
@@ -148,7 +149,12 @@ class Warehouse:
     def publish(self) -> dict[str, int]:
         """Replace the serving copies, each behind its contract."""
         return self._each(CONTRACTS, lambda name: publish_mart(
-            self.spark, self.path("marts", name), self.path("serving", name), CONTRACTS[name]))
+            self.spark, self.path("marts", name), self.path("serving", name), CONTRACTS[name], FIND_BY))
+
+
+def _export_laid_out(name: str, mart: DataFrame, path: str) -> int:
+    sort_by = CONTRACTS[name].sort_by if name in CONTRACTS else ["league_id", "match_seq"]
+    return export_laid_out(mart, path, sort_by, FIND_BY)
 
 
 def _rated_from(facts: DataFrame, before: DataFrame, day: date) -> DataFrame:

@@ -34,9 +34,9 @@ def append_table(df: DataFrame, path: str) -> int:
     return _counted_write(df, path, "append")
 
 
-def _counted_write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str] = ()) -> int:
+def _counted_write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> int:
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
@@ -133,6 +133,27 @@ def export_mart(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
     return _counted_write(df, path, "overwrite", partition_by)
 
 
+def export_laid_out(df: DataFrame, path: str, sort_by: Sequence[str], find_by: Sequence[str] = ()) -> int:
+    """``export_mart`` in ranges of ``sort_by``, with Bloom filters for look-ups by the columns ``find_by``.
+
+    Rows are sorted inside each file, so the least and greatest values of files, row groups and
+    pages let readers skip most of them in a filter on the first sort columns. Where a column is
+    in another order than the rows, these tell nothing; a Bloom filter per row group, sized by its
+    distinct values, then lets readers skip those that do not hold the value.
+    """
+    return _counted_write(_laid_out(df, sort_by), path, "overwrite", options=_bloom_filters(df, find_by))
+
+
+def _laid_out(df: DataFrame, sort_by: Sequence[str]) -> DataFrame:
+    return df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+
+
+def _bloom_filters(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    there = [c for c in columns if c in df.columns]
+    on = {f"parquet.bloom.filter.enabled#{c}": "true" for c in there}
+    return on | {"parquet.bloom.filter.adaptive.enabled": "true"} if on else {}
+
+
 def export_marts(marts: Mapping[str, DataFrame], root: str) -> int:
     """Export every mart to its own folder below ``root``, several at a time; returns the total row count."""
     if not marts:
@@ -141,14 +162,14 @@ def export_marts(marts: Mapping[str, DataFrame], root: str) -> int:
     return sum(together(spark, {name: functools.partial(export_mart, df, f"{root}/{name}") for name, df in marts.items()}).values())
 
 
-def publish_mart(spark: SparkSession, exported: str, path: str, contract: Contract) -> int:
+def publish_mart(spark: SparkSession, exported: str, path: str, contract: Contract, find_by: Sequence[str] = ()) -> int:
     """Replace a serving copy with an exported mart.
 
     A missing or empty export, other columns than the contract's, NULLs in required
     columns or values outside their integer type are errors, raised before the old copy
     is touched. Rows are laid out in ranges of the sort key and sorted inside each file, so
-    that readers can skip files and row groups. The new copy is written beside the old one
-    and takes its place when it is complete.
+    that readers can skip files and row groups; ``find_by`` as in ``export_laid_out``. The new
+    copy is written beside the old one and takes its place when it is complete.
     """
     df = read_table(spark, exported)
     if df is None:
@@ -159,14 +180,14 @@ def publish_mart(spark: SparkSession, exported: str, path: str, contract: Contra
     names = [r["column_name"] for r in broken.select("column_name").collect()]
     if names:
         raise ValueError(f"{exported}: contract violated by {names}")
-    return replace_table(df.repartitionByRange(*contract.sort_by).sortWithinPartitions(*contract.sort_by), path)
+    return replace_table(_laid_out(df, contract.sort_by), path, options=_bloom_filters(df, find_by))
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> int:
     """Write ``df``, which may read the table at ``path``, beside it and then in its place."""
     beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
     gathered = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
-    n = export_mart(gathered, beside, partition_by)
+    n = _counted_write(gathered, beside, "overwrite", partition_by, options)
     _switch(df.sparkSession, beside, path)
     return n
 

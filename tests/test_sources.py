@@ -143,3 +143,48 @@ def test_stream_load_adds_new_keys_once(spark, frame, tmp_path):
 
     assert arrive("a", "b", "a") == ["a", "b"]
     assert arrive("b", "c") == ["a", "b", "c"]
+
+
+def rows_read(df):
+    """The rows of the answer, and those that the scan took out of the files."""
+    answer = df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return answer, sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_laid_out_marts_skip_row_groups(spark, tmp_path):
+    n, path = 200_000, str(tmp_path / "laid")
+    df = spark.range(0, n, 1, 8).select(
+        F.concat(F.lit("l"), F.col("id") % 10).alias("league_id"), (F.col("id") % 7).alias("season_year"),
+        F.sha2(F.pmod(F.xxhash64("id"), F.lit(n // 4)).cast("string"), 256).alias("player_bk"), F.col("id").alias("v"),
+    )
+    # A third of all rows is of one league.
+    df = df.withColumn("league_id", F.when(F.col("v") % 3 == 0, "l0").otherwise(F.col("league_id")))
+    spark.conf.set("parquet.block.size", str(256 << 10))
+    try:
+        assert tables.export_laid_out(df, path, ["league_id", "season_year", "v"], ["player_bk", "no such column"]) == n
+    finally:
+        spark.conf.unset("parquet.block.size")
+    written = spark.read.parquet(path)
+    assert sorted(written.columns) == sorted(df.columns) and written.count() == n
+    of_league = written.filter("league_id = 'l4' AND season_year = 3").select("v")
+    answer, read = rows_read(of_league)
+    assert sorted(r["v"] for r in answer) == sorted(r["v"] for r in df.filter("league_id = 'l4' AND season_year = 3").collect())
+    assert read < n / 10
+    someone = df.filter("v = 4321").first()["player_bk"]
+    answer, read = rows_read(written.filter(F.col("player_bk") == someone).select("v"))
+    assert 4321 in {r["v"] for r in answer}
+    assert sorted(r["v"] for r in answer) == sorted(r["v"] for r in df.filter(F.col("player_bk") == someone).collect())
+    assert read < n / 3
+    answer, read = rows_read(written.filter("player_bk = 'nobody'"))
+    assert answer == [] and read < n / 10
+
+
+def test_laid_out_nulls_and_empty_tables(spark, frame, tmp_path):
+    odd = frame("a int, b string", (None, "x"), (1, None), (None, None), (1, None))
+    assert tables.export_laid_out(odd, str(tmp_path / "odd"), ["a", "b"], ["b"]) == 4
+    back = spark.read.parquet(str(tmp_path / "odd"))
+    assert sorted(map(str, back.collect())) == sorted(map(str, odd.collect()))
+    assert back.filter("b = 'x'").count() == 1
+    assert tables.export_laid_out(odd.limit(0), str(tmp_path / "none"), ["a"], ["b"]) == 0
+    assert spark.read.parquet(str(tmp_path / "none")).columns == ["a", "b"]
