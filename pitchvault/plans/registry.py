@@ -449,9 +449,16 @@ def _(t):
     return load_link(lines, *args, existing=before, attrs=["l_returnflag"])
 
 
-def _in_buckets(t: B.Tables, key: str, load: Callable[..., DataFrame], batches: list[DataFrame], buckets: int = 8) -> DataFrame:
-    """A hub or link kept in buckets of its key after one load per batch."""
+BUCKET_ROWS = 500_000
+
+
+def _in_buckets(t: B.Tables, key: str, load: Callable[..., DataFrame], batches: list[DataFrame]) -> DataFrame:
+    """A hub or link kept in buckets of its key after one load per batch; the last batch holds the others.
+
+    A task reads a bucket, so their number grows with the rows.
+    """
     path, name = scratch(t.spark, "buckets"), None
+    buckets = max(8, -(-batches[-1].count() // BUCKET_ROWS))
     for batch in batches:
         new = load(batch, t.spark.table(name) if name else None, buckets)
         name = name or tables.bucketed_table(t.spark, path, new.schema, [key], buckets)
