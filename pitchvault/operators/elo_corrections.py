@@ -3,7 +3,7 @@
 A correction changes the ratings of both teams from that match on, and through their later
 matches those of their opponents. The reach is found by rounds: every team has the moment from
 which its rating is in doubt, first that of its earliest changed match; a match of a team in
-doubt puts its opponent in doubt too. It stands when a round adds no match. The rounds are at
+doubt puts its opponent in doubt too. It stands when a round moves no team's moment. The rounds are at
 most as many as matches follow each other in a chain of opponents, in a league some ten.
 """
 
@@ -16,8 +16,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pitchvault.operators.elo import elo_history, played
+from pitchvault.operators.reshape import unpivot_sides
 from pitchvault.operators.versions import split_row_number
-from pitchvault.sources.tables import export_mart, scratch
+from pitchvault.sources.tables import append_bucketed, bucketed_table, export_mart, scratch
 
 SAME = ["pool", "match_date", "home", "away", "again"]  # a match; ``again`` tells repeated ones apart
 MOMENT = ["match_date", "home", "tie"]  # the order of a pool's matches
@@ -54,8 +55,7 @@ def _by_match(history: DataFrame, pool: str) -> DataFrame:
 
 
 def _sides(matches: DataFrame) -> DataFrame:
-    side = F.explode(F.array("home", "away")).alias("team")
-    return matches.select("pool", side, "moment", *SAME[1:])
+    return matches.select("pool", F.explode(F.array("home", "away")).alias("team"), "moment")
 
 
 def compared(history: DataFrame, matches: DataFrame, pool: str = "league_id", tie_break: Sequence[str] = ("match_hk",)) -> DataFrame:
@@ -73,19 +73,41 @@ def compared(history: DataFrame, matches: DataFrame, pool: str = "league_id", ti
         "moment": F.coalesce("moment", first)}).drop("here", "there", "tie")
 
 
+BUCKET_ROWS = 1_000_000
+
+
+def _met(matches: DataFrame) -> str:
+    """Name of a table of every team's opponents and moments, in buckets of the opponent: rounds read it as it lies."""
+    spark = matches.sparkSession
+    buckets = max(8, -(-2 * matches.count() // BUCKET_ROWS))
+    met = unpivot_sides(
+        matches, {"home": {"team": "home", "opponent": "away"}, "away": {"team": "away", "opponent": "home"}}, keep=["pool", "moment"])
+    name = bucketed_table(spark, scratch(spark, "elo-met"), met.schema, ["pool", "opponent"], buckets)
+    append_bucketed(met.repartition(buckets, "pool", "opponent"), name)
+    return name
+
+
 def reached(rows: DataFrame) -> DataFrame:
-    """Per team in doubt, the moment ``since`` which it is, from ``compared`` rows."""
-    sides = _written(_sides(rows.filter("NOT gone")), "elo-sides")
-    start = _sides(rows.filter("changed OR gone"))
-    doubt, n = _written(start.groupBy("pool", "team").agg(F.min("moment").alias("since")), "elo-doubt"), -1
-    while True:
-        hit = sides.join(doubt, ["pool", "team"]).filter(F.col("moment") >= F.col("since")).select("moment", *SAME).distinct()
-        hit = _written(hit, "elo-reached")
-        if (now := hit.count()) == n:
-            return doubt
-        n = now
-        doubt = _written(
-            start.unionByName(_sides(hit)).groupBy("pool", "team").agg(F.min("moment").alias("since")), "elo-doubt")
+    """Per team in doubt, the moment ``since`` which it is, from ``compared`` rows.
+
+    A round looks at the teams whose moment moved in the round before, and at their matches between
+    the new moment and the one before only; the matches are shuffled once for all rounds.
+    """
+    spark = rows.sparkSession
+    name = _met(rows.filter("NOT gone"))
+    start = _sides(rows.filter("changed OR gone")).groupBy("pool", "team").agg(F.min("moment").alias("since"))
+    doubt = _written(start.withColumn("before", F.lit(None).cast(start.schema["since"].dataType)).withColumn("moved", F.lit(True)), "elo-doubt")
+    while not (moved := doubt.filter("moved")).isEmpty():
+        moved = moved.select("pool", F.col("team").alias("opponent"), "since", "before")
+        hit = spark.table(name).join(moved, ["pool", "opponent"]).filter(
+            (F.col("moment") >= F.col("since")) & (F.col("before").isNull() | (F.col("moment") < F.col("before"))))
+        new = hit.groupBy("pool", "team").agg(F.min("moment").alias("since"))
+        held = doubt.select("pool", "team", "since", F.col("since").alias("before"))
+        both = held.unionByName(new, allowMissingColumns=True).groupBy("pool", "team").agg(
+            F.min("since").alias("since"), F.min("before").alias("before"))
+        doubt = _written(both.withColumn("moved", F.col("before").isNull() | (F.col("since") < F.col("before"))), "elo-doubt")
+    spark.sql(f"DROP TABLE {name}")
+    return doubt.select("pool", "team", "since")
 
 
 def correct_history(

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from pitchvault.operators import elo_corrections as EC
 from pitchvault.plans import bindings as B
 from pitchvault.plans import business_vault as BV
 from pitchvault.plans import raw_vault as RV
@@ -66,3 +67,14 @@ def test_buckets_grow_with_the_rows(spark, monkeypatch):
     name = re.search(r"bucketed_[0-9a-f]+", out._jdf.queryExecution().analyzed().toString()).group()
     described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
     assert int(described["Num Buckets"]) == -(-spark.read.parquet(f"{SMALL}/lineitem.parquet").count() // 500)
+
+
+def test_rounds_of_a_correction_read_the_matches_as_they_lie(spark, frame, no_broadcast):
+    """Only the teams that moved are shuffled; every round shuffled all matches before."""
+    rows = frame("pool string, home string, away string, moment int", ("p", "a", "b", 1), ("p", "b", "c", 2))
+    name = EC._met(rows)
+    moved = frame("pool string, opponent string, since int", ("p", "b", 2))
+    met = spark.table(name).join(moved, ["pool", "opponent"])
+    assert exchanges(met) == ["pool, opponent"]
+    assert sorted((r.team, r.moment) for r in met.collect()) == [("a", 1), ("c", 2)]
+    spark.sql(f"DROP TABLE {name}")
