@@ -20,23 +20,25 @@ def connected_teams(matches: DataFrame, pool: str, root: str) -> DataFrame:
     season.
     """
     spark = matches.sparkSession
-    pairs = matches.select(pool, F.col("home_team_title").alias("a"), F.col("away_team_title").alias("b")).distinct()
-    both = pairs.union(pairs.select(pool, "b", "a")).distinct()
+    # Both directions of a match from one scan, told apart once.
+    both = matches.select(pool, F.inline(F.array(
+        F.struct(F.col("home_team_title").alias("a"), F.col("away_team_title").alias("b")),
+        F.struct(F.col("away_team_title").alias("a"), F.col("home_team_title").alias("b"))))).distinct()
     export_mart(both, f"{root}/edges")
     edges = spark.read.parquet(f"{root}/edges")
     labels = edges.groupBy(pool, F.col("a").alias("team_title")).agg(F.least(F.min("b"), F.min("a")).alias("grp"))
-    step, moved = 0, 1
-    while moved:
+    labels, step = labels.withColumn("moved", F.lit(True)), 0
+    while True:
         path = f"{root}/labels-{step}"
         export_mart(labels, path)
+        # Counted where it is written: a round is worked out once.
         now = spark.read.parquet(path)
+        if now.filter("moved").isEmpty():
+            return now.drop("moved")
         near = edges.join(now.select(pool, F.col("team_title").alias("b"), "grp"), [pool, "b"])
         best = near.groupBy(pool, F.col("a").alias("team_title")).agg(F.min("grp").alias("near"))
-        stepped = now.join(best, [pool, "team_title"]).select(
-            pool, "team_title", F.least("grp", "near").alias("grp"), (F.col("near") < F.col("grp")).alias("moved"))
-        moved = stepped.agg(F.count_if("moved")).first()[0]
-        labels, step = stepped.drop("moved"), step + 1
-    return now
+        labels, step = now.join(best, [pool, "team_title"]).select(
+            pool, "team_title", F.least("grp", "near").alias("grp"), (F.col("near") < F.col("grp")).alias("moved")), step + 1
 
 
 def rate_in_pieces(
