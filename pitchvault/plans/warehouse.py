@@ -153,7 +153,7 @@ class Warehouse:
 
 
 def _export_laid_out(name: str, mart: DataFrame, path: str) -> int:
-    sort_by = CONTRACTS[name].sort_by if name in CONTRACTS else ["league_id", "match_seq"]
+    sort_by = CONTRACTS[name].sort_by if name in CONTRACTS else [c for c in ("league_id", "match_seq") if c in mart.columns]
     return export_laid_out(mart, path, sort_by, FIND_BY)
 
 

@@ -1,10 +1,13 @@
 """What is shuffled: big sides are brought together once, by the keys that later steps use."""
 
 import re
+from datetime import datetime
+from pathlib import Path
 
 import pytest
 
 from pitchvault.operators import elo_corrections as EC
+from pitchvault.operators.elo_pieces import connected_teams
 from pitchvault.plans import bindings as B
 from pitchvault.plans import business_vault as BV
 from pitchvault.plans import raw_vault as RV
@@ -78,3 +81,67 @@ def test_rounds_of_a_correction_read_the_matches_as_they_lie(spark, frame, no_br
     assert exchanges(met) == ["pool, opponent"]
     assert sorted((r.team, r.moment) for r in met.collect()) == [("a", 1), ("c", 2)]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_models_of_players_and_teams_are_picked_where_they_lie(spark, no_broadcast):
+    """The staged rows are dealt out by hub key once; every hub, link and satellite shuffled them before."""
+    models = R.models(B.Tables(spark, SMALL))
+    for name in ("hub_team", "hub_player", "lnk_team_competition_season", "lnk_player_team", "sat_team_details", "sat_team_xg", "sat_player_xg"):
+        assert exchanges(models[name]) == [], name
+
+
+def test_details_of_a_team_take_one_shuffle(spark, frame, rows):
+    team = "hub_team_hk string, team_title string, league_id string, sat_team_details_hashdiff string, ldts timestamp_ntz, rsrc string"
+    at = [datetime(2024, 1, 1, h) for h in range(4)]
+    stage = frame(team, *[("t", x, "epl", x, at[i], "r") for i, x in enumerate("aaba")], ("u", "c", "epl", "c", None, "r"))
+    details = RV.load("sat_team_details", {"stg_understat_teams": stage})
+    assert exchanges(details) == ["hub_team_hk"]
+    assert rows(details, "hub_team_hk", "team_title", "ldts") == sorted(
+        [("t", "a", at[0]), ("t", "b", at[2]), ("t", "a", at[3]), ("u", "c", None)], key=repr)
+
+
+def test_seasons_of_a_team_meet_their_own_figures(frame, rows):
+    """A league or season that is NULL or without figures meets none."""
+    at = datetime(2024, 1, 1)
+    figures = ("xg_for", "npxg_for", "xg_against", "npxg_against", "npxg_diff", "ppda", "oppda", "xpts", "deep_completions",
+               "opp_deep_completions", "matches", "wins", "draws", "losses", "points", "goals_for", "goals_against")
+    vault = {
+        "lnk_team_competition_season": frame(
+            "hub_team_hk string, hub_competition_hk string, hub_season_hk string", ("t", "l", "s1"), ("t", "l", "s2"), ("u", "l", "s1")),
+        "hub_competition": frame("hub_competition_hk string, league_id string", ("l", "epl")),
+        "hub_season": frame("hub_season_hk string, season_year int", ("s1", 2023), ("s2", 2024)),
+        "hub_team": frame("hub_team_hk string, team_bk string", ("t", "bt"), ("u", "bu")),
+        "sat_team_details": frame("hub_team_hk string, team_title string, ldts timestamp_ntz", ("t", "T", at)),
+        "sat_team_xg": frame(
+            f"hub_team_hk string, league_id string, season_year int, ldts timestamp_ntz, rsrc string, {', '.join(f'{c} int' for c in figures)}",
+            ("t", "epl", 2024, at, "r", *[7] * 17), ("t", None, 2023, at, "r", *[8] * 17), ("t", "cup", 2023, at, "r", *[9] * 17)),
+    }
+    assert rows(BV.pit_team_season(vault), "team_bk", "season_year", "team_title", "points") == [
+        ("bt", 2023, "T", None), ("bt", 2024, "T", 7), ("bu", 2023, None, None)]
+
+
+def test_matches_are_made_once(spark, no_broadcast):
+    models = R.models(B.Tables(spark, SMALL), (*R.WITH_MATCHES, "mart_match_facts"))
+    assert exchanges(models["sb_matches"]) == [] and exchanges(models["understat_matches"]) == []
+    assert exchanges(models["mart_team_xg_trend"]) == ["league_id, season_year, team_title"]
+
+
+def test_history_is_not_shuffled_for_its_best_teams(spark):
+    history = R.models(B.Tables(spark, SMALL))["mart_team_elo_history"]
+    assert exchanges(history) == [] and history.filter("is_top3_in_league = 1").count() > 0
+
+
+def test_marts_are_worked_out_by_the_export_only(spark, monkeypatch):
+    made = []
+    scratch = R.scratch
+    monkeypatch.setattr(R, "scratch", lambda s, name: made.append(scratch(s, name)) or made[-1])
+    R.QUERIES["export_round_trip"](spark, SMALL).collect()
+    models = next(p for p in made if "/models-" in p).removeprefix("file:")
+    assert {p.name for p in Path(models).iterdir() if p.name.startswith("mart_")} == {"mart_match_facts"}
+
+
+def test_rounds_of_connected_teams_are_counted_where_they_are_written(spark, frame, tmp_path):
+    games = frame("p string, home_team_title string, away_team_title string", ("p", "a", "b"), ("p", "b", "c"), ("p", "x", "y"))
+    got = {(r.team_title, r.grp) for r in connected_teams(games, "p", str(tmp_path)).collect()}
+    assert got == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}
+    assert "moved" in spark.read.parquet(f"{tmp_path}/labels-1").columns
