@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 
+from pitchvault.operators import elo as E
 from pitchvault.operators import elo_corrections as EC
 from pitchvault.operators.elo_pieces import connected_teams
 from pitchvault.plans import bindings as B
@@ -145,3 +146,23 @@ def test_rounds_of_connected_teams_are_counted_where_they_are_written(spark, fra
     got = {(r.team_title, r.grp) for r in connected_teams(games, "p", str(tmp_path)).collect()}
     assert got == {("a", "a"), ("b", "a"), ("c", "a"), ("x", "x"), ("y", "x")}
     assert "moved" in spark.read.parquet(f"{tmp_path}/labels-1").columns
+
+
+def test_staged_rows_are_dealt_out_while_they_are_short(spark, no_broadcast, rows):
+    """Orders of a player and figures of a team are dealt out, not the staged rows; lines meet their orders as sums."""
+    t = B.Tables(spark, SMALL)
+    players, teams = B.understat_players(t, 4), B.understat_teams(t, None, 4)
+    keys = exchanges(S.stg_understat_players(players))
+    assert "__player" in keys and not [k for k in keys if "hub_player_hk" in k or k == "o_custkey, season"]
+    assert exchanges(S.stg_understat_teams(teams))[0] == "__team"
+    assert rows(players) == rows(B.understat_players(t)) and rows(teams) == rows(B.understat_teams(t))
+
+
+def test_peaks_of_ratings_are_picked_before_the_shuffle(spark, frame, rows, no_broadcast):
+    day = [datetime(2024, 1, d).date() for d in (1, 2, 3, 4)]
+    history = frame("team_title string, league_id string, rating_after double, match_date date, match_seq long",
+                    *[("a", "l", r, day[i], i) for i, r in enumerate((1.0, 3.0, 3.0, 2.0))], ("b", "l", 5.0, day[3], 3))
+    current = E.elo_current(history)
+    assert set(exchanges(current)) == {"team_title, league_id"}
+    assert rows(current, "team_title", "current_rating", "peak_rating", "peak_match_date", "matches_played") == [
+        ("a", 2.0, 3.0, day[1], 4), ("b", 5.0, 5.0, day[3], 1)]
