@@ -166,3 +166,13 @@ def test_peaks_of_ratings_are_picked_before_the_shuffle(spark, frame, rows, no_b
     assert set(exchanges(current)) == {"team_title, league_id"}
     assert rows(current, "team_title", "current_rating", "peak_rating", "peak_match_date", "matches_played") == [
         ("a", 2.0, 3.0, day[1], 4), ("b", 5.0, 5.0, day[3], 1)]
+
+
+def test_pairs_of_players_and_teams_are_made_where_the_players_lie(spark):
+    """A written point-in-time table had no layout, so that the pairs were shuffled to its players first."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200000")
+    try:
+        keys = exchanges(R.models(B.Tables(spark, SMALL))["mart_top_scorers"])
+        assert "__at" in keys and not [k for k in keys if "hub_player_hk" in k]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
