@@ -8,6 +8,7 @@ import pytest
 
 from pitchvault.operators import elo as E
 from pitchvault.operators import elo_corrections as EC
+from pitchvault.operators import quality as Q
 from pitchvault.operators.elo_pieces import connected_teams
 from pitchvault.plans import bindings as B
 from pitchvault.plans import business_vault as BV
@@ -176,3 +177,27 @@ def test_pairs_of_players_and_teams_are_made_where_the_players_lie(spark):
         assert "__at" in keys and not [k for k in keys if "hub_player_hk" in k]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_checks_write_the_columns_they_look_at(spark, monkeypatch):
+    """Teams of scorers are not checked: neither their bridge is made nor their names."""
+    made = []
+    scratch = R.scratch
+    monkeypatch.setattr(R, "scratch", lambda s, name: made.append(scratch(s, name)) or made[-1])
+    found = R.QUERIES["checks_marts"](spark, SMALL)
+    root = next(p for p in made if "/checked-" in p)
+    assert set(spark.read.parquet(f"{root}/mart_top_scorers").columns) == {"player_bk", "league_id", "season_year"}
+    assert set(spark.read.parquet(f"{root}/mart_player_overperformers").columns) == {
+        "player_hk", "league_id", "season_year", "minutes"}
+    assert found.filter("failures > 0").count() == 0
+
+
+def test_single_keys_are_not_counted_in_full(frame, rows):
+    """Only keys whose hashes may repeat are counted as they are; hot, NULL and repeated ones are counted rightly."""
+    keys = [["k"], ["k", "v"]]
+    single = frame("k string, v int", *[(str(i), i % 7) for i in range(500)])
+    assert single.filter(Q._may_repeat(single, keys)).count() == 0
+    checks = Q.TableChecks(unique=("k",), combinations=(("k", "v"),))
+    many = single.unionByName(frame("k string, v int", *[("7", 0)] * 50, ("8", 1), (None, 3), (None, 3), (None, None)))
+    assert 0 < many.filter(Q._may_repeat(many, keys)).count() < 200
+    assert rows(Q.check_table("t", checks, {"t": many}), "check_name", "failures") == [("unique", 2), ("unique_combination", 3)]
