@@ -201,3 +201,24 @@ def test_single_keys_are_not_counted_in_full(frame, rows):
     many = single.unionByName(frame("k string, v int", *[("7", 0)] * 50, ("8", 1), (None, 3), (None, 3), (None, None)))
     assert 0 < many.filter(Q._may_repeat(many, keys)).count() < 200
     assert rows(Q.check_table("t", checks, {"t": many}), "check_name", "failures") == [("unique", 2), ("unique_combination", 3)]
+
+
+def test_values_and_parents_meet_where_they_are_counted(spark, frame, rows, no_broadcast):
+    """Values were shuffled twice, as text; different texts are different as bytes too."""
+    texts = ["", "a", "0" * 32, "0" * 31, "0" * 32 + "\n", "A" * 32, "\0" * 16, "\0" * 15, "\0" * 17, "é" * 8, "md5", "f" * 32]
+    tables = {"t": frame("k string, l string", *[(x, None) for x in texts], ("a", "x"), (None, "md5")),
+              "p": frame("id string", ("a",), ("f" * 32,), (None,)), "q": frame("id string", ("x",))}
+    checks = {"t": Q.TableChecks(relationships={"k": ("p", "id"), "l": ("q", "id")})}
+    lost = Q.orphans(checks, tables)
+    assert set(exchanges(lost)) == {"parent, value"} and len(exchanges(lost)) == 2
+    assert rows(lost) == sorted([(0, x, 1) for x in texts if x not in ("a", "f" * 32)] + [(1, "md5", 1)], key=repr)
+
+
+def test_links_and_hub_of_matches_take_few_shuffles(spark, rows, no_broadcast):
+    models = R.models(B.Tables(spark, SMALL), R.WITH_MATCHES, R.WITH_MATCHES_DEALT)
+    for name in ("lnk_match_team", "lnk_match_competition_season"):
+        assert exchanges(models[name]) == [], name
+    assert exchanges(models["hub_match"]) == ["hub_match_hk"]
+    plain = R.models(B.Tables(spark, SMALL), ())
+    for name in ("lnk_match_team", "hub_match"):
+        assert rows(models[name]) == rows(plain[name])
