@@ -63,3 +63,20 @@ def business_key(source: str, c: Column | str) -> Column:
 def utc_text(c: Column | str) -> Column:
     """Timestamp as fixed-format text for hashing, e.g. ``2020-01-31 00:00:00+00``."""
     return F.concat(F.date_format(_col(c), "yyyy-MM-dd HH:mm:ss"), F.lit("+00"))
+
+
+def short_key(text: Column) -> Column:
+    """A text as bytes, 32 hexadecimal digits as the 16 bytes they stand for; different texts stay different.
+
+    Only such digits give 16 bytes: other texts of 16 bytes or more get one more.
+    """
+    raw = text.cast("binary")
+    return F.when(text.rlike(r"^[0-9a-f]{32}\z"), F.unhex(text)).when(F.octet_length(raw) < 16, raw).otherwise(
+        F.concat(raw, F.unhex(F.lit("00"))))
+
+
+def key_text(short: Column) -> Column:
+    """The text that ``short_key`` was given."""
+    n = F.octet_length(short)
+    return F.when(n == 16, F.lower(F.hex(short))).when(n < 16, short.cast("string")).otherwise(
+        F.substring(short, F.lit(1), n - 1).cast("string"))

@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pitchvault.functions.hashing import key_text, short_key
+
 log = logging.getLogger(__name__)
 
 
@@ -162,23 +164,6 @@ def _unique_failures(name: str, checks: TableChecks, df: DataFrame) -> DataFrame
     return _inlined(repeated(df.filter(_may_repeat(df, sets)), sets).agg(*failed), [name] * len(labels), labels)
 
 
-def _short(text: Column) -> Column:
-    """A text as bytes, 32 hexadecimal digits as the 16 bytes they stand for; different texts stay different.
-
-    Only such digits give 16 bytes: other texts of 16 bytes or more get one more.
-    """
-    raw = text.cast("binary")
-    return F.when(text.rlike(r"^[0-9a-f]{32}\z"), F.unhex(text)).when(F.octet_length(raw) < 16, raw).otherwise(
-        F.concat(raw, F.unhex(F.lit("00"))))
-
-
-def _text(short: Column) -> Column:
-    """The text that ``_short`` was given."""
-    n = F.octet_length(short)
-    return F.when(n == 16, F.lower(F.hex(short))).when(n < 16, short.cast("string")).otherwise(
-        F.substring(short, F.lit(1), n - 1).cast("string"))
-
-
 def orphans(checks: Mapping[str, TableChecks], tables: Mapping[str, DataFrame]) -> DataFrame | None:
     """Values without a parent row of all relationships: number of the ``relation``, ``value`` as text, ``n_rows``.
 
@@ -191,7 +176,7 @@ def orphans(checks: Mapping[str, TableChecks], tables: Mapping[str, DataFrame])
     parents = list(dict.fromkeys(r[2:] for r in relations))
     known = None
     for i, (parent, column) in enumerate(parents):
-        part = tables[parent].select(F.lit(i).alias("parent"), _short(F.col(column).cast("string")).alias("value"))
+        part = tables[parent].select(F.lit(i).alias("parent"), short_key(F.col(column).cast("string")).alias("value"))
         known = part if known is None else known.unionByName(part)
     # Relations of one parent are numbered, so that their counts are columns.
     numbers = [[r[2:] for r in relations[:i]].count(r[2:]) for i, r in enumerate(relations)]
@@ -203,7 +188,7 @@ def orphans(checks: Mapping[str, TableChecks], tables: Mapping[str, DataFrame])
                 kind = tables[parent[0]].schema[parent[1]].dataType
                 value = F.col(c).cast(kind).cast("string")  # as the parent writes it
                 tagged.append(F.struct(
-                    F.lit(numbers[i]).alias("number"), F.lit(parents.index(tuple(parent))).alias("parent"), _short(value).alias("value")))
+                    F.lit(numbers[i]).alias("number"), F.lit(parents.index(tuple(parent))).alias("parent"), short_key(value).alias("value")))
         part = tables[t].select(F.inline(F.array(*tagged))).filter("value IS NOT NULL")
         held = part if held is None else held.unionByName(part)
     counted = held.groupBy("parent", "value").agg(
@@ -214,7 +199,7 @@ def orphans(checks: Mapping[str, TableChecks], tables: Mapping[str, DataFrame])
     counts = [
         F.struct(F.lit(i).alias("relation"), F.when(F.col("parent") == parents.index(r[2:]), F.col(f"n{n}")).alias("n_rows"))
         for i, (r, n) in enumerate(zip(relations, numbers, strict=True))]
-    return lost.select(_text(F.col("value")).alias("value"), F.inline(F.array(*counts))).filter("n_rows > 0").select(
+    return lost.select(key_text(F.col("value")).alias("value"), F.inline(F.array(*counts))).filter("n_rows > 0").select(
         "relation", "value", "n_rows")
 
 

@@ -96,20 +96,33 @@ def split_row_number(
     ).drop("__before")
 
 
-def split_percent_rank(df: DataFrame, group: Sequence[str], key: Column, out: str) -> DataFrame:
-    """``percent_rank`` within ``group``, ascending by ``key``, NULL keys last.
+def percent_ranks(df: DataFrame, group: Sequence[str], key: Column) -> DataFrame:
+    """``percent_rank`` of every distinct ``key`` of a group, as ``__key`` and ``__share``; NULL keys are last.
 
-    Ties share a rank, so the rank is worked out on the distinct keys and joined back;
-    equal keys collapse before any shuffle, however many rows hold them.
+    Equal keys collapse before any shuffle, however many rows hold them.
     """
-    keyed = df.withColumn("__key", F.struct(F.struct(*group).alias("g"), key.alias("k")))
+    keyed = df.select(_rank_key(group, key))
     counts = keyed.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).select("__key", "__key.g", "__n")
     k = F.col("__key.k")
     ranks = prefix_sum(
         counts, ["g"], [k.asc_nulls_last()], [(coarse(k), "asc")],
         value=F.col("__n"), out="__less", total="__total",
-    ).drop("g", "__n")
+    )
     share = F.when(F.col("__total") == 1, F.lit(0.0)).otherwise(
         F.col("__less") / (F.col("__total") - 1)
     )
-    return keyed.join(ranks, "__key").withColumn(out, share).select(*df.columns, out)
+    return ranks.select("__key", share.alias("__share"))
+
+
+def _rank_key(group: Sequence[str], key: Column) -> Column:
+    return F.struct(F.struct(*group).alias("g"), key.alias("k")).alias("__key")
+
+
+def split_percent_rank(df: DataFrame, group: Sequence[str], key: Column, out: str, ranks: DataFrame | None = None) -> DataFrame:
+    """``percent_rank`` within ``group``, ascending by ``key``, NULL keys last.
+
+    Ties share a rank, so the rank is worked out on the distinct keys and joined back. ``ranks`` gives the
+    ``percent_ranks`` as a table: where its size is known to be small, it is sent to the rows, which are then not shuffled.
+    """
+    ranks = percent_ranks(df, group, key) if ranks is None else ranks
+    return df.withColumn("__key", _rank_key(group, key)).join(ranks, "__key").withColumn(out, F.col("__share")).select(*df.columns, out)

@@ -74,10 +74,16 @@ def fifths(c: Column) -> Column:
     return (c * F.lit("0.2").cast("decimal(2,1)")).cast("decimal(12,1)")
 
 
+def dealt(df: DataFrame, buckets: int, key: Column, name: str) -> DataFrame:
+    """The rows dealt out by ``key``, which is worked out where they arrive, as the column ``name``: a hash key does not travel."""
+    return df.repartition(buckets, key).withColumn(name, key)
+
+
 def match_frame(t: Tables, buckets: int | None = None) -> DataFrame:
     """One match per order, from its first lineitem; sides of one nation are left out.
 
-    With ``buckets`` the matches bring the hub key of the first source, and are dealt out by it.
+    With ``buckets`` the matches bring the hub key of the first source, and are dealt out by it: first lines and
+    orders meet there, when they have the names of their suppliers and customers.
     """
     order = [F.col(c).asc() for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
     lines = t["lineitem"].select(
@@ -85,10 +91,18 @@ def match_frame(t: Tables, buckets: int | None = None) -> DataFrame:
         "l_quantity", "l_discount", "l_tax", "l_shipdate",
     )
     first = latest(lines, ["l_orderkey"], order)
-    joined = with_suppliers(
-        first.join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer_places(t), F.col("o_custkey") == F.col("c_custkey")), t)
-    frame = joined.filter(F.col("c_nation") != F.col("s_nation")).select(
+    if buckets is None:
+        joined = with_suppliers(
+            first.join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(customer_places(t), F.col("o_custkey") == F.col("c_custkey")), t)
+    else:
+        # Keys of orders that are there stand for the orders.
+        lines = with_suppliers(first.filter("l_orderkey IS NOT NULL"), t).withColumn("__price", F.floor("l_extendedprice")).drop(
+            "l_linenumber", "l_partkey", "l_extendedprice").withColumnRenamed("__price", "l_extendedprice")
+        orders = t["orders"].filter("o_orderkey IS NOT NULL").join(customer_places(t), F.col("o_custkey") == F.col("c_custkey"))
+        joined = dealt(lines, buckets, hash_key("l_orderkey", source=SOURCE_A), "hub_match_hk").join(
+            dealt(orders, buckets, hash_key("o_orderkey", source=SOURCE_A), "__order"), F.col("hub_match_hk") == F.col("__order"))
+    return joined.filter(F.col("c_nation") != F.col("s_nation")).select(
         F.col("o_orderkey").alias("match_id"), "league_id",
         F.year("o_orderdate").alias("season_year"),
         F.col("o_orderdate").alias("match_datetime"),
@@ -98,11 +112,8 @@ def match_frame(t: Tables, buckets: int | None = None) -> DataFrame:
         (F.floor("l_extendedprice") % 4).cast("int").alias("away_goals"),
         fifths(hundredths("l_discount")).alias("home_xg"),
         fifths(hundredths("l_tax")).alias("away_xg"),
-        "o_orderstatus", "o_orderpriority", F.col("l_shipdate").alias("loaded_at"),
+        "o_orderstatus", "o_orderpriority", F.col("l_shipdate").alias("loaded_at"), *[c for c in joined.columns if c == "hub_match_hk"],
     )
-    if buckets is None:
-        return frame
-    return frame.withColumn("hub_match_hk", hash_key("match_id", source=SOURCE_A)).repartition(buckets, "hub_match_hk")
 
 
 def understat_matches(t: Tables, frame: DataFrame | None = None) -> DataFrame:
@@ -180,10 +191,10 @@ def understat_players(t: Tables, buckets: int | None = None) -> DataFrame:
     keys = ["o_custkey", "season"]
     if buckets is not None:
         # Keys of customers that are there stand for the customers.
-        placed = placed.filter("o_custkey IS NOT NULL").withColumn("__player", hash_key("o_custkey", source=SOURCE_A))
-        places = places.filter("__customer IS NOT NULL").withColumn("__dealt", hash_key("__customer", source=SOURCE_A))
-        placed, places = placed.repartition(buckets, "__player"), places.repartition(buckets, "__dealt")
-        keys, player = ["__player", *keys], F.col("__player") == F.col("__dealt")
+        placed = dealt(placed.filter("o_custkey IS NOT NULL").drop("l_orderkey", "o_orderkey"), buckets, hash_key("o_custkey", source=SOURCE_A), "__player")
+        places = places.filter("__customer IS NOT NULL").withColumn("__player", hash_key("__customer", source=SOURCE_A)).repartition(
+            buckets, "__player")
+        keys, player = ["__player", *keys], "__player"
     per_season = placed.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in ("games", "quantity", "goals", "shots", "discount", "tax")],
         F.max("loaded_at").alias("loaded_at"),
@@ -209,10 +220,11 @@ def understat_players(t: Tables, buckets: int | None = None) -> DataFrame:
     )
 
 
-def understat_teams(t: Tables, frame: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
+def understat_teams(t: Tables, frame: DataFrame | None = None, buckets: int | None = None, few: bool = False) -> DataFrame:
     """Season figures per team and league, summed over the match frame.
 
-    With ``buckets`` they are dealt out by the hub key of the team before their payload is written out.
+    With ``buckets`` they are dealt out by the hub key of the team before their payload is written out. ``few`` says that
+    a team has few matches per league and season: these are dealt out themselves, and summed where they lie.
     """
     def side(me: str, other: str) -> dict:
         return {
@@ -225,15 +237,18 @@ def understat_teams(t: Tables, frame: DataFrame | None = None, buckets: int | No
         keep=["league_id", "season_year", "loaded_at"],
     )
     gf, ga = F.col("gf"), F.col("ga")
-    figures = sides.groupBy("team_title", "league_id", F.col("season_year").alias("season")).agg(
+    team, keys = hash_key(normalise_key("team_title"), source=SOURCE_A), ["team_title", "league_id", F.col("season_year").alias("season")]
+    at_once = few and buckets is not None
+    if at_once:
+        sides, keys = dealt(sides, buckets, team, "__team"), ["__team", *keys]
+    figures = sides.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("m"), F.count_if(gf > ga).alias("w"),
         F.count_if(gf == ga).alias("d"), F.count_if(gf < ga).alias("l"),
         F.sum(gf).alias("g"), F.sum(ga).alias("ga"),
         F.sum("xf").cast("decimal(20,1)").alias("xf"), F.sum("xa").cast("decimal(20,1)").alias("xa"),
         F.max("loaded_at").alias("loaded_at"),
     )
-    if buckets is not None:
-        team = hash_key(normalise_key("team_title"), source=SOURCE_A)
+    if buckets is not None and not at_once:
         figures = figures.withColumn("__team", team).repartition(buckets, "__team")
     half = F.lit("0.5").cast("decimal(2,1)")
     text = {
@@ -276,7 +291,7 @@ def stage_builders(t: Tables, dealt: Collection[str] = (), buckets: Callable[[],
         **{name: (lambda m, f=fn: f(t, m["match_frame"])) if name in OF_MATCHES else (lambda _, f=fn: f(t))
            for name, fn in STAGE_TABLES.items()},
         "understat_players": lambda _: understat_players(t, into("stg_understat_players")),
-        "understat_teams": lambda m: understat_teams(t, m["match_frame"], into("stg_understat_teams")),
+        "understat_teams": lambda m: understat_teams(t, m["match_frame"], into("stg_understat_teams"), few=True),
     }
 
 

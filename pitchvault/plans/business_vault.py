@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchvault.functions.hashing import link_key
+from pitchvault.functions.hashing import key_text, link_key, short_key
 from pitchvault.operators.versions import latest
 from pitchvault.plans.models import Models
 
@@ -103,7 +103,8 @@ def br_player_team_season(vault: Mapping[str, DataFrame], pit_players: DataFrame
     players = vault["lnk_player_team"].select("hub_player_hk", "hub_team_hk", "hub_season_hk").join(seasons, "hub_player_hk").select(
         "hub_player_hk", "hub_team_hk", "hub_season_hk", F.inline(same))
     joined = (
-        players.select(at, "hub_player_hk", "player_bk", "player_name").join(teams, "__at")
+        players.select(at, short_key(F.col("hub_player_hk")).alias("__player"), "player_bk", "player_name").join(teams, "__at")
+        .withColumn("hub_player_hk", key_text(F.col("__player")))
         .join(vault["hub_competition"].select("hub_competition_hk", "league_id"), "hub_competition_hk")
         .join(vault["hub_season"].select("hub_season_hk", "season_year"), "hub_season_hk")
     )

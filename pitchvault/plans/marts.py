@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchvault.functions.hashing import link_key
+from pitchvault.functions.hashing import link_key, short_key
 from pitchvault.operators.elo import elo_current, elo_history, flag_top, top_teams
 from pitchvault.operators.reshape import unpivot_sides
-from pitchvault.operators.versions import coarse, latest, split_percent_rank, split_row_number
+from pitchvault.operators.versions import coarse, latest, percent_ranks, split_percent_rank, split_row_number
 
 MIN_MINUTES = 450
 FOCUS_TEAM = "Barcelona"
@@ -73,11 +73,22 @@ def mart_match_facts(sat_match_xg: DataFrame) -> DataFrame:
     )
 
 
-def mart_player_overperformers(pit_players: DataFrame, min_minutes: int = MIN_MINUTES) -> DataFrame:
-    """Goals above expectation with their percent rank among the season's regular players."""
+def surplus_ranks(pit_players: DataFrame, min_minutes: int = MIN_MINUTES) -> DataFrame:
+    """Percent ranks of the different surpluses of goals among a season's regular players; surpluses are few."""
+    return percent_ranks(
+        pit_players.filter(F.col("minutes") >= min_minutes), ["league_id", "season_year"], F.col("goals") - F.col("xg"))
+
+
+def mart_player_overperformers(
+    pit_players: DataFrame, min_minutes: int = MIN_MINUTES, ranks: DataFrame | None = None,
+) -> DataFrame:
+    """Goals above expectation with their percent rank among the season's regular players.
+
+    ``ranks`` gives their ``surplus_ranks`` as a table.
+    """
     regular = pit_players.filter(F.col("minutes") >= min_minutes)
     surplus = F.col("goals") - F.col("xg")
-    ranked = split_percent_rank(regular, ["league_id", "season_year"], surplus, "rank_share")
+    ranked = split_percent_rank(regular, ["league_id", "season_year"], surplus, "rank_share", ranks)
     return ranked.select(
         F.col("hub_player_hk").alias("player_hk"), "player_bk", "player_name",
         F.col("team_title_raw").alias("team_title"), "league_id", "season_year", "position",
@@ -177,7 +188,8 @@ def builders(focus_team: str = FOCUS_TEAM, focus_league: str = FOCUS_LEAGUE) ->
         "mart_match_facts": lambda m: mart_match_facts(m["sat_match_xg"]),
         "mart_player_overperformers": lambda m: mart_player_overperformers(m["pit_player_season"]),
         "mart_team_xg_trend": lambda m: xg_trend(m["mart_match_facts"]),
-        "elo_history": lambda m: elo_history(m["mart_match_facts"]),
+        # The keys of the matches settle ties as bytes, in the order of their digits.
+        "elo_history": lambda m: elo_history(m["mart_match_facts"].withColumn("match_hk", short_key(F.col("match_hk")))),
         "mart_team_elo_history": lambda m: mart_team_elo_history(m["elo_history"], m["elo_best"]),
         "elo_best": lambda m: top_teams(m["elo_history"]),
         "mart_team_elo_current": lambda m: mart_team_elo_current(m["elo_history"]),

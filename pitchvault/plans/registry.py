@@ -93,8 +93,8 @@ MODEL_DECIMALS = {
 
 
 # Read by several models above them.
-# The hubs of leagues and seasons are small: as tables, not as plans of unknown size, they are sent to what they are joined with.
-_ABOVE = ("hub_competition", "hub_season", "elo_history", "elo_best")
+# The hubs of leagues and seasons and the ranks of surpluses are small: as tables, not as plans of unknown size, they are sent to what they are joined with.
+_ABOVE = ("hub_competition", "hub_season", "elo_history", "elo_best", "surplus_ranks")
 # These lie in buckets of their hub key: hubs, links, satellites and point-in-time tables of players and teams are picked
 # and joined from them without a shuffle. Point-in-time tables are therefore not written: they cost no shuffle, and what
 # reads them finds them by their hub key.
@@ -119,7 +119,10 @@ def models(t: B.Tables, write: tuple[str, ...] = SHARED, dealt: dict[str, str] =
     buckets = functools.cache(lambda: _buckets(t["lineitem"]))
     return Models(
         {**B.stage_builders(t, [n for n in dealt if n in write], buckets), **S.stage_builders(B.LEAGUES), **RV.builders(), **BV.BUILDERS,
-         **M.builders(B.FOCUS_TEAM, B.FOCUS_LEAGUE)},
+         **M.builders(B.FOCUS_TEAM, B.FOCUS_LEAGUE),
+         "surplus_ranks": lambda m: M.surplus_ranks(m["pit_player_season"]),
+         "mart_player_overperformers": lambda m: M.mart_player_overperformers(
+             m["pit_player_season"], ranks=m["surplus_ranks"] if "surplus_ranks" in write else None)},
         write=write, root=scratch(t.spark, "models"), dealt=dealt, buckets=buckets)
 
 
@@ -856,7 +859,7 @@ query("checks_hubs", _layer_checks(HUB_CHECKS))(_written_checks(HUB_CHECKS, shar
 query("checks_links", _layer_checks(LINK_CHECKS))(_written_checks(LINK_CHECKS, dealt=WITH_MATCHES_DEALT))
 query("checks_satellites", _layer_checks(SAT_CHECKS))(_written_checks(SAT_CHECKS))
 query("checks_business_vault", _layer_checks(checks.BUSINESS_VAULT))(_written_checks(checks.BUSINESS_VAULT))
-query("checks_marts", _layer_checks(checks.MARTS))(_written_checks(checks.MARTS, (*WITH_MATCHES, "mart_match_facts")))
+query("checks_marts", _layer_checks(checks.MARTS))(_written_checks(checks.MARTS, (*WITH_MATCHES, "mart_match_facts"), WITH_MATCHES_DEALT))
 
 
 def _contract_sql(name: str) -> str:
@@ -872,7 +875,7 @@ def _contract_sql(name: str) -> str:
 
 def _all_marts(t: B.Tables) -> Models:
     """All marts, each worked out by what reads it once; match facts are written, as other marts read them."""
-    return models(t, (*WITH_MATCHES, "mart_match_facts"))
+    return models(t, (*WITH_MATCHES, "mart_match_facts"), WITH_MATCHES_DEALT)
 
 
 @query("contract_violations_marts", " UNION ALL ".join(map(_contract_sql, contracts.CONTRACTS)))

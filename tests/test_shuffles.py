@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 
+from pitchvault.functions import hashing as H
 from pitchvault.operators import elo as E
 from pitchvault.operators import elo_corrections as EC
 from pitchvault.operators import quality as Q
@@ -222,3 +223,45 @@ def test_links_and_hub_of_matches_take_few_shuffles(spark, rows, no_broadcast):
     plain = R.models(B.Tables(spark, SMALL), ())
     for name in ("lnk_match_team", "hub_match"):
         assert rows(models[name]) == rows(plain[name])
+
+
+def test_hash_keys_of_matches_players_and_teams_do_not_travel(spark, no_broadcast, rows):
+    """They are worked out where the rows arrive; they were shuffled with orders, figures and matches."""
+    t = B.Tables(spark, SMALL)
+    frame = B.match_frame(t, 4)
+    assert rows(frame.drop("hub_match_hk")) == rows(B.match_frame(t))
+    assert frame.filter(frame.hub_match_hk != H.hash_key("match_id", source=S.SOURCE_A)).count() == 0
+    for df, key in ((frame, "hub_match_hk"), (B.understat_teams(t, B.match_frame(t), 4, few=True), "md5")):
+        assert [k for k in exchanges(df) if k.startswith("md5(")] and key not in exchanges(df)
+    lying = exchanges(frame.groupBy("hub_match_hk").count())
+    assert len(lying) == len(exchanges(frame))
+    assert rows(B.understat_teams(t, None, 4, few=True)) == rows(B.understat_teams(t))
+
+
+def test_match_facts_of_all_marts_are_picked_where_the_matches_lie(spark, no_broadcast):
+    """The matches were written as they came and shuffled by their key as staged rows."""
+    models = R._all_marts(B.Tables(spark, SMALL))
+    assert exchanges(models._builders["mart_match_facts"](models)) == []
+
+
+def test_regular_players_are_not_shuffled_for_their_ranks(spark, rows):
+    models, plain = R.models(B.Tables(spark, SMALL)), R.models(B.Tables(spark, SMALL), ())
+    ranked = models["mart_player_overperformers"]
+    assert not [k for k in exchanges(ranked) if "__key" in k]
+    assert rows(ranked) == rows(plain["mart_player_overperformers"])
+
+
+def test_bridge_keeps_keys_of_any_text(frame, rows):
+    """Keys of players travel as bytes; those that are not 32 hexadecimal digits come back as they were."""
+    keys = ["p", "", "0" * 32, "A" * 32, "f" * 31]
+    vault = {
+        "sat_team_details": frame("hub_team_hk string, team_title string, ldts timestamp_ntz", ("t", "T", None)),
+        "lnk_team_competition_season": frame("hub_team_hk string, hub_competition_hk string, hub_season_hk string", ("t", "l", "s")),
+        "hub_team": frame("hub_team_hk string, team_bk string", ("t", "bt")),
+        "lnk_player_team": frame("hub_player_hk string, hub_team_hk string, hub_season_hk string", *[(k, "t", "s") for k in keys]),
+        "hub_competition": frame("hub_competition_hk string, league_id string", ("l", "epl")),
+        "hub_season": frame("hub_season_hk string, season_year int", ("s", 2024)),
+    }
+    pit = frame("hub_player_hk string, hub_competition_hk string, hub_season_hk string, player_bk string, player_name string",
+                *[(k, "l", "s", "b" + k, "n") for k in keys])
+    assert rows(BV.br_player_team_season(vault, pit), "hub_player_hk", "player_bk") == sorted([(k, "b" + k) for k in keys], key=repr)
