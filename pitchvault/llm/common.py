@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
@@ -29,6 +30,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished queries, which stay until the driver collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, lengthened until no column of ``df`` is named so, whatever the case of its letters."""
     taken = {c.lower() for c in df.columns}
@@ -63,11 +70,13 @@ def settings(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
 
 
 #: Merge joins for which Spark sends a Bloom filter (of at most its usual size) of the
-#: filtered side ahead to the other scan, so that only rows which may match are shuffled.
+#: filtered side ahead to the other scan, so that only rows which may match are shuffled,
+#: however large that side is.
 BLOOM = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
 }
 
 

@@ -9,8 +9,11 @@ more. The result is each document's class, the documents it reaches through link
    occur in the corpus (counted in a sketch of fixed size; any order gives the same
    result, a rarity order the fewest meetings). Sets that meet so are joined into regions
    by stars, one star per token and size class, never pair by pair.
-3. Each region is a signature tree, joined with itself by dual traversal. A region of more
-   sets than ``BLOCK`` is cut into blocks: each block for itself, then every block with
+3. Where the sketch cannot tell rare tokens from frequent ones, chance meetings chain sets
+   into large regions. A region of more sets than ``BLOCK`` is parted: linked sets share so
+   many tokens of their prefixes, not one only, and sets are held together only if they do.
+4. Each region is a signature tree, joined with itself by dual traversal. A region that is
+   still too large is cut into blocks: each block for itself, then every block with
    the first, then those pairs of blocks that earlier rounds have not fully connected.
 
 Words are runs of bytes other than space and 09-0D, A-Z lower-cased. With fewer than five
@@ -33,13 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pitchvault.llm.common import BLOOM, LOWER, TEXT, chunks, fixed, grams, record, settings, stored, table_of, words
+from pitchvault.llm.common import BLOOM, LOWER, TEXT, chunks, fixed, free_shuffles, grams, record, settings, stored, table_of, words
 from pitchvault.llm.graph import components
 from pitchvault.llm.signature_tree import SignatureTree
 
 SHINGLE = 5
 BLOCK = 4096  # sets in one tree
 BLOCK_TOKENS = 4_000_000  # tokens in one tree
+FEW = 16  # sets of a token whose pairs are counted
 CELLS = 1 << 22  # of the sketch of token counts, 16 MB whatever the corpus holds
 _PART = 1 << 16  # cells in a row of the sketch
 
@@ -197,6 +201,51 @@ def regions(sets: DataFrame) -> DataFrame:
     return components(edges).withColumnRenamed("component", "region")
 
 
+def shared_prefixes(sets: DataFrame) -> DataFrame:
+    """Edges (a, b) between ``sets`` (node, n, prefix, hot; one row each): what links is connected.
+
+    Let p(n) = n - ceil(4 n / 5) + 1 be the size of a prefix. Of the tokens that two linked
+    sets of sizes m <= n share, at least ceil(4 (m + n) / 9), those up to the end of the
+    prefix that ends first are in both prefixes, and at most n - p(n) come later. So the
+    prefixes share as many as are left, and at least one. Tokens of up to ``FEW`` sets give
+    their pairs, which are counted; the sets of a more frequent token, of one size class
+    or the next, are joined by a star whatever else they share.
+    """
+    size_class = F.floor(F.log("n") / F.log(F.lit(1.25))).cast("int")
+    rows = sets.select(
+        "node", "n", size_class.alias("c"), (F.size("prefix") - F.col("hot")).alias("cold"), F.posexplode("prefix").alias("pos", "token"))
+
+    w = W.partitionBy("token")
+    cold = rows.filter("pos < cold").select("token", "node", "n", "c").withColumn("sets", F.count(F.lit(1)).over(w))
+    cold = stored(cold.filter("sets > 1"), "met")
+    few = cold.filter(F.col("sets") <= FEW).groupBy("token").agg(F.sort_array(F.collect_list(F.struct("node", "n"))).alias("x"))
+    pairs = (
+        few.select("x", F.posexplode("x").alias("at", "a")).select("a", F.explode(F.expr("slice(x, at + 2, size(x))")).alias("b"))
+        .filter("5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n")
+        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+        .filter("shared >= (4 * (a.n + b.n) + 8) DIV 9 - (4 * greatest(a.n, b.n) + 4) DIV 5 + 1")
+        .select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    )
+
+    many = cold.filter(F.col("sets") > FEW).select("token", "node", "c")
+    often = many.union(rows.filter("pos >= cold").select("token", "node", "c"))
+    centres = often.groupBy("token", "c").agg(F.min("node").alias("centre"))
+    stars = centres.union(centres.select("token", F.col("c") + 1, "centre"))
+    met = often.join(stars, ["token", "c"]).filter("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b"))
+    return pairs.union(met).distinct()
+
+
+def parted(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``members`` with the regions of several blocks parted by ``shared_prefixes``; sets without an edge have none."""
+    wide = members.filter("blocks > 1")
+    held = sets.join(wide.select("node"), "node").groupBy("node").agg(F.first(F.struct("n", "prefix", "hot")).alias("held"))
+    with settings(members.sparkSession, BLOOM):
+        held = stored(held.select("node", "held.*"), "wide")
+    region = components(shared_prefixes(held)).withColumnRenamed("component", "region")
+    finer = with_blocks(wide.drop("region", "blocks", "block").join(region, "node"))
+    return members.filter("blocks = 1").unionByName(finer)
+
+
 def _tree(rows: pd.DataFrame) -> tuple[pd.DataFrame, SignatureTree]:
     # A document row that is repeated brings its text as often.
     rows = rows.drop_duplicates("node").sort_values("node").reset_index(drop=True)
@@ -248,7 +297,8 @@ def tree_classes(members: DataFrame, texts: DataFrame) -> DataFrame:
         return within
 
     # Regions of several blocks: classes within blocks are links to start from.
-    large = stored(texts.filter("blocks > 1").select("node", "text"), "large")
+    with settings(members.sparkSession, BLOOM):
+        large = stored(texts.filter("blocks > 1").select("node", "text"), "large")
     wide = members.filter("blocks > 1").select("node", "region", "block")
     now = stored(wide.join(within, "node"), "classes")
     links = now.select(F.col("node").alias("a"), F.col("class").alias("b"))
@@ -283,8 +333,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = sets.filter("doc_id IS NOT NULL AND n > 0")
     first = named.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n").alias("n"))
     first = stored(first.select("node", "n", "first.*"), "distinct-sets")
-    region = regions(named.filter("prefix IS NOT NULL").select("node", "n", "prefix", "hot"))
-    members = stored(with_blocks(first.join(region, "node")), "members")
+    held = named.filter("prefix IS NOT NULL").select("node", "n", "prefix", "hot")
+    members = stored(with_blocks(first.join(regions(held), "node")), "members")
+    if not members.filter("blocks > 1").isEmpty():
+        members = stored(parted(members, held), "members")
+    free_shuffles(docs.sparkSession)  # those of the prefixes are the largest
     wanted = members.filter("n > 0").select("doc_id", "text_hash", "node", "region", "blocks", "block")
     texts = docs.select("doc_id", F.expr(HASH), F.expr(TEXT)).join(wanted, ["doc_id", "text_hash"])
     classes = tree_classes(members, texts).select("node", "class")

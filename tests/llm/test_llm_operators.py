@@ -94,6 +94,52 @@ def test_jaccard_join_chains_and_thresholds(spark, monkeypatch):
     same(jaccard_join.near_duplicates(df), expected, "doc_id", "n_shingles", "component_id")
 
 
+def test_jaccard_join_parts_regions_chained_by_chance(spark, monkeypatch):
+    """Passages that two documents share chain all of them where the sketch cannot tell such tokens; only copies stay together."""
+    parts = [passage(300 + i, 60) for i in range(41)]
+    rows = [(i, f"{parts[i]} {passage(400 + i, 110)} {parts[i + 1]}") for i in range(40)]
+    rows += [(100 + i, rows[i][1] + " tail") for i in range(0, 40, 8)]
+    seen, trees = [], jaccard_join.tree_classes
+    monkeypatch.setattr(jaccard_join, "tree_classes", lambda members, texts: seen.append(members) or trees(members, texts))
+    monkeypatch.setattr(jaccard_join, "sketch", lambda docs: np.ones(jaccard_join.CELLS, np.int64))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute.classes(rows)
+    same(jaccard_join.near_duplicates(df), expected, "doc_id", "n_shingles", "component_id")
+    assert seen.pop().groupBy("region").count().agg({"count": "max"}).first()[0] > 20
+    monkeypatch.setattr(jaccard_join, "BLOCK", 6)
+    same(jaccard_join.near_duplicates(df), expected, "doc_id", "n_shingles", "component_id")
+    members = seen.pop()
+    assert members.count() == 10
+    assert members.filter("blocks > 1").isEmpty()
+
+
+def test_jaccard_join_parted_regions_keep_all_links(spark, monkeypatch):
+    """Copies near the threshold in two sizes, some tokens with pairs and some with stars, whatever the order of tokens."""
+    r = random.Random(11)
+    rows = []
+    for c, words in enumerate((8, 30, 90)):
+        base = passage(500 + c, words).split()
+        rows += [(100 * c + i, edited(base[: max(5, int(words * r.uniform(0.8, 1)))], r, r.choice([0, 0.01, 0.03]))) for i in range(14)]
+    expected = brute.classes(rows)
+    df = spark.createDataFrame(rows + rows[:9], "doc_id long, text string")
+    monkeypatch.setattr(jaccard_join, "BLOCK", 2)
+    monkeypatch.setattr(jaccard_join, "sketch", lambda docs: np.ones(jaccard_join.CELLS, np.int64))
+    for few in (1, 100):
+        monkeypatch.setattr(jaccard_join, "FEW", few)
+        out = jaccard_join.near_duplicates(df)
+        same(out.distinct(), expected, "doc_id", "n_shingles", "component_id")
+
+
+def test_bloom_filter_goes_ahead_of_a_list_of_any_size(spark, tmp_path):
+    from pitchvault.llm.common import BLOOM, settings
+
+    spark.range(1000).selectExpr("id", "'t' AS text").write.parquet(f"{tmp_path}/texts")
+    spark.range(100).selectExpr("id", "1 AS n").write.parquet(f"{tmp_path}/list")
+    with settings(spark, {"spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1b"}), settings(spark, BLOOM):
+        joined = spark.read.parquet(f"{tmp_path}/texts").join(spark.read.parquet(f"{tmp_path}/list").filter("n > 0"), "id")
+        assert "might_contain" in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_signature_tree_prunes_and_connects():
     from pitchvault.llm.signature_tree import SignatureTree, common, linked
 
