@@ -48,6 +48,15 @@ def test_player_team_link_is_shuffled_once_and_joined_where_it_is(spark, frame,
     assert set(exchanges(joined)) == {"hub_player_hk, hub_season_hk"} and joined.count() == 4
 
 
+def test_teams_of_unwritten_players_are_dealt_out_as_one_text(spark, no_broadcast, rows):
+    """Every player and team was shuffled twice with all its hash keys, to tell doubles and to pick the link."""
+    t = B.Tables(spark, SMALL)
+    link = R.models(t, ())["lnk_player_team"]
+    keys = exchanges(link)
+    assert keys.count("hub_player_hk, hub_season_hk") == 1 and not [k for k in keys if "team" in k]
+    assert link.count() > 1000 and rows(link) == rows(R.models(t)["lnk_player_team"])
+
+
 def test_bridge_pairs_travel_by_one_key(spark, no_broadcast):
     t = B.Tables(spark, SMALL)
     models = R.models(t)
