@@ -21,6 +21,7 @@ from pitchvault.llm.common import columns_of, free_name, read, stored
 from pitchvault.llm.registry import tokenizer
 
 MARK = "[secret]"
+BITS = 32768  # of one of Spark's bitmaps
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +35,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every near-duplicate class: that with the least doc_id, rows without one last.
 
-    Rows are told apart by a written number, so that repeated and missing ids do no harm.
+    Rows are told apart by a written number, so that repeated and missing ids do no harm. Which
+    of them go is sent to the texts as bitmaps, one bit a row at most: the texts are not shuffled.
     """
     row = free_name(docs, "row")
     numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
@@ -44,8 +46,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     ids = numbered.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("id"))
     order = F.struct(F.col("id").isNull(), "id", "row")
     first = members.join(ids, "row").groupBy("class").agg(F.min(order).alias("first"))
-    others = members.join(first.select(F.col("first.row").alias("row")), "row", "left_anti").select(F.col("row").alias(row))
-    return numbered.join(others, row, "left_anti").select(*columns_of(docs))
+    others = members.join(first.select(F.col("first.row").alias("row")), "row", "left_anti")
+    part, bits = free_name(docs, "part"), free_name(docs, "bits")
+    gone = others.groupBy(F.expr(f"row DIV {BITS}").alias(part)).agg(F.expr(f"bitmap_construct_agg(row % {BITS})").alias(bits))
+    marked = numbered.join(F.broadcast(gone), F.expr(f"{row} DIV {BITS}") == F.col(part), "left")
+    byte = F.expr(f"CAST(conv(hex(substring({bits}, {row} % {BITS} DIV 8 + 1, 1)), 16, 10) AS INT)")
+    stays = F.col(bits).isNull() | (byte.bitwiseAND(F.expr(f"shiftleft(1, CAST({row} % 8 AS INT))")) == 0)
+    return marked.filter(stays).select(*columns_of(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,6 +71,25 @@ def test_stages_on_empty_and_odd_tables(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, odd, SF).count() == 3
 
 
+def test_texts_stay_where_they_lie_when_near_copies_go(spark):
+    """Copies in many bytes and bits of two bitmaps go; the texts were shuffled for that."""
+    rows = [(i, f"a{i % 40} b{i % 40} c{i % 40} d{i % 40} e{i % 40} f", i) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, part int").repartition(2)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = corpus_pipeline.drop_near_copies(spark, df, SF)
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        above, depth = [], 1000
+        for line in reversed(plan[: 1 + next(i for i, x in enumerate(plan) if "FileScan" in x and "text#" in x)]):
+            if (at := len(line) - len(line.lstrip(" :+-"))) < depth:
+                above, depth = [*above, line], at
+        assert not [x for x in above if "Exchange" in x]
+        assert sorted(map(tuple, out.collect())) == rows[:40] and out.columns == df.columns
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_near_copies_by_row(spark):
     """One row of each class stays, and no other row goes, whatever the ids."""
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
