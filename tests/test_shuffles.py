@@ -3,6 +3,7 @@
 import re
 from datetime import datetime
 from pathlib import Path
+from threading import get_ident
 
 import pytest
 
@@ -13,9 +14,11 @@ from pitchvault.operators import quality as Q
 from pitchvault.operators.elo_pieces import connected_teams
 from pitchvault.plans import bindings as B
 from pitchvault.plans import business_vault as BV
+from pitchvault.plans import contracts as C
 from pitchvault.plans import raw_vault as RV
 from pitchvault.plans import registry as R
 from pitchvault.plans import stage_models as S
+from pitchvault.plans.models import Models
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -152,6 +155,15 @@ def test_marts_are_worked_out_by_the_export_only(spark, monkeypatch):
     assert {p.name for p in Path(models).iterdir() if p.name.startswith("mart_")} == {"mart_match_facts"}
 
 
+def test_models_that_marts_share_are_written_side_by_side(spark, monkeypatch):
+    """All of them were written one after the other before the first mart was exported."""
+    by, build = {}, Models._build
+    monkeypatch.setattr(Models, "_build", lambda self, name, builder: by.setdefault(name, get_ident()) and build(self, name, builder))
+    published = R.QUERIES["publish_all_marts"](spark, SMALL)
+    assert published.filter("published > 0").count() == len(C.CONTRACTS)
+    assert by["match_frame"] != by["stg_understat_players"]
+
+
 def test_rounds_of_connected_teams_are_counted_where_they_are_written(spark, frame, tmp_path):
     games = frame("p string, home_team_title string, away_team_title string", ("p", "a", "b"), ("p", "b", "c"), ("p", "x", "y"))
     got = {(r.team_title, r.grp) for r in connected_teams(games, "p", str(tmp_path)).collect()}
